@@ -1,0 +1,18 @@
+"""Broadcast a side only after its size was measured."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(side: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``side`` with a broadcast hint when it has at most ``rows`` rows, else unchanged.
+
+    The probe stops after ``rows + 1`` rows.  Without the hint the join falls
+    back to a shuffle join, which AQE splits where one key is hot.
+    """
+    probe = side.select(F.lit(1).alias("one")).limit(rows + 1)
+    return F.broadcast(side) if probe.count() <= rows else side
