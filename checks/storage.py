@@ -5,9 +5,11 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from checks import registry as R
 from checks import views as V
+from checks.landing_files import write_named_files
 from checks.registry import register
 from sanitaria.operators import coverage as K
 from sanitaria.operators import profile as P
@@ -18,10 +20,11 @@ from sanitaria.sinks import export as E
 from sanitaria.sinks import manifest as M
 from sanitaria.sinks.store import insert_new_files, write_store
 from sanitaria.sources import dimensions as D
+from sanitaria.sources.fixed_width import FILE_COLUMN, scan_fixed_width
 from sanitaria.sources.inventory import with_period
 from sanitaria.sources.landing import scan_landing
 from sanitaria.sources.store import data_files, register_views, scan_store
-from sanitaria.streaming.ingest import load_batch, load_report
+from sanitaria.streaming.ingest import load_batch, load_report, start_ingest
 
 _COUNTS = "count(*) AS n, count(munic_res) AS munic_res, count(dt_inter) AS dt_inter"
 _DEATH_COUNTS = "count(*) AS n, count(codmunres) AS codmunres, count(dtobito) AS dtobito"
@@ -232,67 +235,44 @@ def store_files(spark, sf):
 
 # -- loads -------------------------------------------------------------------
 
-_LANDED = "sexo munic_res dt_inter diag_princ idade dias_perm val_tot".split()
-_LANDED_SQL = f"""WITH {R.ADMISSIONS} SELECT uf, count(*) AS n, count(munic_res) AS munic_res,
-  count(dt_inter) AS dt_inter, count(diag_princ) AS diag_princ FROM adm GROUP BY uf"""
 
+_LANDED_SQL = f"""WITH {R.DEATHS} SELECT uf, source_file, count(*) AS n, count(codmunres) AS codmunres,
+  count(dtobito) AS dtobito, count(causabas) AS causabas FROM dth GROUP BY uf, source_file"""
 
-def _land(spark, sf, purpose, file_format="csv"):
-    """Raw rows as landing files, one folder level per source file name as Spark writes them."""
-    folder = scratch_dir(spark, purpose)
-    raw = V.admissions(spark, sf).select("uf", *_LANDED)
-    named = raw.withColumn("state", F.col("uf")).drop("uf").hint("rebalance", "state")
-    writer = named.write.partitionBy("state")
-    if file_format == "csv":
-        writer.option("sep", ";").option("header", True).option("ignoreLeadingWhiteSpace", False).csv(folder)
-    else:
-        writer.parquet(folder)
-    return folder
+
+def _loaded(typed):
+    return _counts(typed, "codmunres", "dtobito", "causabas", by=("uf", "source_file"))
 
 
 @register("src_03_scan_landing", _LANDED_SQL)
 def landing(spark, sf):
-    """Delimited landing files of all states, read in one scan and typed."""
-    folder = _land(spark, sf, "landing")
-    read = spark.read.options(header="true", sep=";", enforceSchema="false").csv(folder)
-    from sanitaria.sources.landing import as_text
-
-    typed = transform(as_text(read).withColumnRenamed("state", "uf"), "sihsus")
-    return _counts(typed, "munic_res", "dt_inter", "diag_princ")
+    """One delimited file per state and year, read in one scan and typed."""
+    folder = write_named_files(V.deaths(spark, sf), scratch_dir(spark, "src03"), "csv")
+    return _loaded(transform(scan_landing(spark, "sim", [f"{folder}/*"]), "sim"))
 
 
-@register("src_03_scan_landing_columns", _LANDED_SQL.replace("SELECT uf, ", "SELECT ").replace(" GROUP BY uf", ""))
-def landing_columns(spark, sf):
-    """The landing scan itself; names written by Spark are foreign, so state and file stay NULL."""
-    folder = _land(spark, sf, "landing_parquet", "parquet")
-    scanned = scan_landing(spark, "sihsus", [folder], file_format="parquet")
-    typed = transform(scanned, "sihsus")
-    return typed.agg(rows().alias("n"), *[F.count(c).alias(c) for c in ("munic_res", "dt_inter", "diag_princ")])
+@register("src_04_scan_fixed_width", _LANDED_SQL)
+def fixed_width(spark, sf):
+    """The same rows as fixed-width record files."""
+    folder = write_named_files(V.deaths(spark, sf), scratch_dir(spark, "src04"), "dbf")
+    schema = T.StructType([*V.DEATH_FIELDS, T.StructField(FILE_COLUMN, T.StringType())])
+    return _loaded(transform(scan_fixed_width(spark, "sim", folder, schema), "sim"))
 
 
 @register(
     "str_01_available_now",
-    f"WITH {R.ADMISSIONS} SELECT 2 AS runs, (SELECT count(*) FROM adm) AS stored, "
-    "(SELECT count(DISTINCT source_file) FROM adm) AS listed",
+    f"WITH {R.DEATHS} SELECT 2 AS runs, (SELECT count(*) FROM dth) AS stored, "
+    "(SELECT count(DISTINCT source_file) FROM dth) AS listed",
 )
 def available_now(spark, sf):
     """Stream all landing files into a store, restart the stream, and add nothing the second time."""
-    folder, root, checkpoint = (scratch_dir(spark, p) for p in ("str_in", "str_store", "str_log"))
-    raw = V.admissions(spark, sf)
-    raw.write.parquet(folder)
-    schema = raw.schema
+    folder = write_named_files(V.deaths(spark, sf), scratch_dir(spark, "str01_in"), "csv")
+    root, checkpoint = (scratch_dir(spark, p) for p in ("str01_store", "str01_log"))
+    schema = T.StructType(V.DEATH_FIELDS)
     for _ in range(2):
-        stream = (
-            spark.readStream.schema(schema)
-            .parquet(folder)
-            .writeStream.foreachBatch(lambda batch, number: (load_batch(batch, root, "sihsus", number), None)[1])
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start()
-        )
-        stream.awaitTermination()
-    listed = M.listed_files(spark, root, "sihsus")
-    stored = scan_store(spark, root, "sihsus", merge_schema=False)
+        start_ingest(spark, f"{folder}/*", root, "sim", checkpoint, schema).awaitTermination()
+    listed = M.listed_files(spark, root, "sim")
+    stored = scan_store(spark, root, "sim", merge_schema=False)
     return stored.agg(rows().alias("stored")).select(
         F.lit(2).alias("runs"), "stored", listed.agg(rows()).scalar().alias("listed")
     )

@@ -9,6 +9,7 @@ Spark and in the checking SQL, so both start from equal rows.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 STATES = "ACALAPAMBACEDFESGOMAMTMSMGPAPBPRPEPIRJRNRSRORRSCSPSETO"
 
@@ -101,6 +102,16 @@ DEATH_INVENTORY = f"""SELECT source_file AS name, cast(count(*) AS bigint) * 100
 FROM ({DEATHS}) GROUP BY source_file"""
 
 
+# Columns of a death source file; state and file name are not among them.
+DEATH_FIELDS = [
+    T.StructField(name, T.StringType())
+    for name in (
+        "dtobito horaobito idade sexo racacor estciv esc lococor tipobito codmunres causabas linhaa acidtrab tppos "
+        "stcodifica nudiasobco"
+    ).split()
+]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

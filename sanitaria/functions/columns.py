@@ -51,33 +51,39 @@ def clean_upper(c: Column) -> Column:
     """The upper-casing variant: line and tab characters become spaces, blanks stay blank."""
     text = c.cast("string")
     spaced = F.when(_has_invisible(text), F.translate(text, INVISIBLE, "   ")).otherwise(text)
-    return trim_spaces(F.upper(spaced))
+    return trim_spaces(upper(spaced))
+
+
+def upper(c: Column) -> Column:
+    """Upper case letter by letter: a sharp s becomes its capital, not two letters."""
+    return F.upper(F.replace(c, F.lit("ß"), F.lit("ẞ")))
+
+
+_DAY, _MONTH, _YEAR = "(0[1-9]|[12][0-9]|3[01])", "(0[1-9]|1[0-2])", "[0-9]{4}"
 
 
 def parse_date(c: Column, allow_future: bool = False) -> Column:
     """First valid reading as YYYYMMDD, DDMMYYYY, DMMYYYY or a written date.
 
-    The layout decides which readings are tried.  Each is rearranged to ISO text
-    and cast, which avoids a date formatter (and its exceptions) per value.
-    Readings after today are rejected unless ``allow_future``.
+    A reading is tried only where month and day can be right, rearranged to ISO
+    text and cast: that needs no date formatter and leaves hardly any cast to
+    fail.  Readings after today are rejected unless ``allow_future``.
     """
 
-    def reading(*parts: Column) -> Column:
+    def reading(layout: str, *parts: Column) -> Column:
         day = F.concat_ws("-", *parts).try_cast("date")
-        return day if allow_future else F.when(day <= F.current_date(), day)
+        shaped = c.rlike(layout)
+        return F.when(shaped if allow_future else shaped & (day <= F.current_date()), day)
 
     def part(start: int, length: int) -> Column:
         return F.substring(c, start, length)
 
-    year_first = reading(part(1, 4), part(5, 2), part(7, 2))
-    day_first = reading(part(5, 4), part(3, 2), part(1, 2))
-    short_day = reading(part(4, 4), part(2, 2), F.concat(F.lit("0"), part(1, 1)))
     day_only = F.substring_index(F.substring_index(c, " ", 1), "T", 1)
-    written = reading(F.replace(day_only, F.lit("/"), F.lit("-")))
-    return (
-        F.when(c.rlike("^[0-9]{8}$"), F.coalesce(year_first, day_first))
-        .when(c.rlike("^[0-9]{7}$"), short_day)
-        .when(c.rlike("^[0-9]{4}[-/][0-9]{1,2}[-/][0-9]{1,2}([ T]|$)"), written)
+    return F.coalesce(
+        reading(f"^{_YEAR}{_MONTH}{_DAY}$", part(1, 4), part(5, 2), part(7, 2)),
+        reading(f"^{_DAY}{_MONTH}{_YEAR}$", part(5, 4), part(3, 2), part(1, 2)),
+        reading(f"^[1-9]{_MONTH}{_YEAR}$", part(4, 4), part(2, 2), F.concat(F.lit("0"), part(1, 1))),
+        reading("^[0-9]{4}[-/][0-9]{1,2}[-/][0-9]{1,2}([ T]|$)", F.replace(day_only, F.lit("/"), F.lit("-"))),
     )
 
 

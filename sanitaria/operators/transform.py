@@ -84,7 +84,7 @@ def transform(
     spec = get_system(system)
     result = canonicalize(clean_columns(df, upper), spec, raw)
     if drop_undated:
-        result = result.where(F.col("dt_inter").isNotNull() | F.col("dt_saida").isNotNull())
+        result = _without_undated(result)
     if with_year:
         result = result.withColumn("ano_inter", F.year(C.parse_date(F.col("dt_inter")) if raw else F.col("dt_inter")))
     if municipalities is not None and spec.residence:
@@ -92,6 +92,16 @@ def transform(
     return result
 
 
+def _without_undated(typed: DataFrame) -> DataFrame:
+    """Drops rows without any date and reports their number as the metric ``undated_rows``.
+
+    The metric sits between typing and filter, which keeps the optimizer from
+    copying the whole date parsing into the filter.
+    """
+    undated = F.col("dt_inter").isNull() & F.col("dt_saida").isNull()
+    return typed.observe("dropped", F.count_if(undated).alias("undated_rows")).where(~undated)
+
+
 def cast_losses(df: DataFrame, system: str | System) -> DataFrame:
     """Per typed column: values present in the raw rows that typing turned into NULL.
 

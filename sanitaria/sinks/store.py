@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -46,7 +47,15 @@ def write_store(
         .partitionBy("uf")
         .parquet(store_path(root, spec))
     )
-    return written.get["rows"]
+    return observed(written, "rows")
+
+
+def observed(metrics: Observation, name: str) -> int:
+    """A metric of a finished write; a plan found empty while running reports none."""
+    try:
+        return metrics.get[name]
+    except Py4JJavaError:
+        return 0
 
 
 def not_loaded(df: DataFrame, target: DataFrame | None, key: str = "source_file") -> DataFrame:

@@ -1,27 +1,31 @@
 """Fixed-width record files (DBF) as a splittable Spark data source.
 
 Records have one length, so a file is cut at record boundaries and every task
-reads its own byte range.  Values are decoded column by column from Arrow
-buffers; the executors need to see the files under the same path.
+reads its own byte range.  Files are opened through Arrow file systems: a shared
+mount or any storage Arrow has a driver for.
 """
 
 from __future__ import annotations
 
-import glob
-import os
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StringType, StructField, StructType
 
+from sanitaria.sources.landing import as_text, with_origin
+from sanitaria.systems import System
+
 FORMAT = "fixed_width_records"
-# Layout of the file header, its field descriptors and the end mark.
+FILE_COLUMN = "__file"
+# Layout of the file header and its field descriptors, end of header, mark of a deleted record.
 HEADER_SIZE = 32
 DESCRIPTOR_SIZE = 32
 HEADER_END = 0x0D
+DELETED = ord("*")
 
 
 @dataclass(frozen=True)
@@ -32,79 +36,125 @@ class Layout:
     fields: tuple[tuple[str, int, int], ...]
 
 
+def _file_system(path: str):
+    from pyarrow.fs import FileSystem
+
+    return FileSystem.from_uri(path)
+
+
+def record_files(path: str) -> list[tuple[str, int]]:
+    """Path and size of the file itself, or of all record files below a folder."""
+    from pyarrow.fs import FileSelector, FileType
+
+    system, location = _file_system(path)
+    info = system.get_file_info(location)
+    if info.type == FileType.File:
+        return [(path, info.size)]
+    scheme = path[: len(path) - len(location)] if path.endswith(location) else ""
+    found = system.get_file_info(FileSelector(location, recursive=True))
+    return sorted((scheme + f.path, f.size) for f in found if f.is_file and f.path.lower().endswith(".dbf"))
+
+
 def read_layout(path: str) -> Layout:
     """Record count, header and record length, and ``(name, offset, length)`` per field."""
-    with open(path, "rb") as file:
-        head = file.read(HEADER_SIZE)
-        records, header, width = struct.unpack("<IHH", head[4:12])
+    system, location = _file_system(path)
+    with system.open_input_file(location) as file:
+        records, header, width = struct.unpack("<IHH", file.read(HEADER_SIZE)[4:12])
         descriptors = file.read(header - HEADER_SIZE)
+        present = max(0, file.size() - header) // width
     fields, offset = [], 1
-    for at in range(0, len(descriptors), DESCRIPTOR_SIZE):
+    for at in range(0, len(descriptors) - DESCRIPTOR_SIZE + 1, DESCRIPTOR_SIZE):
         entry = descriptors[at : at + DESCRIPTOR_SIZE]
-        if len(entry) < DESCRIPTOR_SIZE or entry[0] == HEADER_END:
+        if entry[0] == HEADER_END:
             break
-        name = entry[:11].split(b"\x00")[0].decode("latin-1").strip().lower()
-        fields.append((name, offset, entry[16]))
+        fields.append((entry[:11].split(b"\x00")[0].decode("latin-1").strip().lower(), offset, entry[16]))
         offset += entry[16]
-    present = max(0, os.path.getsize(path) - header) // width
     return Layout(min(records, present), header, width, tuple(fields))
 
 
-@dataclass
-class RecordRange(InputPartition):
+@dataclass(frozen=True)
+class RecordRange:
+    """Records of one file; ``count`` is None for the whole file."""
+
     path: str
-    first: int
-    count: int
+    first: int = 0
+    count: int | None = None
+
+
+@dataclass
+class RecordRanges(InputPartition):
+    ranges: list[RecordRange]
 
 
 class RecordReader(DataSourceReader):
     def __init__(self, schema: StructType, options: dict):
         self.names = [f.name for f in schema.fields]
-        self.paths = sorted(expand(options["path"]))
+        self.path = options["path"]
         self.encoding = options.get("encoding", "latin-1")
         self.split_bytes = int(options.get("splitbytes", 64 << 20))
         self.batch = int(options.get("batchrecords", 65_536))
 
-    def partitions(self) -> list[RecordRange]:
-        ranges = []
-        for path in self.paths:
-            layout = read_layout(path)
-            step = max(1, self.split_bytes // layout.width)
-            ranges += [RecordRange(path, at, min(step, layout.records - at)) for at in range(0, layout.records, step)]
-        return ranges
-
-    def read(self, partition: RecordRange) -> Iterator:
+    def partitions(self) -> list[RecordRanges]:
+        """Large files are cut, small ones packed together; only large ones are opened here."""
+        tasks: list[RecordRanges] = []
+        room = 0
+        for path, size in record_files(self.path):
+            if size > self.split_bytes:
+                layout = read_layout(path)
+                step = max(1, self.split_bytes // layout.width)
+                for at in range(0, layout.records, step):
+                    tasks.append(RecordRanges([RecordRange(path, at, min(step, layout.records - at))]))
+                room = 0
+            elif size > room:
+                tasks.append(RecordRanges([RecordRange(path)]))
+                room = self.split_bytes - size
+            else:
+                tasks[-1].ranges.append(RecordRange(path))
+                room -= size
+        return tasks
+
+    def read(self, partition: RecordRanges) -> Iterator:
+        for part in partition.ranges:
+            yield from self._records(part)
+
+    def _records(self, part: RecordRange) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        layout = read_layout(partition.path)
+        layout = read_layout(part.path)
+        count = layout.records if part.count is None else part.count
         place = {name: (offset, length) for name, offset, length in layout.fields}
-        file_name = os.path.basename(partition.path)
-        with open(partition.path, "rb") as file:
-            file.seek(layout.header + partition.first * layout.width)
-            left = partition.count
-            while left > 0:
-                n = min(left, self.batch)
-                left -= n
-                block = np.frombuffer(file.read(n * layout.width), dtype=np.uint8).reshape(-1, layout.width)
-                block = block[block[:, 0] != ord("*")]
-                columns = []
-                for name in self.names:
-                    if name == "__file":
-                        columns.append(pa.array([file_name] * len(block), pa.string()))
-                    elif name in place:
-                        columns.append(self._text(block, *place[name]))
-                    else:
-                        columns.append(pa.nulls(len(block), pa.string()))
+        system, location = _file_system(part.path)
+        name_of_file = part.path.rsplit("/", 1)[-1]
+        with system.open_input_file(location) as file:
+            file.seek(layout.header + part.first * layout.width)
+            for start in range(0, count, self.batch):
+                n = min(self.batch, count - start)
+                records = np.frombuffer(file.read(n * layout.width), dtype=np.uint8).reshape(-1, layout.width)
+                records = records[records[:, 0] != DELETED]
+                columns = [
+                    pa.array([name_of_file] * len(records), pa.string())
+                    if name == FILE_COLUMN
+                    else self._text(records, *place[name])
+                    if name in place
+                    else pa.nulls(len(records), pa.string())
+                    for name in self.names
+                ]
                 yield pa.RecordBatch.from_arrays(columns, names=self.names)
 
-    def _text(self, block, offset: int, length: int):
+    def _text(self, records, offset: int, length: int):
+        """One field of all records; plain ASCII, the usual case, is not copied value by value."""
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
 
-        raw = np.ascontiguousarray(block[:, offset : offset + length]).view(f"S{length}").ravel()
-        texts = pa.array(np.char.decode(raw, self.encoding).tolist(), pa.string())
-        return pa.compute.utf8_trim_whitespace(texts)
+        field = np.ascontiguousarray(records[:, offset : offset + length])
+        if field.size and field.max() < 128:
+            raw = pa.FixedSizeBinaryArray.from_buffers(pa.binary(length), len(field), [None, pa.py_buffer(field)])
+            text = raw.cast(pa.binary()).cast(pa.string())
+        else:
+            text = pa.array(np.char.decode(field.view(f"S{length}").ravel(), self.encoding).tolist(), pa.string())
+        return pc.utf8_trim(text, characters=" \x00")
 
 
 class FixedWidthRecords(DataSource):
@@ -115,29 +165,25 @@ class FixedWidthRecords(DataSource):
         return FORMAT
 
     def schema(self) -> StructType:
+        """Field names of all files, in order of first appearance."""
         names: dict[str, None] = {}
-        for path in sorted(expand(self.options["path"])):
+        for path, _ in record_files(self.options["path"]):
             names.update({name: None for name, _, _ in read_layout(path).fields})
-        return StructType([StructField(name, StringType()) for name in [*names, "__file"]])
+        return StructType([StructField(name, StringType()) for name in [*names, FILE_COLUMN]])
 
     def reader(self, schema: StructType) -> RecordReader:
         return RecordReader(schema, dict(self.options))
 
 
-def expand(path: str) -> list[str]:
-    """Record files of a path, a glob or a folder."""
-    path = path.removeprefix("file://").removeprefix("file:")
-    if os.path.isdir(path):
-        return [p for p in glob.glob(os.path.join(path, "*")) if p.lower().endswith(".dbf")]
-    return glob.glob(path)
-
-
-def scan_fixed_width(spark: SparkSession, system, path: str, **options):
-    """Record files as landing rows: text columns plus ``uf`` and ``source_file``."""
-    from pyspark.sql import functions as F
-
-    from sanitaria.sources.landing import as_text, with_origin
+def scan_fixed_width(
+    spark: SparkSession, system: str | System, path: str, schema: StructType | None = None, **options
+) -> DataFrame:
+    """Record files as landing rows: text columns plus ``uf`` and ``source_file``.
 
+    Give ``schema`` for folders of many files: it spares reading every header
+    to learn the field names.
+    """
     spark.dataSource.register(FixedWidthRecords)
-    rows = spark.read.format(FORMAT).options(**options).load(path)
-    return with_origin(as_text(rows), system, F.col("__file")).drop("__file")
+    reader = spark.read.format(FORMAT).options(**options)
+    rows = (reader.schema(schema) if schema is not None else reader).load(path)
+    return with_origin(as_text(rows), system, F.col(FILE_COLUMN)).drop(FILE_COLUMN)

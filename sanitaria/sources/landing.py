@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sanitaria.functions import columns as C
@@ -27,8 +27,8 @@ def as_text(rows: DataFrame) -> DataFrame:
     )
 
 
-def with_origin(rows: DataFrame, system: str | System, file_name) -> DataFrame:
-    """Adds ``source_file`` and, parsed from it, ``uf``."""
+def with_origin(rows: DataFrame, system: str | System, file_name: Column) -> DataFrame:
+    """Adds ``source_file``, the name of the published file, and the ``uf`` parsed from it."""
     name = F.regexp_replace(file_name, r"(?i)\.(csv|parquet|txt|dbf)$", ".dbc")
     placed = rows.withColumn("source_file", name)
     return placed.withColumn("uf", get_system(system).period(F.col("source_file"))["uf"])

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from sanitaria.functions import columns as C
 from sanitaria.operators.transform import canonicalize, clean_columns, typed_column
 from sanitaria.sinks import manifest
-from sanitaria.sinks.store import insert_new_files, not_loaded
+from sanitaria.sinks.store import insert_new_files, not_loaded, observed
 from sanitaria.sources.landing import as_text, with_origin
 from sanitaria.systems import System, get_system
 
@@ -52,7 +52,7 @@ def load_batch(
         F.lit(batch).cast("bigint").alias("batch"),
         "files",
         F.lit(rows).cast("bigint").alias("rows"),
-        F.lit(losses.get["lost"] if audit else None).cast("bigint").alias("lost_values"),
+        F.lit(observed(losses, "lost") if audit else None).cast("bigint").alias("lost_values"),
         F.current_timestamp().alias("finished_at"),
     )
     report.coalesce(1).write.mode("append").parquet(report_path(root))
