@@ -9,6 +9,7 @@ from checks import views as V
 from checks.registry import register
 from sanitaria.functions import columns as C
 from sanitaria.operators import transform as X
+from sanitaria.sizes import spread
 from sanitaria.systems import DEATH, HOSPITAL
 
 
@@ -21,15 +22,15 @@ def _typed_deaths(spark, sf):
 
 
 def _admission(*columns):
-    return lambda spark, sf: _typed(spark, sf).select(*columns)
+    return lambda spark, sf: _typed(spark, sf).selectExpr(*columns)
 
 
 def _death(*columns):
-    return lambda spark, sf: _typed_deaths(spark, sf).select(*columns)
+    return lambda spark, sf: _typed_deaths(spark, sf).selectExpr(*columns)
 
 
 def _joined(name):
-    return F.array_join(name, "|").alias(name)
+    return f"array_join({name}, '|') AS {name}"
 
 
 @register(
@@ -42,7 +43,7 @@ def clean_texts(spark, sf):
     """Whole document and page texts."""
     def cleaned(name, key, text, lang):
         body = C.clean(F.col(text))
-        return V.table(spark, sf, name).select(
+        return spread(V.table(spark, sf, name)).select(
             F.col(key).alias("doc_id"),
             F.md5(body.cast("binary")).alias("text_md5"),
             F.length(body).cast("bigint").alias("n_chars"),
@@ -80,7 +81,7 @@ register(
 )(
     _admission(
         "munic_res", "idade", "dias_perm", "uti_mes_to", "qt_diarias", "cbor",
-        F.round(F.col("val_tot").cast("double"), 2).alias("val_tot"),
+        "round(cast(val_tot AS double), 2) AS val_tot",
     )
 )
 register(
@@ -191,7 +192,7 @@ register(
 )(
     _admission(
         "uf", "source_file", "munic_res", "sexo", "raca_cor", "dt_inter", "dt_saida", "diag_princ", "diagsec1",
-        "idade", "dias_perm", "proc_rea", "morte", F.round(F.col("val_tot").cast("double"), 2).alias("val_tot"),
+        "idade", "dias_perm", "proc_rea", "morte", "round(cast(val_tot AS double), 2) AS val_tot",
         "marca_uti",
     )
 )

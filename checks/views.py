@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from sanitaria.sizes import spread
+
 STATES = "ACALAPAMBACEDFESGOMAMTMSMGPAPBPRPEPIRJRNRSRORRSCSPSETO"
 
 _UF = f"substr('{STATES}', 1 + 2 * cast(o_custkey % 27 AS int), 2)"
@@ -117,7 +119,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _view(spark: SparkSession, sf_dir: str, text: str, source: str) -> DataFrame:
-    return spark.sql(text.replace(f"FROM {source}", f"FROM {{{source}}}"), **{source: table(spark, sf_dir, source)})
+    rows = spread(table(spark, sf_dir, source))
+    return spark.sql(text.replace(f"FROM {source}", f"FROM {{{source}}}"), **{source: rows})
 
 
 def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:

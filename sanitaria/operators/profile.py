@@ -19,7 +19,16 @@ def _is_empty(name: str, kind: T.DataType) -> Column:
     return c.isNull() | (F.size(c) == 0) if isinstance(kind, T.ArrayType) else c.isNull()
 
 
-def column_stats(df: DataFrame, exact: bool = False, rsd: float = 0.02) -> DataFrame:
+def _sketched_distinct(name: str) -> Column:
+    """Approximate distinct count, about 1.6 % off: one small binary sketch per task and column.
+
+    Values of any type enter by their hash, since a sketch takes whole numbers.
+    """
+    c = C.quoted(name)
+    return F.hll_sketch_estimate(F.hll_sketch_agg(F.when(c.isNotNull(), F.xxhash64(c)), F.lit(12)))
+
+
+def column_stats(df: DataFrame, exact: bool = False) -> DataFrame:
     """One row per column: ``row_count``, ``null_pct``, ``fill_pct``, ``distinct_count``.
 
     A single pass over the data.  Distinct counts are approximate by default,
@@ -27,11 +36,11 @@ def column_stats(df: DataFrame, exact: bool = False, rsd: float = 0.02) -> DataF
     value and is meant for checks.  An array counts as null when it is NULL or
     empty.  An empty table has no rows in the result.
     """
-    distinct = F.countDistinct if exact else (lambda c: F.approx_count_distinct(c, rsd))
     measures = [F.count(F.lit(1)).alias("n")]
     for i, f in enumerate(df.schema.fields):
         measures.append(F.count_if(_is_empty(f.name, f.dataType)).alias(f"e{i}"))
-        measures.append(distinct(C.quoted(f.name)).alias(f"d{i}"))
+        distinct = F.countDistinct(C.quoted(f.name)) if exact else _sketched_distinct(f.name)
+        measures.append(distinct.alias(f"d{i}"))
     entries = [
         F.struct(
             F.lit(f.name).alias("column"),
@@ -89,7 +98,7 @@ def enriched_stats(stats: DataFrame, dim: DataFrame, residence: str) -> DataFram
     )
 
 
-def summarize(df: DataFrame, quantiles: bool = True, rsd: float = 0.02) -> DataFrame:
+def summarize(df: DataFrame, quantiles: bool = True) -> DataFrame:
     """Per column: type, min, max, approximate unique, mean, deviation, quartiles, count, null share.
 
     One pass, long result; mean, deviation and quartiles are NULL for columns
@@ -102,7 +111,7 @@ def summarize(df: DataFrame, quantiles: bool = True, rsd: float = 0.02) -> DataF
         nested = isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))
         measures += [
             F.count(c).alias(f"count{i}"),
-            F.approx_count_distinct(c, rsd).alias(f"unique{i}"),
+            _sketched_distinct(f.name).alias(f"unique{i}"),
             (F.lit(None).cast("string") if nested else F.min(c).cast("string")).alias(f"min{i}"),
             (F.lit(None).cast("string") if nested else F.max(c).cast("string")).alias(f"max{i}"),
         ]

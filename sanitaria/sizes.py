@@ -1,4 +1,4 @@
-"""Broadcast a side only after its size was measured."""
+"""Decisions that depend on the size of an input."""
 
 from __future__ import annotations
 
@@ -16,3 +16,13 @@ def broadcast_if_small(side: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame
     """
     probe = side.select(F.lit(1).alias("one")).limit(rows + 1)
     return F.broadcast(side) if probe.count() <= rows else side
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan with fewer splits than cores, dealt out evenly; any larger scan unchanged.
+
+    Meant before costly work per row over a small or single file.  Large inputs
+    have more splits than cores and are never shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

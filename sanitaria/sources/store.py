@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sanitaria.operators.enrich import with_labels, with_municipality
 from sanitaria.systems import REGISTRY, System, get_system
@@ -22,10 +23,13 @@ def municipality_path(root: str) -> str:
     return f"{root.rstrip('/')}/ibge/{MUNICIPALITY_VIEW}"
 
 
-def read_or_none(spark: SparkSession, path: str, **options: str) -> DataFrame | None:
+def read_or_none(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, **options: str
+) -> DataFrame | None:
     """A Parquet folder, or None when it does not exist or holds no data file."""
+    reader = spark.read.options(**options)
     try:
-        return spark.read.options(**options).parquet(path)
+        return (reader if schema is None else reader.schema(schema)).parquet(path)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -40,19 +44,24 @@ def scan_store(
     merge_schema: bool = True,
     filename: bool = True,
 ) -> DataFrame:
-    """All rows of a system's store, columns merged by name, with the virtual ``filename``.
+    """All rows of a system's store with the virtual ``filename``; ``ufs`` prunes partitions.
 
-    ``ufs`` prunes partitions.  Files written by this package all share one
-    schema, so ``merge_schema=False`` spares the footer pass over a large store.
+    Columns are merged by name over all files.  A store of typed rows written by
+    this package has the canonical schema throughout: ``merge_schema=False``
+    reads it under that schema without opening a single footer first.
     """
     spec = get_system(system)
-    rows = read_or_none(spark, store_path(root, spec), mergeSchema=str(merge_schema).lower())
+    if merge_schema:
+        rows = read_or_none(spark, store_path(root, spec), mergeSchema="true")
+    else:
+        rows = read_or_none(spark, store_path(root, spec), spec.schema)
     if rows is None:
         raise ValueError(f"no data files for {spec.name} below {root}")
-    if ufs is not None:
-        rows = rows.where(F.col("uf").isin(*[uf.upper() for uf in ufs]))
-    columns = [F.col(f"`{c}`").cast("string").alias(c) if c == "uf" else F.col(f"`{c}`") for c in rows.columns]
-    return rows.select(*columns, F.col("_metadata.file_path").alias("filename")) if filename else rows.select(*columns)
+    if not isinstance(rows.schema["uf"].dataType, T.StringType):
+        rows = rows.withColumn("uf", F.col("uf").cast("string"))
+    if filename:
+        rows = rows.withColumn("filename", F.col("_metadata.file_path"))
+    return rows if ufs is None else rows.where(F.col("uf").isin(*[uf.upper() for uf in ufs]))
 
 
 def data_files(spark: SparkSession, root: str, system: str | System) -> DataFrame:
