@@ -19,7 +19,7 @@ SPACES = "".join(
     chr(code)
     for code in (0x20, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x202F, 0x205F, 0x3000)
 )
-CODE_PATTERN = "^[A-Z][0-9]{2,3}$"
+CODE_PATTERN = r"^[A-Z][0-9]{2,3}\z"
 
 
 def quoted(name: str) -> Column:
@@ -80,10 +80,10 @@ def parse_date(c: Column, allow_future: bool = False) -> Column:
 
     day_only = F.substring_index(F.substring_index(c, " ", 1), "T", 1)
     return F.coalesce(
-        reading(f"^{_YEAR}{_MONTH}{_DAY}$", part(1, 4), part(5, 2), part(7, 2)),
-        reading(f"^{_DAY}{_MONTH}{_YEAR}$", part(5, 4), part(3, 2), part(1, 2)),
-        reading(f"^[1-9]{_MONTH}{_YEAR}$", part(4, 4), part(2, 2), F.concat(F.lit("0"), part(1, 1))),
-        reading("^[0-9]{4}[-/][0-9]{1,2}[-/][0-9]{1,2}([ T]|$)", F.replace(day_only, F.lit("/"), F.lit("-"))),
+        reading(rf"^{_YEAR}{_MONTH}{_DAY}\z", part(1, 4), part(5, 2), part(7, 2)),
+        reading(rf"^{_DAY}{_MONTH}{_YEAR}\z", part(5, 4), part(3, 2), part(1, 2)),
+        reading(rf"^[1-9]{_MONTH}{_YEAR}\z", part(4, 4), part(2, 2), F.concat(F.lit("0"), part(1, 1))),
+        reading(r"^[0-9]{4}[-/][0-9]{1,2}[-/][0-9]{1,2}([ T]|\z)", F.replace(day_only, F.lit("/"), F.lit("-"))),
     )
 
 
@@ -104,14 +104,14 @@ def to_integer(c: Column, kind: str, largest: int | None = None) -> Column:
     columns whose codes outgrow their type.  ``largest`` guards columns that are
     unsigned in the record layout.
     """
-    whole = F.when(c.rlike("^[+-]?[0-9]{1,18}$"), c.cast("bigint"))
-    other = F.when(c.rlike("^[+-]?[0-9.]+([eE][+-]?[0-9]+)?$"), F.round(c.try_cast("decimal(38,10)")).try_cast("bigint"))
+    whole = F.when(c.rlike(r"^[+-]?[0-9]{1,18}\z"), c.cast("bigint"))
+    other = F.when(c.rlike(r"^[+-]?[0-9.]+([eE][+-]?[0-9]+)?\z"), F.round(c.try_cast("decimal(38,10)")).try_cast("bigint"))
     number = F.coalesce(whole, other)
     low, high = RANGES[kind] if largest is None else (0, largest)
     return F.when(number.between(low, high), number.cast(kind))
 
 
-NUMBER = r"(?i)^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?|inf(inity)?|nan)$"
+NUMBER = r"(?i)^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?|inf(inity)?|nan)\z"
 
 
 def to_float(c: Column) -> Column:
@@ -129,7 +129,7 @@ def to_boolean(
 
 def parse_time(c: Column) -> Column:
     """``HHMM`` or ``HH:MM`` as ``HH:mm:ss``; anything out of range is NULL."""
-    valid = c.rlike("^([01][0-9]|2[0-3]):?[0-5][0-9]$")
+    valid = c.rlike(r"^([01][0-9]|2[0-3]):?[0-5][0-9]\z")
     return F.when(valid, F.concat(F.substring(c, 1, 2), F.lit(":"), F.right(c, F.lit(2)), F.lit(":00")))
 
 
