@@ -400,6 +400,44 @@ def register_csv(spark, sf):
     return D.register_csv(spark, path, "check_nation").select("n_nationkey", "n_name", "n_regionkey")
 
 
+@register(
+    "src_06_load_dimension",
+    "SELECT c_mktsegment, 2 * count(*) AS n FROM customer GROUP BY c_mktsegment",
+)
+def load_dimension(spark, sf):
+    """Replace, then append: every row of the file is in the table twice."""
+    path, location, name = scratch_dir(spark, "src06"), scratch_dir(spark, "src06_table"), "check_dimension"
+    E.export_csv(V.table(spark, sf, "customer"), path)
+    for replace in (True, False):
+        D.load_dimension(spark, name, path, replace=replace, location=location)
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.parquet(location).groupBy("c_mktsegment").agg(rows().alias("n"))
+
+
+@register(
+    "cov_06_dimension_status",
+    "SELECT 'check_status' AS dimension, count(*) AS row_count, count(*) > 0 AS loaded FROM nation "
+    "UNION ALL SELECT 'check_absent', CAST(-1 AS BIGINT), FALSE",
+)
+def dimension_status(spark, sf):
+    path, location = scratch_dir(spark, "cov06"), scratch_dir(spark, "cov06_table")
+    E.export_csv(V.table(spark, sf, "nation"), path)
+    D.load_dimension(spark, "check_status", path, location=location)
+    status = D.dimension_status(spark, ("check_status", "check_absent"))
+    spark.sql("DROP TABLE check_status")
+    return status
+
+
+@register("snk_12_copy_range", f"WITH {R.ADMISSIONS} SELECT uf, count(*) AS n{_RANGE_SQL}uf")
+def copy_range(spark, sf):
+    location = scratch_dir(spark, "snk12")
+    E.copy_range(
+        R.admissions(spark, sf).select(*_EXPORT), "sihsus", "2016-01-01", "2017-12-31", "check_copy", path=location
+    )
+    spark.sql("DROP TABLE check_copy")
+    return spark.read.parquet(location).groupBy("uf").agg(rows().alias("n"))
+
+
 register(
     "cov_02_store_overview",
     f"WITH {R.DEATH_FILES} SELECT 'sim' AS system, count(*) AS files, min(printf('%04d-01', year)) AS first_period, "

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
@@ -160,6 +161,16 @@ def preview(spark: SparkSession, query: str | DataFrame, limit: int = DEFAULT_RO
     )
 
 
-def sample_rows(df: DataFrame, n: int, seed: int | None = None) -> DataFrame:
-    """``n`` random rows: each task keeps its own ``n`` best random keys, then one merge."""
-    return df.orderBy(F.rand(seed)).limit(n)
+def sample_rows(df: DataFrame, n: int, seed: int | None = None, total: int | None = None) -> DataFrame:
+    """``n`` random rows: those with the smallest random keys.
+
+    Rows whose key cannot be among them are thinned out first, so a scan of very
+    many tasks does not send ``n`` candidates from each.  The threshold leaves
+    ten standard deviations more than ``n``.  ``total`` spares the row count.
+    """
+    rows = df.count() if total is None else total
+    keyed = df.withColumn("_key", F.rand(seed))
+    wanted = n + 10 * math.sqrt(n) + 100
+    if rows > 4 * wanted:
+        keyed = keyed.where(F.col("_key") < wanted / rows)
+    return keyed.orderBy("_key").limit(n).drop("_key")

@@ -116,11 +116,17 @@ def export_by_partition(
 
 
 def copy_range(
-    df: DataFrame, system: str | System, start: date | str, end: date | str, target: str, overwrite: bool = False
+    df: DataFrame,
+    system: str | System,
+    start: date | str,
+    end: date | str,
+    target: str,
+    overwrite: bool = False,
+    path: str | None = None,
 ) -> None:
-    """Rows of a date range as a new table; an existing target is an error unless ``overwrite``."""
-    rows = df.where(date_range(system, start, end))
-    rows.write.mode("overwrite" if overwrite else "errorifexists").saveAsTable(target)
+    """Rows of a date range as a new table, at ``path`` if given; an existing target is an error unless ``overwrite``."""
+    writer = df.where(date_range(system, start, end)).write.mode("overwrite" if overwrite else "errorifexists")
+    (writer.option("path", path) if path else writer).saveAsTable(target)
 
 
 def capped_rows(

@@ -66,11 +66,20 @@ def register_csv(spark: SparkSession, path: str, name: str, replace: bool = True
 
 
 def load_dimension(
-    spark: SparkSession, name: str, path: str, replace: bool = True, sep: str = ";", header: bool = True
+    spark: SparkSession,
+    name: str,
+    path: str,
+    replace: bool = True,
+    sep: str = ";",
+    header: bool = True,
+    location: str | None = None,
 ) -> int:
-    """A delimited file into a dimension table; appends unless ``replace``.  Gives the table's row count."""
-    rows = read_delimited(spark, path, sep, header)
-    rows.write.mode("overwrite" if replace else "append").saveAsTable(name)
+    """A delimited file into a dimension table, at ``location`` if given; appends unless ``replace``.
+
+    Gives the row count of the table.
+    """
+    writer = read_delimited(spark, path, sep, header).write.mode("overwrite" if replace else "append")
+    (writer.option("path", location) if location else writer).saveAsTable(name)
     return spark.table(name).count()
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from sanitaria.functions import columns as C
 from sanitaria.operators.transform import canonicalize, clean_columns, typed_column
+from sanitaria.session import scratch_dir
 from sanitaria.sinks import manifest
 from sanitaria.sinks.store import insert_new_files, not_loaded, observed
 from sanitaria.sources.landing import as_text, with_origin
@@ -32,12 +33,16 @@ def load_batch(
     """One load: new files only, typed, appended, then recorded in manifest and report.
 
     Data first, manifest second: a run that dies in between finds its files in
-    the store and only adds the missing manifest entries the next time.
-    ``audit`` also counts, within the same pass, values that typing turned to NULL.
+    the store and only adds the missing manifest entries the next time.  The
+    file names are written aside once, so the landing data is read for them and
+    for the load itself, and never again.  ``audit`` also counts, within the
+    load, values that typing turned to NULL.
     """
-    spec = get_system(system)
+    spec, spark = get_system(system), landing.sparkSession
     names = landing.select("source_file").where("source_file is not null").distinct()
-    fresh = not_loaded(names, manifest.listed_files(landing.sparkSession, root, spec))
+    aside = scratch_dir(spark, "names")
+    not_loaded(names, manifest.listed_files(spark, root, spec)).coalesce(1).write.parquet(aside)
+    fresh = spark.read.schema("source_file string").parquet(aside)
     cleaned, losses = clean_columns(landing), Observation()
     if audit:
         lost = [
