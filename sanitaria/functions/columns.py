@@ -33,7 +33,7 @@ def trim_spaces(c: Column) -> Column:
 
 
 def _has_invisible(c: Column) -> Column:
-    return reduce(lambda a, b: a | b, [F.contains(c, F.lit(ch)) for ch in INVISIBLE])
+    return reduce(lambda a, b: a | b, map(c.contains, INVISIBLE))
 
 
 def clean(c: Column) -> Column:

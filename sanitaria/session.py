@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Call-site capture doubles the time it takes to build wide transforms.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
