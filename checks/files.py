@@ -94,14 +94,15 @@ register(
 
 
 def _gappy(spark, sf):
-    """Files whose month number does not divide by five are there, the others are gaps."""
-    return files(spark, sf).where((F.col("size_bytes") / 1000) > 6)
+    """Only files of at least the mean size, so that every state has gaps at any scale."""
+    known = files(spark, sf)
+    return known.where(F.col("size_bytes") >= known.agg(F.avg("size_bytes")).scalar())
 
 
 register(
     "cov_04_missing_months",
     f"{_HOSPITAL_FILES} SELECT uf, CAST(max({_INDEX}) - min({_INDEX}) + 1 - count(DISTINCT {_INDEX}) AS BIGINT) "
-    "AS missing_periods FROM files WHERE size_bytes / 1000 > 6 GROUP BY uf",
+    "AS missing_periods FROM files WHERE size_bytes >= (SELECT avg(size_bytes) FROM files) GROUP BY uf",
 )(lambda spark, sf: K.missing_periods(_gappy(spark, sf), "sihsus"))
 register(
     "cov_04_missing_years",
@@ -110,7 +111,7 @@ register(
 )(lambda spark, sf: K.missing_periods(death_files(spark, sf), "sim"))
 register(
     "cov_04_missing_month_list",
-    f"{_HOSPITAL_FILES}, known AS (SELECT DISTINCT uf, {_INDEX} AS i FROM files WHERE size_bytes / 1000 > 6), "
+    f"{_HOSPITAL_FILES}, known AS (SELECT DISTINCT uf, {_INDEX} AS i FROM files WHERE size_bytes >= (SELECT avg(size_bytes) FROM files)), "
     "spans AS (SELECT uf, min(i) AS a, max(i) AS b FROM known GROUP BY uf), "
     "expected AS (SELECT uf, unnest(generate_series(a, b)) AS i FROM spans) "
     "SELECT uf, CAST(i // 12 AS INTEGER) AS year, CAST(i % 12 + 1 AS INTEGER) AS month FROM "

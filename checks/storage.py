@@ -219,11 +219,6 @@ def dictionary(spark, sf):
     )
 
 
-@register("prf_09_schema_table", None)
-def schema_table(spark, sf):
-    return P.schema_table(R.admissions(spark, sf))
-
-
 @register(
     "cov_01_store_files",
     f"WITH {R.ADMISSIONS_RAW} SELECT uf, TRUE AS has_files, TRUE AS has_bytes FROM adm_raw GROUP BY uf",
@@ -392,12 +387,13 @@ def export_summary(spark, sf):
 
 @register(
     "src_05_register_csv",
-    "SELECT n_nationkey, n_name, n_regionkey FROM nation",
+    "SELECT c_custkey, c_name, CAST(c_nationkey AS INTEGER) AS c_nationkey, c_mktsegment FROM customer",
 )
 def register_csv(spark, sf):
     path = scratch_dir(spark, "src05")
-    E.export_csv(V.table(spark, sf, "nation"), path)
-    return D.register_csv(spark, path, "check_nation").select("n_nationkey", "n_name", "n_regionkey")
+    E.export_csv(V.table(spark, sf, "customer"), path)
+    view = D.register_csv(spark, path, "check_customer")
+    return view.select(F.col("c_custkey").cast("bigint"), "c_name", "c_nationkey", "c_mktsegment")
 
 
 @register(
@@ -416,12 +412,12 @@ def load_dimension(spark, sf):
 
 @register(
     "cov_06_dimension_status",
-    "SELECT 'check_status' AS dimension, count(*) AS row_count, count(*) > 0 AS loaded FROM nation "
+    "SELECT 'check_status' AS dimension, count(*) AS row_count, count(*) > 0 AS loaded FROM customer "
     "UNION ALL SELECT 'check_absent', CAST(-1 AS BIGINT), FALSE",
 )
 def dimension_status(spark, sf):
     path, location = scratch_dir(spark, "cov06"), scratch_dir(spark, "cov06_table")
-    E.export_csv(V.table(spark, sf, "nation"), path)
+    E.export_csv(V.table(spark, sf, "customer"), path)
     D.load_dimension(spark, "check_status", path, location=location)
     status = D.dimension_status(spark, ("check_status", "check_absent"))
     spark.sql("DROP TABLE check_status")

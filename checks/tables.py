@@ -17,6 +17,7 @@ from sanitaria.operators.predicates import date_range, where_rules
 from sanitaria.operators.transform import transform
 from sanitaria.plans.common import rows
 from sanitaria.sinks.store import not_loaded
+from sanitaria.sizes import spread
 from sanitaria.sources.dimensions import build_municipalities, municipality_lookup
 from sanitaria.sources.store import enriched
 
@@ -229,7 +230,12 @@ def previewed(spark, sf):
     )
 
 
-register("srt_04_sample", None)(lambda spark, sf: sample_rows(V.table(spark, sf, "lineitem"), 1000, seed=7))
+@register("srt_04_sample", "SELECT least(count(*), 1000) AS n, least(count(*), 1000) AS different FROM orders")
+def sampled(spark, sf):
+    """A random sample has the size asked for and repeats no row."""
+    sample = sample_rows(V.table(spark, sf, "orders"), 1000, seed=7)
+    return sample.agg(rows().alias("n"), F.countDistinct("o_orderkey").alias("different"))
+
 
 # -- set operations ----------------------------------------------------------
 
@@ -331,7 +337,7 @@ def _summary_sql():
 
 register("prf_06_summarize", _summary_sql())(
     lambda spark, sf: P.summarize(
-        V.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
+        spread(V.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus"))
     ).select(
         "column_name", "column_type", "min", "max", F.round("avg", 4).alias("avg"), F.round("std", 4).alias("std"),
         "count", "null_percentage",
@@ -339,13 +345,11 @@ register("prf_06_summarize", _summary_sql())(
 )
 register(
     "prf_06_summarize_quartiles",
-    "SELECT column_name, q25, q50, q75 FROM (SELECT 'o_totalprice' AS column_name, "
-    "quantile_disc(o_totalprice, 0.25) AS q25, quantile_disc(o_totalprice, 0.5) AS q50, "
-    "quantile_disc(o_totalprice, 0.75) AS q75 FROM orders) WHERE FALSE"
-    " UNION ALL SELECT 'l_linenumber', CAST(quantile_disc(l_linenumber, 0.25) AS DOUBLE), "
-    "CAST(quantile_disc(l_linenumber, 0.5) AS DOUBLE), CAST(quantile_disc(l_linenumber, 0.75) AS DOUBLE) FROM lineitem",
+    "SELECT 'l_linenumber' AS column_name, CAST(quantile_disc(l_linenumber, 0.25) AS DOUBLE) AS q25, "
+    "CAST(quantile_disc(l_linenumber, 0.5) AS DOUBLE) AS q50, "
+    "CAST(quantile_disc(l_linenumber, 0.75) AS DOUBLE) AS q75 FROM lineitem",
 )(
-    lambda spark, sf: P.summarize(V.table(spark, sf, "lineitem").select("l_linenumber")).select(
+    lambda spark, sf: P.summarize(spread(V.table(spark, sf, "lineitem").select("l_linenumber"))).select(
         "column_name", "q25", "q50", "q75"
     )
 )

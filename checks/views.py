@@ -118,17 +118,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _view(spark: SparkSession, sf_dir: str, text: str, source: str) -> DataFrame:
-    rows = spread(table(spark, sf_dir, source))
+def _view(spark: SparkSession, sf_dir: str, text: str, source: str, costly: bool = False) -> DataFrame:
+    rows = spread(table(spark, sf_dir, source)) if costly else table(spark, sf_dir, source)
     return spark.sql(text.replace(f"FROM {source}", f"FROM {{{source}}}"), **{source: rows})
 
 
 def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _view(spark, sf_dir, ADMISSIONS, "orders")
+    return _view(spark, sf_dir, ADMISSIONS, "orders", costly=True)
 
 
 def deaths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _view(spark, sf_dir, DEATHS, "orders")
+    return _view(spark, sf_dir, DEATHS, "orders", costly=True)
 
 
 def municipalities(spark: SparkSession, sf_dir: str) -> DataFrame:
