@@ -44,7 +44,8 @@ def clean(c: Column) -> Column:
     """
     text = c.cast("string")
     visible = F.when(_has_invisible(text), F.translate(text, INVISIBLE, "")).otherwise(text)
-    return F.nullif(trim_spaces(visible), F.lit(""))
+    trimmed = trim_spaces(visible)
+    return F.when(trimmed != "", trimmed)
 
 
 def clean_upper(c: Column) -> Column:
