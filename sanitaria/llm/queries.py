@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 
 from sanitaria.llm.chat import digests, format_conversations
 from sanitaria.llm.common import table
+from sanitaria.llm.fingerprint import fingerprint_edits
+from sanitaria.llm.htmltext import extract
 from sanitaria.llm.mixing import mix_sources
+from sanitaria.llm.pii import find_private
+from sanitaria.llm.quality import quality, train
 from sanitaria.llm.sharding import shard_minimax
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,12 +27,36 @@ def op1_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents."""
+    return find_private(table(spark, sf_dir, "documents"))
+
+
 def op3_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed by source to 150 % of their words."""
     mixed = mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of all documents, under a model of the labelled ones."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = quality(docs, train(docs, table(spark, sf_dir, "labels")))
+    names = "words word_chars symbols dup_lines repeat_words base_failed kept".split()
+    as_named = {"words": "n_words", "symbols": "n_symbols", "dup_lines": "n_dup_lines", "repeat_words": "n_repeat_words"}
+    return judged.select("doc_id", *(F.col(f"quality_{n}").alias(as_named.get(n, n)) for n in names))
+
+
+def op6_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return extract(table(spark, sf_dir, "pages"))
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return fingerprint_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 #: What the added conversation says, twice.
 CONTROL = "<|im_end|><|im_start|>assistant ok"
 
@@ -59,7 +87,11 @@ FROM turns GROUP BY conv_id"""
 
 QUERIES: dict[str, Query] = {
     "op1_minimax_shards": op1_minimax_shards,
+    "op2_private_data": op2_private_data,
     "op3_cube_mix": op3_cube_mix,
+    "op4_quality_rules": op4_quality_rules,
+    "op6_page_text": op6_page_text,
+    "op9_fingerprints": op9_fingerprints,
     "op10_chat_format": op10_chat_format,
 }
 CHECKS: dict[str, str] = {"op10_chat_format": OP10_SQL}
