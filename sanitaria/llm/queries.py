@@ -11,6 +11,7 @@ from sanitaria.llm.chat import digests, format_conversations
 from sanitaria.llm.common import table
 from sanitaria.llm.fingerprint import fingerprint_edits
 from sanitaria.llm.htmltext import extract
+from sanitaria.llm.jaccard import jaccard_join
 from sanitaria.llm.mixing import mix_sources
 from sanitaria.llm.pii import find_private
 from sanitaria.llm.quality import quality, train
@@ -52,6 +53,12 @@ def op6_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents that share nine tenths of their 3-word shingles."""
+    joined = jaccard_join(table(spark, sf_dir, "documents"), words=3, percent=90)
+    return joined.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts."""
     return fingerprint_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -91,6 +98,7 @@ QUERIES: dict[str, Query] = {
     "op3_cube_mix": op3_cube_mix,
     "op4_quality_rules": op4_quality_rules,
     "op6_page_text": op6_page_text,
+    "op7_jaccard_join": op7_jaccard_join,
     "op9_fingerprints": op9_fingerprints,
     "op10_chat_format": op10_chat_format,
 }
