@@ -47,6 +47,15 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(steps)
 
 
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the bytes of each span, from one running sum over all bytes."""
+    n = len(data)
+    sums = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, n), out=sums[1:])
+    h = (sums[end] - sums[start]) * _powers(_INVERSE, n + 1)[start]
+    return mixed(h + (end - start).astype(np.uint64))
+
+
 class ByteWords:
     """``data``: the texts, each followed by a space; ``first[i]`` where text i begins.
 
@@ -69,11 +78,7 @@ class ByteWords:
 
     @property
     def hash(self) -> np.ndarray:
-        n = len(self.data)
-        sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, n), out=sums[1:])
-        h = (sums[self.end] - sums[self.start]) * _powers(_INVERSE, n + 1)[self.start]
-        return mixed(h + (self.end - self.start).astype(np.uint64))
+        return span_hashes(self.data, self.start, self.end)
 
     def each(self, values: np.ndarray) -> np.ndarray:
         """Sum of per-word values for each text."""

@@ -6,9 +6,8 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sanitaria.session import scratch_dir
 
@@ -60,14 +59,37 @@ def word_counts(docs: DataFrame, lower: bool = True, text: str = "text") -> Data
     return parts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def head_words(counts: DataFrame, limit: int, longest: int = 64) -> DataFrame:
-    """The ``limit`` most frequent words of at most ``longest`` bytes; ties by the word.
+def _step(n: Column) -> Column:
+    """Counts in steps: each small count by itself, larger ones by about a hundredth."""
+    return F.floor(F.log2(n) * 64).cast("int")
 
-    Both bounds make the result safe to send to every executor: at most ``limit * (longest + 8)`` bytes.
+
+def count_floor(counts: DataFrame, limit: int) -> int:
+    """The lowest step with which at most ``limit`` rows of ``counts`` have it or a higher one.
+
+    The driver gets one row for each step, some four thousand at most, and no rows are sorted.
     """
-    short = counts.filter(F.octet_length("word") <= longest)
-    return short.orderBy(F.desc("n"), "word").limit(limit)
+    rows = sorted(counts.groupBy(_step(F.col("n")).alias("step")).agg(F.count("*")).collect(), reverse=True)
+    held, floor = 0, 1 << 30
+    for step, n in rows:
+        held += n
+        if held > limit:
+            break
+        floor = step
+    return floor
+
 
+def at_least(counts: DataFrame, floor: int, below: bool = False) -> DataFrame:
+    """Rows of that step and higher, or those below it."""
+    return counts.filter((_step(F.col("n")) < floor) if below else (_step(F.col("n")) >= floor))
 
-def as_struct(ddl: str) -> T.StructType:
-    return T._parse_datatype_string(ddl)  # type: ignore[return-value]
+
+def head_words(counts: DataFrame, limit: int, longest: int = 64) -> pd.DataFrame:
+    """The most frequent words of at most ``longest`` bytes, ``limit`` of them at most, on the driver by falling count.
+
+    Both bounds make the result safe to send to every executor: at most ``limit * (longest + 8)`` bytes.
+    Words of one step of counts are taken or left together.
+    """
+    short = counts.filter(F.octet_length("word") <= longest)
+    found = at_least(short, count_floor(short, limit)).toPandas()
+    return found.sort_values(["n", "word"], ascending=[False, True]).reset_index(drop=True)

@@ -156,7 +156,7 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, key: str =
         F.coalesce(F.col(key).cast("long"), F.lit(NULL_ID)).alias("id"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     )
-    head = head_words(word_counts(rows), HEAD).toPandas()
+    head = head_words(written(word_counts(rows), "jaccard-words"), HEAD)
     hashes = ByteWords([bytes(w) for w in head["word"]]).hash if len(head) else np.zeros(0, np.uint64)
     order = np.argsort(hashes)
     ranked = hashes[order], head["n"].to_numpy(dtype=np.int64)[order]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,9 +13,11 @@ from sanitaria.llm.common import table
 from sanitaria.llm.fingerprint import fingerprint_edits
 from sanitaria.llm.htmltext import extract
 from sanitaria.llm.jaccard import jaccard_join
+from sanitaria.llm.lm import train_and_score
 from sanitaria.llm.mixing import mix_sources
 from sanitaria.llm.pii import find_private
 from sanitaria.llm.quality import quality, train
+from sanitaria.llm.sentencepiece import Vocabulary, encode
 from sanitaria.llm.sharding import shard_minimax
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +51,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *(F.col(f"quality_{n}").alias(as_named.get(n, n)) for n in names))
 
 
+def op5_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all documents under the model of nine tenths of them."""
+    return train_and_score(table(spark, sf_dir, "documents"))
+
+
 def op6_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of all pages."""
     return extract(table(spark, sf_dir, "pages"))
@@ -59,6 +67,15 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
 
 
+#: Vocabulary of the encoder.
+MODEL = os.environ.get("SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents."""
+    return encode(table(spark, sf_dir, "documents"), Vocabulary.load(MODEL))
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts."""
     return fingerprint_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -97,8 +114,10 @@ QUERIES: dict[str, Query] = {
     "op2_private_data": op2_private_data,
     "op3_cube_mix": op3_cube_mix,
     "op4_quality_rules": op4_quality_rules,
+    "op5_log_bilinear": op5_log_bilinear,
     "op6_page_text": op6_page_text,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_fingerprints": op9_fingerprints,
     "op10_chat_format": op10_chat_format,
 }
