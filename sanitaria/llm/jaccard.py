@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sanitaria.llm.bytewords import ByteWords, chunks, encoded, mixed
-from sanitaria.llm.common import head_words, lower_words_of, word_counts, written
+from sanitaria.llm.common import head_words, lower_words_of, with_row_ids, word_counts, written
 from sanitaria.llm.components import connected_components
 
 #: Words whose counts order the shingles; all rarer words count as equally rare.
@@ -258,3 +258,21 @@ def _expanded(pairs: DataFrame, members: DataFrame, singles: DataFrame) -> DataF
         pairs = pairs.withColumn(f"c_{side}", F.coalesce(f"c_{side}", f"s_{side}", group)).withColumn(f"r_{side}", F.coalesce(f"r_{side}", group))
     kept = pairs.filter((F.col("c_a") != F.col("c_b")) & (F.col("r_a") != F.col("r_b")))
     return kept.select(F.least("r_a", "r_b").alias("a"), F.greatest("r_a", "r_b").alias("b")).distinct()
+
+
+def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id") -> DataFrame:
+    """``docs`` with one row of each component of ``jaccard_join``: the one with the smallest ``key``, nulls last.
+
+    Rows are told apart by where they stand, so rows with a null or a repeated key are rows of their own, and
+    of repeated rows one stays.  Texts without words are linked with nothing and all stay.
+    """
+    rows, row = with_row_ids(docs, "jaccard-rows")
+    found = jaccard_join(rows.select(row, "text"), words, percent, key=row).select(F.col("id").alias(row), "component")
+    keyed = rows.select(row, F.col(key).alias("key")).join(found, row)
+    best = keyed.groupBy("component").agg(
+        F.min(F.struct(F.col("key").isNull().alias("none"), "key", row)).alias("best"), F.count("*").alias("n")
+    )
+    many = best.filter("n > 1").select("component", F.col(f"best.{row}").alias("stays"))
+    gone = written(keyed.join(many, "component").filter(F.col(row) != F.col("stays")).select(row), "jaccard-gone")
+    few = gone.count() <= BROADCAST_IDS
+    return rows.join(F.broadcast(gone) if few else gone, row, "left_anti").select(*docs.columns)
