@@ -27,14 +27,19 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or one like it that no column of ``df`` has."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name = f"_{name}"
+    return name
+
+
 def with_row_ids(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
     """A written copy of ``df`` with a number for each row, and the name of that column, which is none of the others'.
 
     The numbers are stored, so that two readings of the copy agree on them, and rows that are equal in all else differ.
     """
-    name = "row_id"
-    while name.lower() in {c.lower() for c in df.columns}:
-        name = f"_{name}"
+    name = free_name(df, "row_id")
     return written(df.withColumn(name, F.monotonically_increasing_id()), purpose), name
 
 

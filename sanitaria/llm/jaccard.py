@@ -46,8 +46,18 @@ def _signatures(value: np.ndarray) -> int:
         return int(mixed(value * np.uint64(0xC2B2AE3D27D4EB4F)).sum(dtype=np.uint64).astype(np.int64))
 
 
+#: 64-bit numbers of a set's parity bits.
+BITS = ("b0", "b1", "b2", "b3")
+
+
+def _parities(value: np.ndarray) -> list[int]:
+    """For each of 256 classes of hashes whether the set has an odd number of them, as four numbers."""
+    odd = np.bincount((value >> np.uint64(56)).astype(np.int64), minlength=64 * len(BITS)) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 def prefixes(docs: DataFrame, head: tuple[np.ndarray, np.ndarray], words: int, percent: int) -> DataFrame:
-    """``id, n, sig, sig2, prefix``: of each document's shingles the rarest, enough to share one with any similar set.
+    """``id, n, sig, sig2, prefix`` and ``BITS``: of each document's shingles the rarest, enough to share one with any similar set.
 
     Shingles are ordered by the count of their rarest word, then by hash. A document of n
     shingles shares at least ``percent`` of them with a similar one, so one of its first
@@ -63,7 +73,7 @@ def prefixes(docs: DataFrame, head: tuple[np.ndarray, np.ndarray], words: int, p
                 for value, parts in shingle_sets(texts[a:b], words):
                     n = len(value)
                     if not n:
-                        rows.append((0, 0, 0, np.zeros(0, np.int64)))
+                        rows.append((0, 0, 0, np.zeros(0, np.int64), 0, 0, 0, 0))
                         continue
                     if len(hashes):
                         at = np.minimum(np.searchsorted(hashes, parts), len(hashes) - 1)
@@ -73,11 +83,12 @@ def prefixes(docs: DataFrame, head: tuple[np.ndarray, np.ndarray], words: int, p
                     kept = n + (-n * percent // 100) + 1
                     order = np.lexsort((value, rarity))[:kept]
                     sig = int(mixed(value.copy()).sum(dtype=np.uint64).astype(np.int64))
-                    rows.append((n, sig, _signatures(value), value[order].astype(np.int64)))
-            found = pd.DataFrame(rows, columns=["n", "sig", "sig2", "prefix"])
+                    rows.append((n, sig, _signatures(value), value[order].astype(np.int64), *_parities(value)))
+            found = pd.DataFrame(rows, columns=["n", "sig", "sig2", "prefix", *BITS])
             yield pd.concat([batch[["id"]].reset_index(drop=True), found], axis=1)
 
-    return docs.mapInPandas(run, "id bigint, n int, sig bigint, sig2 bigint, prefix array<bigint>")
+    bits = ", ".join(f"{b} bigint" for b in BITS)
+    return docs.mapInPandas(run, f"id bigint, n int, sig bigint, sig2 bigint, prefix array<bigint>, {bits}")
 
 
 def _shingles(text: str, words: int) -> frozenset[tuple[bytes, ...]]:
@@ -126,6 +137,21 @@ def _may_link(percent: int) -> Column:
     return sizes & (n_a - F.col("at_a") >= needed) & (n_b - F.col("at_b") >= needed)
 
 
+def _bits_allow(percent: int) -> Column:
+    """Two sets differ in at least as many shingles as they have parity bits that differ: not too many for a link."""
+    differ = sum((F.bit_count(F.col(f"{b}_a").bitwiseXOR(F.col(f"{b}_b"))) for b in BITS), F.lit(0))
+    return differ <= F.col("n_a") + F.col("n_b") - 2 * _needed(F.col("n_a"), F.col("n_b"), percent)
+
+
+def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of classes whose sizes and parity bits allow a link."""
+    for side in ("a", "b"):
+        facts = classes.select(F.col("rep").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in ("n", *BITS)))
+        pairs = pairs.join(facts, side)
+    sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+    return pairs.filter(sizes & _bits_allow(percent)).select("a", "b").distinct()
+
+
 def _side(tokens: DataFrame, name: str) -> DataFrame:
     return tokens.select("token", *(F.col(c).alias(f"{c}_{name}") for c in tokens.columns if c != "token"))
 
@@ -140,7 +166,7 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, key: str =
        stands first; within a group every member with the first one.  This takes pairs in
        proportion to the lists and finds most components, however many copies there are.
     4. What is left to compare are pairs of groups that share a shingle and are not yet in
-       one component: these are filtered by size and place, expanded to members of different
+       one component: these are filtered by size, place and parity bits, expanded to members of different
        components, and verified.  Nothing is capped: every pair that could join two
        components is tried.
 
@@ -162,10 +188,14 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, key: str =
     ranked = hashes[order], head["n"].to_numpy(dtype=np.int64)[order]
     sets = written(prefixes(rows, ranked, words, percent), "jaccard-sets")
     same = ["n", "sig", "sig2"]
-    classes = sets.filter("n > 0").groupBy(*same).agg(F.min("id").alias("rep"), F.first("prefix").alias("prefix"))
+    classes = sets.filter("n > 0").groupBy(*same).agg(
+        F.min("id").alias("rep"), F.first("prefix").alias("prefix"), *(F.first(b).alias(b) for b in BITS)
+    )
     classes = written(classes, "jaccard-classes")
     members = classes.select("n", "prefix", "rep")
-    groups = members.groupBy("n", "prefix").agg(F.min("rep").alias("group"), F.count("*").alias("size"))
+    groups = classes.groupBy("n", "prefix").agg(
+        F.min("rep").alias("group"), F.count("*").alias("size"), *(F.first(b).alias(b) for b in BITS)
+    )
     grouped = written(groups, "jaccard-groups")
     tokens = grouped.select("n", "group", F.posexplode("prefix").alias("at", "token"))
     first = F.min(F.struct("at", "n", "group")).alias("pivot")
@@ -184,11 +214,8 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, key: str =
         .filter((F.col("a") != F.col("b")) & _may_link(percent))
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     )
-    tried = written(
-        star.unionByName(inside.filter("rep <> group").select(F.col("group").alias("a"), F.col("rep").alias("b")))
-        .distinct(),
-        "jaccard-tried",
-    )
+    within = inside.filter("rep <> group").select(F.col("group").alias("a"), F.col("rep").alias("b"))
+    tried = written(_near(star.distinct().unionByName(within), classes, percent), "jaccard-tried")
     asked = listed.select(F.col("group").alias("id")).unionByName(inside.select(F.col("rep").alias("id"))).distinct()
     asked = written(asked, "jaccard-asked")
     few = asked.count() <= BROADCAST_IDS
@@ -208,22 +235,28 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, key: str =
         listed.drop("pivot")
         .join(single, "group", "left")
         .join(spans, "group", "left")
-        .select("token", "n", "at", "group", F.coalesce("low", own).alias("low"), F.coalesce("high", own).alias("high"))
-    )
+        .join(grouped.select("group", "size", *BITS), "group")
+        .select(
+            "token", "n", "at", "group", "size", *BITS,
+            F.coalesce("low", own).alias("low"), F.coalesce("high", own).alias("high"),
+        )
+    )
     placed = written(placed, "jaccard-placed")
     mixed_lists = placed.groupBy("token").agg(F.min("low").alias("l"), F.max("high").alias("h")).filter("l <> h")
     rest = placed.join(mixed_lists.select("token"), "token", "left_semi")
     apart = ~((F.col("low_a") == F.col("high_a")) & (F.col("low_a") == F.col("low_b")) & (F.col("low_b") == F.col("high_b")))
     left, right = _side(rest, "a"), _side(rest, "b")
-    across = left.join(
-        right, (left["token"] == right["token"]) & (F.col("group_a") < F.col("group_b")) & apart & _may_link(percent)
-    )
+    # The bits of a group are its only member's; those of members of larger groups are looked at below.
+    bits = (F.col("size_a") > 1) | (F.col("size_b") > 1) | _bits_allow(percent)
+    ordered = F.col("group_a") < F.col("group_b")
+    across = left.join(right, (left["token"] == right["token"]) & ordered & apart & _may_link(percent) & bits)
     pairs = across.select("group_a", "group_b").unionByName(
         spans.filter("low <> high").select(F.col("group").alias("group_a"), F.col("group").alias("group_b"))
     ).distinct()
     alone = single.select("group", F.col("group").alias("rep"), F.col("own").alias("component"))
     pairs = written(pairs, "jaccard-pairs")
-    more = written(verified(_expanded(pairs, of_members, alone).join(tried, ["a", "b"], "left_anti"), texts, words, percent), "jaccard-more")
+    open_pairs = _near(_expanded(pairs, of_members, alone).join(tried, ["a", "b"], "left_anti"), classes, percent)
+    more = written(verified(open_pairs, texts, words, percent), "jaccard-more")
     if not more.isEmpty():
         links = links.unionByName(more)
         labels = connected_components(links)

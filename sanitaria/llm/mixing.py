@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sanitaria.llm.common import with_row_ids, written
+from sanitaria.llm.common import free_name, with_row_ids, written
 
 #: Documents of one flight. What a flight leaves open (two at most) goes up to the next level.
 BLOCK = 4_096
@@ -186,6 +186,6 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """``docs`` as ``mix_sources`` takes them: rows that it takes twice stand there twice, others not at all."""
     rows, row = with_row_ids(docs, "mix-rows")
     plan = mix_sources(rows.select(row, "text", "source"), key=row, **options)
-    taken = plan.filter("copies > 0").select(row, F.sequence(F.lit(1), "copies").alias("times"))
-    found = rows.join(taken, row)
-    return found.select(*docs.columns, F.explode("times").alias("time_of_this_row")).select(*docs.columns)
+    times = free_name(rows, "times")
+    taken = plan.filter("copies > 0").select(row, F.sequence(F.lit(1), "copies").alias(times))
+    return rows.join(taken, row).withColumn(times, F.explode(times)).select(*docs.columns)
