@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sanitaria.llm.bytewords import chunks
 from sanitaria.llm.common import head_words, lower_words_of, word_counts, written
 
 #: Words that every task knows with their counts; other words are looked up by a join.
@@ -24,6 +25,8 @@ COARSE = 9
 CONTEXTS = COARSE * (CLASSES + 1)
 #: Length of the word vectors, and noise samples for each word of the text.
 DIMENSION, NOISE = 24, 8
+#: Characters of text that a task works on at once.
+PART = 1 << 20
 ALPHA = 0.1
 
 
@@ -164,8 +167,9 @@ def count_classes(texts: DataFrame, classes: Classes) -> np.ndarray:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen = np.zeros(CONTEXTS * CLASSES, dtype=np.int64)
         for batch in batches:
-            _, found, begin, _ = _tokens(batch["text"], classes.numbers)
-            if len(found):
+            texts = batch["text"].tolist()
+            for a, b in chunks(texts, PART):
+                _, found, begin, _ = _tokens(texts[a:b], classes.numbers)
                 seen += np.bincount(contexts(found, begin) * CLASSES + found, minlength=len(seen))
         cells = np.flatnonzero(seen)
         yield pd.DataFrame({"cell": cells.astype(np.int32), "n": seen[cells]})
@@ -219,7 +223,7 @@ def train_and_score(
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         get = place.get
-        for batch in batches:
+        for batch in (whole.iloc[a:b] for whole in batches for a, b in chunks(whole["text"].tolist(), PART)):
             at = None
 
             def find(words: list[bytes]) -> np.ndarray:
@@ -241,7 +245,8 @@ def train_and_score(
                 tails[text].append(words[k])
             known = np.bincount(owner[is_word], at >= 0, minlength=len(begin)).astype(np.int64) + known_end
             yield pd.DataFrame({
-                "uid": batch["uid"], "doc_id": batch["doc_id"].astype("Int64"), "held_out": batch["held_out"],
+                "uid": batch["uid"].to_numpy(), "doc_id": batch["doc_id"].astype("Int64").array,
+                "held_out": batch["held_out"].to_numpy(),
                 "n_tokens": np.bincount(owner, minlength=len(begin)), "n_known": known,
                 "base_score": np.bincount(owner, base, minlength=len(begin)),
                 "score": np.bincount(owner, score, minlength=len(begin)), "tail": tails,

@@ -18,7 +18,7 @@ from sanitaria.llm.common import FLUSH_WORDS, at_least, count_floor, written
 SPACE = "▁"
 #: A code point that no text and no piece has; it takes the place of a literal SPACE in a text.
 _NOT_SPACE = "￿"
-#: Encoded words that every task knows, at most: about 40 MB. Others are looked up by a join.
+#: Encoded words that every task knows, at most: about 40 MB.
 HEAD = 1 << 21
 #: Bytes of a word; a longer one is encoded in parts.
 LONGEST = 256
@@ -142,12 +142,13 @@ def unit_counts(texts: DataFrame, breaks: np.ndarray) -> DataFrame:
 
 def _path(unknown: str) -> str:
     """SQL of the best path: a fold over the edges by end, then one back along the pieces that were taken."""
-    reached = "element_at(best, e.start + 1).score + e.score"
-    step = f"named_struct('score', {reached}, 'start', e.start, 'id', e.id)"
+    start = "CAST(shiftright(e.at, 32) & 4095 AS INT)"
+    reached = f"element_at(best, {start} + 1).score + e.score"
+    step = f"named_struct('score', {reached}, 'start', {start}, 'id', CAST(e.at & 4294967295 AS INT) - 1)"
     taken = "element_at(best, back.at + 1)"
     return f"""aggregate(
         array_sort(edges), array(named_struct('score', 0D, 'start', 0, 'id', 0)),
-        (best, e) -> CASE WHEN size(best) = e.end THEN concat(best, array({step}))
+        (best, e) -> CASE WHEN size(best) = shiftright(e.at, 44) THEN concat(best, array({step}))
             WHEN {reached} > element_at(best, -1).score THEN concat(slice(best, 1, size(best) - 1), array({step}))
             ELSE best END,
         best -> aggregate(sequence(1, size(best) - 1), named_struct('at', size(best) - 1, 'ids', CAST(array() AS array<int>)),
@@ -172,10 +173,9 @@ def encoded_units(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     text = F.substring("unit", F.col("start") + 1, F.col("length"))
     keyed = spans.withColumn("piece", F.translate(text, " " + SPACE, SPACE + _NOT_SPACE))
     joined = keyed.join(pieces, "piece", "left").filter("id IS NOT NULL OR length = 1")
-    edge = F.struct(
-        (F.col("start") + F.col("length")).alias("end"), "start",
-        F.coalesce("score", F.lit(worst)).alias("score"), F.coalesce("id", F.lit(-1)).alias("id"),
-    )
+    # End, start and piece (0: unknown) in one number, which also is the order of the fold.
+    place = F.shiftleft((F.col("start") + F.col("length")).cast("long"), 44) + F.shiftleft(F.col("start").cast("long"), 32)
+    edge = F.struct((place + F.coalesce("id", F.lit(-1)) + 1).alias("at"), F.coalesce("score", F.lit(worst)).alias("score"))
     edges = joined.groupBy("unit").agg(F.collect_list(edge).alias("edges"))
     letter = "CAST(substring(unit, {at} + 1, 1) AS BINARY)"
     unknown = f"array({vocabulary.unknown})"
@@ -237,88 +237,152 @@ class Head:
         return flat, sizes, np.flatnonzero(at < 0)
 
 
+class Lattice:
+    """The same lattice for a batch of rare words, in numpy: substrings, an equi-join by hash, edges, a fold by end."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        texts = [vocabulary.pieces[i].replace(SPACE, " ").encode() for i in vocabulary.normal]
+        ends = np.cumsum([len(t) for t in texts])
+        data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+        hashes = span_hashes(data, np.concatenate([[0], ends[:-1]]).astype(np.int64), ends)
+        order = np.argsort(hashes)
+        self.hashes, self.ids = hashes[order], np.array(vocabulary.normal)[order]
+        self.scores = np.array([vocabulary.scores[i] for i in vocabulary.normal])[order]
+        self.worst = self.scores.min() - UNKNOWN_COST
+        self.longest, self.bytes_from, self.unknown = vocabulary.longest, vocabulary.bytes_from, vocabulary.unknown
+
+    def encode(self, units: Sequence[bytes]) -> list[list[int]]:
+        data = np.frombuffer(b"".join(units), dtype=np.uint8)
+        first = np.concatenate([[0], np.cumsum([len(u) for u in units])]).astype(np.int64)
+        letter = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+        begin = np.searchsorted(letter, first)
+        length = np.diff(begin)
+        owner = np.repeat(np.arange(len(units)), length)
+        at = np.arange(len(owner)) - begin[owner]
+        found = []
+        for size in range(1, self.longest + 1):
+            start = np.flatnonzero(at + size <= length[owner])
+            if not len(start):
+                break
+            hashes = span_hashes(data, letter[start], letter[start + size])
+            place = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+            known = self.hashes[place] == hashes
+            keep = known if size > 1 else np.ones(len(start), dtype=bool)
+            ids, scores = np.where(known, self.ids[place], -1), np.where(known, self.scores[place], self.worst)
+            found.append((owner[start[keep]], at[start[keep]] + size, at[start[keep]], ids[keep], scores[keep]))
+        unit, end, start, ids, scores = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((start, unit, end))
+        unit, end, start, ids, scores = (x[order] for x in (unit, end, start, ids, scores))
+        widest = int(length.max()) + 1
+        best = np.zeros((len(units), widest))
+        back, piece = np.zeros(best.shape, dtype=np.int64), np.zeros(best.shape, dtype=np.int64)
+        cuts = np.searchsorted(end, np.arange(1, widest + 1))
+        for position in range(1, widest):
+            a, b = cuts[position - 1], cuts[position]
+            own = unit[a:b]
+            total = best[own, start[a:b]] + scores[a:b]
+            group = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+            top = np.maximum.reduceat(total, group)
+            # Of equal paths the first one in the group, whose last piece begins first.
+            hit = np.flatnonzero(total == np.repeat(top, np.diff(np.append(group, b - a))))
+            hit = hit[np.unique(own[hit], return_index=True)[1]]
+            rows = own[hit]
+            best[rows, position], back[rows, position], piece[rows, position] = total[hit], start[a:b][hit], ids[a:b][hit]
+        out = []
+        for k, text in enumerate(units):
+            position, path = int(length[k]), []
+            while position:
+                before, found_id = int(back[k, position]), int(piece[k, position])
+                if found_id >= 0:
+                    path.append(found_id)
+                elif self.bytes_from is None:
+                    path.append(self.unknown)
+                else:
+                    raw = text[letter[begin[k] + before] - first[k] : letter[begin[k] + position] - first[k]]
+                    path += [self.bytes_from + byte for byte in reversed(raw)]
+                position = before
+            out.append(path[::-1])
+        return out
+
+
+#: Distinct words that one task of the relational lattice takes, about.
+TASK_UNITS = 16_384
+
+
+def frequent_pieces(rows: DataFrame, vocabulary: Vocabulary, head: int = HEAD) -> Head:
+    """Pieces of the at most ``head`` most frequent words of ``text``, by the relational lattice."""
+    units = written(unit_counts(rows, vocabulary.breaks()), "piece-units")
+    frequent = at_least(units, count_floor(units, head)).select("unit")
+    tasks = max(1, -(-frequent.count() // TASK_UNITS))
+    spark, setting = rows.sparkSession, "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    before = spark.conf.get(setting)
+    # A task holds few enough words to collect their edges by hash; beyond this number Spark would sort them.
+    spark.conf.set(setting, 16 * TASK_UNITS)
+    try:
+        table = written(encoded_units(frequent.repartition(tasks, "unit"), vocabulary), "piece-table")
+    finally:
+        spark.conf.set(setting, before)
+    return Head.collect(table)
+
+
 def encode(
     docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: str = "text", head: int = HEAD
 ) -> DataFrame:
     """``key, ids, n_pieces, decoded_crc32, round_trip`` of every document; other columns are ignored.
 
-    Each distinct word is encoded once, by ``encoded_units``.  The at most ``head`` most frequent ones go to every
-    task; the others of a document are joined to the table of encoded words and put in
-    their places.  ``round_trip`` says that decoding the ids gives the text again, by its crc32.
+    Words are encoded once for the whole corpus by the relational lattice of ``encoded_units``, as far as
+    they are among the ``head`` most frequent; that table goes to every task, its size is bounded.
+    Rarer words, most of which stand in one document only, would have to be shuffled with
+    all ids of their documents; their lattices are folded where they are met, to the same result.
+    ``round_trip`` says that decoding the ids gives the text again, by its crc32.
 
     A null text counts as empty and has no pieces.  Words of more than 256 bytes are encoded in parts
     that end at code points.  Repeated rows are encoded each; a null key stays null; an empty table
     gives no rows.
     """
-    breaks = vocabulary.breaks()
-    rows = docs.select(
-        F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")
-    ).withColumn("uid", F.monotonically_increasing_id())
-    units = written(unit_counts(rows, breaks), "piece-units")
-    found = encoded_units(units.repartition("unit"), vocabulary).join(units, "unit")
-    table = written(found, "piece-table")
-    floor = count_floor(table, head)
-    known = Head.collect(at_least(table, floor))
-    wide = np.dtype("<u2" if len(vocabulary.pieces) < 0xFFFF else "<u4")
-    gap = np.iinfo(wide).max
-
-    def tails(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            raw = [encoded(t) for t in batch["text"]]
-            uid, order, unit = [], [], []
-            for a, b in chunks(raw):
-                own = Units(raw[a:b], breaks)
-                missing = np.flatnonzero(known.find(own.hash) < 0)
-                text_of = np.searchsorted(own.unit, missing, side="right") - 1
-                for k, at in zip(text_of.tolist(), missing.tolist(), strict=True):
-                    uid.append(batch["uid"].iat[a + k])
-                    order.append(at - int(own.unit[k]))
-                    unit.append(own.raw[own.start[at] : own.end[at]])
-            yield pd.DataFrame({"uid": uid, "order": order, "unit": unit})
-
-    def bodies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    known = frequent_pieces(rows, vocabulary, head)
+    breaks, means, lattice = vocabulary.breaks(), vocabulary.as_bytes(), Lattice(vocabulary)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             raw = [encoded(t) for t in batch["text"]]
-            codes = []
             for a, b in chunks(raw):
-                own = Units(raw[a:b], breaks)
-                flat, sizes, _ = known.pieces(own)
-                ends = np.concatenate([[0], np.cumsum(sizes)])[own.unit]
-                packed = np.where(flat < 0, gap, flat).astype(wide)
-                codes += [packed[x:y].tobytes() for x, y in zip(ends[:-1], ends[1:], strict=True)]
-            yield pd.DataFrame({"uid": batch["uid"], "key": batch["key"], "crc": list(map(zlib.crc32, raw)), "codes": codes})
+                part = raw[a:b]
+                ids = _ids(Units(part, breaks), known, lattice)
+                crcs = [zlib.crc32(b"".join([means[i] for i in own.tolist()])[1:]) for own in ids]
+                yield pd.DataFrame({
+                    "key": batch["key"].iloc[a:b].array, "ids": ids, "n_pieces": [len(i) for i in ids],
+                    "decoded_crc32": crcs, "round_trip": [zlib.crc32(t) == c for t, c in zip(part, crcs, strict=True)],
+                })
 
     kind = rows.schema["key"].dataType.simpleString()
-    rare = rows.select("uid", "text").mapInPandas(tails, "uid bigint, order int, unit binary")
-    rest = at_least(table, floor, below=True).select("unit", "ids")
-    placed = rare.withColumn("unit", F.col("unit").cast("string")).join(rest, "unit")
-    fill = placed.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("order", "ids"))).alias("fill"))
-    fill = fill.select("uid", F.col("fill.ids").alias("fill"))
-    body = rows.mapInPandas(bodies, f"uid bigint, key {kind}, crc bigint, codes binary")
-    whole = body.join(fill, "uid", "left").select("key", "crc", "codes", "fill")
-    means = vocabulary.as_bytes()
-
-    def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            ids, crcs = [], []
-            for codes, fills in zip(batch["codes"], batch["fill"], strict=True):
-                own = np.frombuffer(codes, dtype=wide).astype(np.int32)
-                gaps = np.flatnonzero(own == gap)
-                if len(gaps):
-                    parts, done = [], 0
-                    for at, more in zip(gaps.tolist(), fills, strict=True):
-                        parts += [own[done:at], np.asarray(more, dtype=np.int32)]
-                        done = at + 1
-                    own = np.concatenate([*parts, own[done:]])
-                ids.append(own)
-                crcs.append(zlib.crc32(b"".join([means[i] for i in own.tolist()])[1:]))
-            yield pd.DataFrame({
-                "key": batch["key"], "ids": ids, "n_pieces": [len(i) for i in ids], "decoded_crc32": crcs,
-                "round_trip": batch["crc"].to_numpy() == np.array(crcs, dtype=np.int64),
-            })
-
     schema = f"key {kind}, ids array<int>, n_pieces bigint, decoded_crc32 bigint, round_trip boolean"
-    return whole.mapInPandas(finish, schema).withColumnRenamed("key", key)
+    return rows.mapInPandas(run, schema).withColumnRenamed("key", key)
+
+
+def _ids(units: Units, known: Head, lattice: Lattice) -> list[np.ndarray]:
+    """Pieces of each text: those of known words from the table, those of the others from the lattice."""
+    flat, sizes, missing = known.pieces(units)
+    if len(missing):
+        rare = [units.raw[units.start[k] : units.end[k]] for k in missing]
+        distinct = list(dict.fromkeys(rare))
+        paths = dict(zip(distinct, lattice.encode(distinct), strict=True))
+        gaps = np.cumsum(sizes)[missing] - 1
+        grown = np.ones(len(flat), dtype=np.int64)
+        grown[gaps] = [len(paths[u]) for u in rare]
+        place = np.cumsum(grown) - grown
+        filled = np.empty(int(grown.sum()), dtype=np.int32)
+        old = np.ones(len(flat), dtype=bool)
+        old[gaps] = False
+        filled[place[old]] = flat[old]
+        for unit, at in zip(rare, place[gaps].tolist(), strict=True):
+            filled[at : at + len(paths[unit])] = paths[unit]
+        sizes = sizes.copy()
+        sizes[missing] = grown[gaps]
+        flat = filled
+    ends = np.concatenate([[0], np.cumsum(sizes)])[units.unit]
+    return [flat[x:y] for x, y in zip(ends[:-1], ends[1:], strict=True)]
 
 
 def decode(encodings: DataFrame, vocabulary: Vocabulary, ids: str = "ids") -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 
 from sanitaria.llm.bytewords import encoded
 from sanitaria.llm.queries import MODEL
-from sanitaria.llm.sentencepiece import SPACE, Units, Vocabulary, decode, encode
+from sanitaria.llm.sentencepiece import SPACE, Lattice, Units, Vocabulary, decode, encode, encoded_units
 from tests.llm.data import documents, prose, texts
 
 pytestmark = pytest.mark.skipif(not os.path.exists(MODEL), reason="no vocabulary file")
@@ -60,16 +60,11 @@ def test_against_brute_force(spark, vocabulary, head):
         assert got[k]["round_trip"] and got[k]["n_pieces"] == len(got[k]["ids"])
 
 
-def test_against_the_library(spark, vocabulary):
-    import sentencepiece
-
-    # The same pieces read as a unigram model: its type, a field of the file, is given again with another value.
-    with open(MODEL, "rb") as file:
-        model = sentencepiece.SentencePieceProcessor(model_proto=file.read() + b"\x12\x02\x18\x01")
-    # The library adds up in single precision, so texts are short and without unknown characters.
-    rows = [(k, " ".join(prose(k, 30).split()).replace("日本", "")) for k in range(40)]
-    for r in encode(documents(spark, rows), vocabulary).collect():
-        assert list(r["ids"]) == model.encode(dict(rows)[r["doc_id"]])
+def test_the_lattice_of_rare_words_takes_the_same_paths(spark, vocabulary):
+    words = sorted({w for k in range(30) for w in Units([encoded(prose(k, 60) + "\n é▁\x00")], vocabulary.breaks()).slices()})
+    units = spark.createDataFrame([(w.decode(),) for w in words], "unit string")
+    relational = {r["unit"]: list(r["ids"]) for r in encoded_units(units, vocabulary).collect()}
+    assert relational == {w.decode(): path for w, path in zip(words, Lattice(vocabulary).encode(words), strict=True)}
 
 
 def test_units_cover_the_text(vocabulary):
