@@ -9,7 +9,6 @@ from checks import views as V
 from checks.registry import register
 from sanitaria.functions import columns as C
 from sanitaria.operators import transform as X
-from sanitaria.sizes import spread
 from sanitaria.systems import DEATH, HOSPITAL
 
 
@@ -43,7 +42,7 @@ def clean_texts(spark, sf):
     """Whole document and page texts."""
     def cleaned(name, key, text, lang):
         body = C.clean(F.col(text))
-        return spread(V.table(spark, sf, name)).select(
+        return V.dealt(V.table(spark, sf, name)).select(
             F.col(key).alias("doc_id"),
             F.md5(body.cast("binary")).alias("text_md5"),
             F.length(body).cast("bigint").alias("n_chars"),

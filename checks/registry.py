@@ -152,8 +152,8 @@ def store(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STORES:
         root = scratch_dir(spark, "store")
-        write_store(transform(views.admissions(spark, sf_dir), "sihsus"), root, "sihsus")
-        write_store(transform(views.deaths(spark, sf_dir), "sim"), root, "sim")
+        write_store(transform(views.admissions(spark, sf_dir), "sihsus"), root, "sihsus", rebalance=True)
+        write_store(transform(views.deaths(spark, sf_dir), "sim"), root, "sim", rebalance=True)
         views.municipalities(spark, sf_dir).coalesce(1).write.parquet(municipality_path(root))
         _STORES[key] = root
     return _STORES[key]
@@ -176,4 +176,4 @@ def municipalities(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stored(spark: SparkSession, sf_dir: str, system: str) -> DataFrame:
     from sanitaria.sources.store import scan_store
 
-    return scan_store(spark, store(spark, sf_dir), system, merge_schema=False, filename=False)
+    return scan_store(spark, store(spark, sf_dir), system, filename=False)

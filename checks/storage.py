@@ -41,15 +41,15 @@ def _counts(df, *columns, by=("uf",)):
 def write_and_read(spark, sf):
     """Load all raw admissions into a fresh state-partitioned store."""
     root = scratch_dir(spark, "snk01")
-    write_store(transform(V.admissions(spark, sf), "sihsus"), root, "sihsus")
-    return _counts(scan_store(spark, root, "sihsus", merge_schema=False), "munic_res", "dt_inter")
+    write_store(transform(V.admissions(spark, sf), "sihsus"), root, "sihsus", rebalance=True)
+    return _counts(scan_store(spark, root, "sihsus"), "munic_res", "dt_inter")
 
 
 @register("snk_01_write_deaths", f"WITH {R.DEATHS} SELECT uf, {_DEATH_COUNTS} FROM dth GROUP BY uf")
 def write_and_read_deaths(spark, sf):
     root = scratch_dir(spark, "snk01d")
-    write_store(transform(V.deaths(spark, sf), "sim"), root, "sim", compression="snappy")
-    return _counts(scan_store(spark, root, "sim", merge_schema=False), "codmunres", "dtobito")
+    write_store(transform(V.deaths(spark, sf), "sim"), root, "sim", compression="snappy", rebalance=True)
+    return _counts(scan_store(spark, root, "sim"), "codmunres", "dtobito")
 
 
 @register(
@@ -64,7 +64,7 @@ def write_modes(spark, sf):
     write_store(typed, root, "sihsus")
     write_store(typed, root, "sihsus", mode="append")
     write_store(typed.where("uf < 'PB'"), root, "sihsus", mode="replace")
-    return _counts(scan_store(spark, root, "sihsus", merge_schema=False))
+    return _counts(scan_store(spark, root, "sihsus"))
 
 
 @register(
@@ -79,7 +79,7 @@ def insert_three_times(spark, sf):
     typed = R.admissions(spark, sf)
     early = typed.where(F.substring("source_file", 5, 2) < "17")
     runs = [insert_new_files(part, root, "sihsus") for part in (early, typed, typed)]
-    stored = scan_store(spark, root, "sihsus", merge_schema=False)
+    stored = scan_store(spark, root, "sihsus")
     return stored.agg(rows().alias("stored")).select(
         *[F.lit(n).cast("bigint").alias(name) for n, name in zip(runs, ("first_run", "second_run", "third_run"))],
         "stored",
@@ -143,7 +143,7 @@ def schema_drift(spark, sf):
     early, late = F.col("proc_rea").alias("early_only"), F.col("sexo").alias("late_only")
     write_store(typed.where("uf < 'PB'").select("uf", "source_file", early), root, "sihsus")
     write_store(typed.where("uf >= 'PB'").select("uf", "source_file", late), root, "sihsus")
-    return _counts(scan_store(spark, root, "sihsus"), "early_only", "late_only")
+    return _counts(scan_store(spark, root, "sihsus", merge_schema=True), "early_only", "late_only")
 
 
 @register(
@@ -155,7 +155,7 @@ def schema_drift(spark, sf):
 )
 def registered_views(spark, sf):
     """Both enriched views of one session through SQL."""
-    register_views(spark, R.store(spark, sf), merge_schema=False)
+    register_views(spark, R.store(spark, sf))
     return spark.sql(
         "SELECT 'sihsus' AS system, count(*) AS n, count(municipio_res) AS enriched FROM sihsus "
         "UNION ALL SELECT 'sim', count(*), count(municipio_res) FROM sim"
@@ -167,7 +167,7 @@ def registered_views(spark, sf):
 register("prf_04_filename_stats", "SELECT 'filename' AS \"column\", CAST(100 AS DOUBLE) AS fill_pct, TRUE AS per_file")(
     lambda spark, sf: (lambda stored, files: P.filename_stats(stored).select(
         "column", "fill_pct", (F.col("distinct_count") == files.agg(rows()).scalar()).alias("per_file")
-    ))(scan_store(spark, R.store(spark, sf), "sihsus", merge_schema=False), data_files(spark, R.store(spark, sf), "sihsus"))
+    ))(data_files(spark, R.store(spark, sf), "sihsus"), scan_store(spark, R.store(spark, sf), "sihsus").select("filename").distinct())
 )
 
 
@@ -208,11 +208,11 @@ def stats_cache(spark, sf):
 )
 def dictionary(spark, sf):
     root = R.store(spark, sf)
-    register_views(spark, root, merge_schema=False)
-    stored = scan_store(spark, root, "sihsus", merge_schema=False)
+    register_views(spark, root)
+    stored = scan_store(spark, root, "sihsus")
     tree = P.dictionary(
         spark, "sihsus", P.column_stats(stored.select("munic_res", "dt_inter")), R.municipalities(spark, sf),
-        P.filename_stats(stored),
+        P.filename_stats(data_files(spark, root, "sihsus")),
     )
     return tree.where(F.col("column").isin("munic_res", "municipio_res", "dt_inter", "filename")).select(
         "view", "column", "type", "fill_pct"
@@ -263,16 +263,74 @@ def available_now(spark, sf):
     """Stream all landing files into a store, restart the stream, and add nothing the second time."""
     folder = write_named_files(V.deaths(spark, sf), scratch_dir(spark, "str01_in"), "csv")
     root, checkpoint = (scratch_dir(spark, p) for p in ("str01_store", "str01_log"))
-    schema = T.StructType(V.DEATH_FIELDS)
     for _ in range(2):
-        start_ingest(spark, f"{folder}/*", root, "sim", checkpoint, schema).awaitTermination()
+        start_ingest(spark, f"{folder}/*", root, "sim", checkpoint).awaitTermination()
     listed = M.listed_files(spark, root, "sim")
-    stored = scan_store(spark, root, "sim", merge_schema=False)
+    stored = scan_store(spark, root, "sim")
     return stored.agg(rows().alias("stored")).select(
         F.lit(2).alias("runs"), "stored", listed.agg(rows()).scalar().alias("listed")
     )
 
 
+@register(
+    "str_01_pieces_in_batches",
+    f"WITH {R.DEATHS} SELECT source_file, count(*) AS n, count(codmunres) AS codmunres, count(dtobito) AS dtobito, "
+    "count(causabas) AS causabas, count(sexo) AS sexo FROM dth GROUP BY source_file",
+)
+def pieces_in_batches(spark, sf):
+    """Files of one name in two folders, with their columns in two orders, streamed in small batches: all are kept."""
+    place = scratch_dir(spark, "str01_pieces")
+    deaths = V.deaths(spark, sf)
+    moved = deaths.select(*reversed(deaths.columns), F.lit("x").alias("new_column"))
+    half = F.col("idade") < F.lit("5")
+    write_named_files(deaths.where(half), f"{place}/a", "csv")
+    write_named_files(moved.where(~F.coalesce(half, F.lit(False))), f"{place}/b", "csv")
+    root, checkpoint = (scratch_dir(spark, p) for p in ("str01_pieces_store", "str01_pieces_log"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(place).count()
+    start_ingest(spark, f"{place}/*/*", root, "sim", checkpoint, max_files=files // 2 + 1).awaitTermination()
+    return _counts(scan_store(spark, root, "sim"), "codmunres", "dtobito", "causabas", "sexo", by=("source_file",))
+
+
+@register(
+    "src_03_drifting_headers",
+    f"WITH {R.DEATHS} SELECT source_file, count(*) AS n, count(sexo) AS sexo, count(racacor) AS racacor, "
+    "count(DISTINCT sexo) AS sexes FROM dth GROUP BY source_file",
+)
+def drifting_headers(spark, sf):
+    """Two column orders and one column more, in one scan."""
+    place = scratch_dir(spark, "src03_drift")
+    deaths = V.deaths(spark, sf)
+    early = F.col("source_file") < "DOPB"
+    write_named_files(deaths.where(early), f"{place}/a", "csv")
+    write_named_files(
+        deaths.where(~early).select(*reversed(deaths.columns), F.lit("x").alias("new_column")), f"{place}/b", "csv"
+    )
+    typed = transform(scan_landing(spark, "sim", [place]), "sim")
+    return typed.groupBy("source_file").agg(
+        rows().alias("n"), F.count("sexo").alias("sexo"), F.count("racacor").alias("racacor"),
+        F.countDistinct("sexo").alias("sexes"),
+    )
+
+
+@register(
+    "snk_03_reload_changed_files",
+    f"WITH {R.DEATHS} SELECT source_file, count(*) AS n, "
+    "sum(CASE WHEN uf < 'PB' OR racacor = 'Branca' THEN 1 ELSE 0 END)::BIGINT AS branca FROM dth GROUP BY source_file",
+)
+def reload_changed_files(spark, sf):
+    """All files, then those of the states before PB corrected: skipped at first, replaced by a reload."""
+    root = scratch_dir(spark, "snk03r")
+    raw = V.deaths(spark, sf)
+    corrected = raw.where("uf < 'PB'").withColumn("racacor", F.lit("1"))
+    load_batch(raw, root, "sim")
+    if load_batch(corrected, root, "sim", batch=1):
+        raise ValueError("listed files were loaded again")
+    load_batch(corrected, root, "sim", batch=2, reload=True)
+    return scan_store(spark, root, "sim").groupBy("source_file").agg(
+        rows().alias("n"), F.count_if(F.col("racacor") == "Branca").alias("branca")
+    )
+
+
 @register(
     "cov_11_load_report",
     f"WITH {R.ADMISSIONS} SELECT 'sihsus' AS system, CAST(1 AS BIGINT) AS batch, count(DISTINCT source_file) AS files, "
@@ -281,7 +339,9 @@ def available_now(spark, sf):
 def report(spark, sf):
     root = scratch_dir(spark, "cov11")
     load_batch(V.admissions(spark, sf), root, "sihsus", batch=1, audit=True)
-    return load_report(spark, root).where("lost_values > 0").select("system", "batch", "files", "rows")
+    return load_report(spark, root).where("lost_values > 0 AND bytes > 0 AND unplaced = 0").select(
+        "system", "batch", "files", "rows"
+    )
 
 
 # -- exports -----------------------------------------------------------------

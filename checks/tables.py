@@ -17,7 +17,6 @@ from sanitaria.operators.predicates import date_range, where_rules
 from sanitaria.operators.transform import transform
 from sanitaria.plans.common import rows
 from sanitaria.sinks.store import not_loaded
-from sanitaria.sizes import spread
 from sanitaria.sources.dimensions import build_municipalities, municipality_lookup
 from sanitaria.sources.store import enriched
 
@@ -337,7 +336,7 @@ def _summary_sql():
 
 register("prf_06_summarize", _summary_sql())(
     lambda spark, sf: P.summarize(
-        spread(V.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus"))
+        V.dealt(V.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus"))
     ).select(
         "column_name", "column_type", "min", "max", F.round("avg", 4).alias("avg"), F.round("std", 4).alias("std"),
         "count", "null_percentage",
@@ -349,7 +348,7 @@ register(
     "CAST(quantile_disc(l_linenumber, 0.5) AS DOUBLE) AS q50, "
     "CAST(quantile_disc(l_linenumber, 0.75) AS DOUBLE) AS q75 FROM lineitem",
 )(
-    lambda spark, sf: P.summarize(spread(V.table(spark, sf, "lineitem").select("l_linenumber"))).select(
+    lambda spark, sf: P.summarize(V.dealt(V.table(spark, sf, "lineitem").select("l_linenumber"))).select(
         "column_name", "q25", "q50", "q75"
     )
 )

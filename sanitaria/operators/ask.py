@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
@@ -83,6 +82,7 @@ def allowed_aggregates(kind: T.DataType) -> list[str]:
 
 def diagnose(question: Question, schema: T.StructType) -> Diagnosis:
     """Problems that block the question, and hints that do not."""
+    # The keys of problems, with the columns that they are about.
     errors: list[str] = []
     aggregated = [p for p in question.projections if p.aggregation != "none"]
     plain = [p.column for p in question.projections if p.aggregation == "none"]
@@ -127,7 +127,9 @@ def ask(df: DataFrame, spec: Question | Mapping[str, Any]) -> DataFrame:
     elif aggregates:
         rows = rows.agg(*aggregates)
     if question.order_by:
-        rows = rows.orderBy(_ordering(*question.order_by))
+        # Ties go by the columns that are shown, so that a limit cuts the same rows each time.
+        others = [n for n in names if n != question.order_by[0] and not isinstance(rows.schema[n].dataType, T.MapType)]
+        rows = rows.orderBy(_ordering(*question.order_by), *(C.quoted(n).asc_nulls_last() for n in others))
     rows = rows.select([C.quoted(n) for n in names])
     return rows.limit(int(question.limit)) if question.limit and question.limit > 0 else rows
 
@@ -143,13 +145,21 @@ class Preview:
     total_rows: int | None = None
 
 
+def checked_limit(limit: int) -> int:
+    """``limit`` if it is within 1 and ``MAX_ROWS``; no other one is cut to fit in silence."""
+    if not 1 <= int(limit) <= MAX_ROWS:
+        raise ValueError(f"limit must be between 1 and {MAX_ROWS}, not {limit}")
+    return int(limit)
+
+
 def preview(spark: SparkSession, query: str | DataFrame, limit: int = DEFAULT_ROWS) -> Preview:
     """The first rows of a query for display.
 
     One row more than shown is fetched, so a result of exactly ``limit`` rows is
-    not called cut.  The full count runs only for a cut result.
+    not called cut.  The full count runs only for a cut result.  More than ``MAX_ROWS`` rows
+    are refused: they all come to the driver.
     """
-    shown = max(1, min(int(limit), MAX_ROWS))
+    shown = checked_limit(limit)
     started = time.perf_counter()
     result = spark.sql(query) if isinstance(query, str) else query
     fetched = [list(row) for row in result.take(shown + 1)]
@@ -161,16 +171,9 @@ def preview(spark: SparkSession, query: str | DataFrame, limit: int = DEFAULT_RO
     )
 
 
-def sample_rows(df: DataFrame, n: int, seed: int | None = None, total: int | None = None) -> DataFrame:
-    """``n`` random rows: those with the smallest random keys.
+def sample_rows(df: DataFrame, n: int, seed: int | None = None) -> DataFrame:
+    """``n`` random rows, or all if there are fewer: those with the smallest random keys.
 
-    Rows whose key cannot be among them are thinned out first, so a scan of very
-    many tasks does not send ``n`` candidates from each.  The threshold leaves
-    ten standard deviations more than ``n``.  ``total`` spares the row count.
+    Every task keeps its ``n`` smallest keys and passes only these on.
     """
-    rows = df.count() if total is None else total
-    keyed = df.withColumn("_key", F.rand(seed))
-    wanted = n + 10 * math.sqrt(n) + 100
-    if rows > 4 * wanted:
-        keyed = keyed.where(F.col("_key") < wanted / rows)
-    return keyed.orderBy("_key").limit(n).drop("_key")
+    return df.withColumn("_key", F.rand(seed)).orderBy("_key").limit(n).drop("_key")

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sanitaria.functions import columns as C
-from sanitaria.sizes import broadcast_if_small
 from sanitaria.systems import System, get_system
 
 # Column added to the view, and the dimension column behind it.
@@ -33,7 +32,7 @@ def _join_dimension(
 ) -> DataFrame:
     side = dim.select(F.col(key).alias("_municipality"), *[F.col(src).alias(out) for out, src in columns.items()])
     code = C.six_digit_municipality(C.quoted(residence))
-    return df.join(broadcast_if_small(side), code == F.col("_municipality"), "left").drop("_municipality")
+    return df.join(side, code == F.col("_municipality"), "left").drop("_municipality")
 
 
 def with_municipality(df: DataFrame, dim: DataFrame | None, residence: str | None) -> DataFrame:

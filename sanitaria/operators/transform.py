@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,24 +47,28 @@ def typed_column(system: System, name: str) -> Column:
     return C.to_integer(c, kind, system.unsigned_max.get(name))
 
 
-def canonicalize(cleaned: DataFrame, system: str | System, raw: bool = False) -> DataFrame:
+def canonicalize(
+    cleaned: DataFrame, system: str | System, raw: bool = False, keep: Sequence[str] = ()
+) -> DataFrame:
     """All columns of the system's schema, in order.
 
     Columns the source lacks become typed NULLs, columns the schema lacks are
-    dropped.  ``raw`` keeps the clean text instead of typing it.
+    dropped, but for text columns in ``keep``.  ``raw`` keeps the clean text instead of typing it.
     """
     spec = get_system(system)
     present = [name for name in spec.fields if name in cleaned.columns]
+    kept = [T.StructField(name, T.StringType()) for name in keep]
     if raw:
         kinds = {name: T.StringType() for name in present}
         fields = [T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in spec.schema.fields]
-        return cleaned.select([C.quoted(name) for name in present]).to(T.StructType(fields))
+        return cleaned.select([C.quoted(name) for name in (*present, *keep)]).to(T.StructType([*fields, *kept]))
     columns = {name: typed_column(spec, name) for name in present}
     if spec.encoded_age in present:
         age = C.quoted(spec.encoded_age)
         columns[f"{spec.encoded_age}_valor"] = C.age_value(age)
         columns[f"{spec.encoded_age}_unidade"] = C.age_unit(age)
-    return cleaned.select([column.alias(name) for name, column in columns.items()]).to(spec.schema)
+    typed = cleaned.select([column.alias(name) for name, column in columns.items()] + [C.quoted(name) for name in keep])
+    return typed.to(T.StructType([*spec.schema.fields, *kept]))
 
 
 def transform(
@@ -82,6 +88,8 @@ def transform(
     ``municipalities`` adds the residence columns right away.
     """
     spec = get_system(system)
+    if (drop_undated or with_year) and not {"dt_inter", "dt_saida"} <= set(spec.fields):
+        raise ValueError(f"{spec.name} has no admission and discharge dates")
     result = canonicalize(clean_columns(df, upper), spec, raw)
     if drop_undated:
         result = _without_undated(result)

@@ -37,16 +37,25 @@ def build_session(app: str = "sanitaria", master: str | None = None, **extra: st
     return builder.getOrCreate()
 
 
-def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below the shared checkpoint folder of the cluster.
+def scratch_dir(spark: SparkSession, purpose: str, below: str | None = None) -> str:
+    """A fresh folder for data between two jobs: below ``below`` if given, else the shared checkpoint folder.
 
     Executors may be lost at any time, so everything written between two jobs
     has to sit on storage that all of them can see.  Only a local master, where
     there is one machine, may fall back to a temporary folder.
     """
+    unique = f"{purpose}-{uuid.uuid4().hex[:12]}"
+    if below:
+        return f"{below.rstrip('/')}/_scratch/{unique}"
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         root = tempfile.mkdtemp(prefix="sanitaria-")
-    return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}/{purpose}-{uuid.uuid4().hex[:12]}"
+    return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}/{unique}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that is no longer read."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sanitaria.functions import columns as C
-from sanitaria.operators.ask import DEFAULT_ROWS, MAX_ROWS, sample_rows
+from sanitaria.operators.ask import DEFAULT_ROWS, checked_limit, sample_rows
 from sanitaria.operators.predicates import date_range
 from sanitaria.operators.profile import summarize
+from sanitaria.session import scratch_dir
+from sanitaria.sinks.store import observed
 from sanitaria.systems import System, get_system
 
 CAP_ROWS = 1_000_000
@@ -134,19 +137,53 @@ def capped_rows(
 ) -> DataFrame:
     """The first ``max_rows`` rows, ending with the batch of rows that reaches ``max_bytes`` of CSV.
 
-    The caps are the feature: ``limit`` leaves ``max_rows`` rows at most, and only
-    those are numbered and summed.
+    The caps are the feature.  Rows are first written aside with their partition and their place in it, so both
+    steps below see the same ones.  Rows and bytes are summed by block of ``batch`` rows within
+    each partition; partitions follow each other, and only these sums, one for each partition, meet in one
+    task.  A running sum is then taken within partitions, each by itself.
     """
+    spark = df.sparkSession
+    lines = _scalars(df)
+    numbered = lines.withColumn("_line", F.octet_length(F.to_csv(F.struct(*map(C.quoted, lines.columns)))) + 2).select(
+        "*", F.monotonically_increasing_id().alias("_id")
+    )
+    path = scratch_dir(spark, "capped")
+    numbered.write.parquet(path)
+    rows = spark.read.schema(numbered.schema).parquet(path).withColumn("_part", F.shiftright("_id", 33))
+    place = Window.partitionBy("_part").orderBy("_id")
+    sums = rows.groupBy("_part").agg(F.count("*").alias("_n"), F.sum("_line").alias("_bytes"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    nothing = F.lit(0)
+    starts = sums.select(
+        "_part",
+        F.coalesce(F.sum("_n").over(before), nothing).alias("_rows_before"),
+        F.coalesce(F.sum("_bytes").over(before), nothing).alias("_bytes_before"),
+    ).where((F.col("_rows_before") < max_rows) & (F.col("_bytes_before") < max_bytes))
     header = len(",".join(df.columns)) + 2
-    numbered = (
-        _scalars(df)
-        .limit(max_rows)
-        .select("*", F.monotonically_increasing_id().alias("_at"), F.to_csv(F.struct("*")).alias("_line"))
-        .withColumn("_batch", F.floor((F.row_number().over(Window.orderBy("_at")) - 1) / batch))
+    at = F.col("_rows_before") + F.row_number().over(place) - 1
+    sent = F.col("_bytes_before") + F.sum("_line").over(place) - F.col("_line") + header
+    counted = rows.join(F.broadcast(starts), "_part").withColumns({"_at": at, "_sent": sent})
+    # A row belongs to a batch of rows; what was sent before the batch decides about all of it.
+    block = Window.partitionBy("_batch")
+    kept = (
+        counted.where(F.col("_at") < max_rows)
+        .withColumn("_batch", F.floor(F.col("_at") / batch))
+        .withColumn("_first", F.min("_sent").over(block))
+        .where(F.col("_first") < max_bytes)
     )
-    earlier = Window.orderBy("_batch").rangeBetween(Window.unboundedPreceding, -1)
-    sent = F.coalesce(F.sum(F.octet_length("_line") + 2).over(earlier), F.lit(0)) + header
-    return numbered.withColumn("_sent", sent).where(F.col("_sent") < max_bytes).drop("_at", "_line", "_batch", "_sent")
+    return kept.orderBy("_at").select([C.quoted(n) for n in lines.columns])
+
+
+@dataclass(frozen=True)
+class Capped:
+    """What a capped export has written, and whether it left rows out."""
+
+    rows: int
+    total: int
+
+    @property
+    def cut(self) -> bool:
+        return self.rows < self.total
 
 
 def export_capped(
@@ -155,12 +192,16 @@ def export_capped(
     path: str,
     max_rows: int = CAP_ROWS,
     max_bytes: int = CAP_BYTES,
-) -> None:
-    """A query result as one CSV file within the row and byte caps."""
-    capped_rows(resolve(spark, source), max_rows, max_bytes).write.mode("overwrite").csv(path, header=True)
+) -> Capped:
+    """A query result as CSV within the row and byte caps; says how many of its rows that are."""
+    rows, total, kept = resolve(spark, source), Observation(), Observation()
+    counted = rows.observe(total, F.count(F.lit(1)).alias("n"))
+    capped = capped_rows(counted, max_rows, max_bytes).observe(kept, F.count(F.lit(1)).alias("n"))
+    capped.coalesce(1).write.mode("overwrite").csv(path, header=True)  # one file, which the caps bound
+    return Capped(observed(kept, "n"), observed(total, "n"))
 
 
 def export_limited(spark: SparkSession, source: DataFrame | str, path: str, limit: int = DEFAULT_ROWS) -> None:
-    """The ordinary small export: ``limit`` rows, never more than the general maximum."""
-    rows = resolve(spark, source).limit(max(1, min(int(limit), MAX_ROWS)))
+    """The ordinary small export: ``limit`` rows; more than the general maximum are refused."""
+    rows = resolve(spark, source).limit(checked_limit(limit))
     _scalars(rows).write.mode("overwrite").csv(path, header=True)

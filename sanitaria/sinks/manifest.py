@@ -2,38 +2,44 @@
 
 Adding, removing and clearing append rows and never rewrite any, so a lost
 executor or a second writer cannot damage what is there.  The current state is
-the latest event per file.
+the latest event per file.  Events are numbered, each one higher than all before it, so
+equal times or clocks that run back do not change their order.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sanitaria.sources.inventory import with_period
-from sanitaria.sources.store import read_or_none, scan_store
+from sanitaria.sources.store import read_or_none, scan_store, store_layout, stored_files
 from sanitaria.systems import System, get_system
 
-SCHEMA = "system string, source_file string, action string, at timestamp"
+SCHEMA = "system string, source_file string, piece string, action string, at timestamp, number bigint"
 
 
 def manifest_path(root: str) -> str:
     return f"{root.rstrip('/')}/catalog/manifest"
 
 
-def _append(events: DataFrame, root: str) -> None:
-    events.coalesce(1).write.mode("append").parquet(manifest_path(root))
+def _read(spark: SparkSession, root: str, system: System) -> DataFrame:
+    """Events of a system; those of older logs are numbered by their time."""
+    log = read_or_none(spark, manifest_path(root), T._parse_datatype_string(SCHEMA))
+    if log is None:
+        log = spark.createDataFrame([], SCHEMA)
+    return log.where(F.col("system") == system.name).withColumn("number", F.coalesce("number", F.unix_micros("at")))
 
 
 def _log(files: DataFrame, root: str, system: str | System, action: str) -> None:
-    name = get_system(system).name
-    events = files.select("source_file").distinct()
-    _append(
-        events.select(
-            F.lit(name).alias("system"), "source_file", F.lit(action).alias("action"), F.current_timestamp().alias("at")
-        ),
-        root,
-    )
+    spec, spark = get_system(system), files.sparkSession
+    last = _read(spark, root, spec).agg(F.max("number")).first()[0] or 0
+    piece = F.col("piece") if "piece" in files.columns else F.lit(None)
+    events = files.select("source_file", piece.cast("string").alias("piece")).distinct().select(
+        F.lit(spec.name).alias("system"), "source_file", "piece", F.lit(action).alias("action"),
+        F.current_timestamp().alias("at"), F.greatest(F.unix_micros(F.current_timestamp()), F.lit(last + 1)).alias("number"),
+    )
+    events.coalesce(1).write.mode("append").parquet(manifest_path(root))
 
 
 def add_files(files: DataFrame, root: str, system: str | System) -> None:
@@ -62,19 +68,17 @@ def listed_files(spark: SparkSession, root: str, system: str | System) -> DataFr
     fourth character.
     """
     spec = get_system(system)
-    log = read_or_none(spark, manifest_path(root))
-    if log is None:
-        log = spark.createDataFrame([], SCHEMA)
-    log = log.where(F.col("system") == spec.name)
-    cleared = log.where(F.col("action") == "clear").agg(F.max("at")).scalar()
-    current = (
-        log.where(F.col("action") != "clear")
-        .where(F.col("at") > F.coalesce(cleared, F.lit("1970-01-01").cast("timestamp")))
-        .groupBy("source_file")
-        .agg(F.max_by("action", "at").alias("action"))
-        .where(F.col("action") == "add")
-    )
-    return with_positions(current.select("source_file"), spec)
+    return with_positions(listed_pieces(spark, root, spec).select("source_file").distinct(), spec)
+
+
+def listed_pieces(spark: SparkSession, root: str, system: str | System) -> DataFrame:
+    """``source_file, piece`` of all loaded landing files; a removal by name takes all pieces of the file."""
+    log = _read(spark, root, get_system(system))
+    cleared = log.where(F.col("action") == "clear").agg(F.max("number")).scalar()
+    added = log.where(F.col("action") == "add").groupBy("source_file", "piece").agg(F.max("number").alias("added"))
+    removed = log.where(F.col("action") == "remove").groupBy("source_file").agg(F.max("number").alias("removed"))
+    last = F.greatest(F.coalesce("removed", F.lit(-1)), F.coalesce(cleared, F.lit(-1)))
+    return added.join(removed, "source_file", "left").where(F.col("added") > last).select("source_file", "piece")
 
 
 def with_positions(files: DataFrame, system: str | System) -> DataFrame:
@@ -93,8 +97,10 @@ def processed_files(spark: SparkSession, root: str, system: str | System) -> Dat
     listed = listed_files(spark, root, system).select("source_file")
     if not listed.isEmpty():
         return listed
+    if store_layout(spark, root, system) == "file":
+        return stored_files(spark, root, system).select("source_file").distinct()
     try:
-        rows = scan_store(spark, root, system, merge_schema=False, filename=False)
+        rows = scan_store(spark, root, system, filename=False)
     except ValueError:
         return listed
     return rows.select("source_file").where("source_file is not null").distinct()

@@ -8,7 +8,7 @@ mount or any storage Arrow has a driver for.
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,9 +43,11 @@ def _file_system(path: str):
 
 
 def record_files(path: str) -> list[tuple[str, int]]:
-    """Path and size of the file itself, or of all record files below a folder."""
+    """Path and size of the file itself, or of all record files below a folder; several paths stand on lines of their own."""
     from pyarrow.fs import FileSelector, FileType
 
+    if "\n" in path:
+        return sorted({found for one in path.split("\n") for found in record_files(one)})
     system, location = _file_system(path)
     info = system.get_file_info(location)
     if info.type == FileType.File:
@@ -125,7 +127,6 @@ class RecordReader(DataSourceReader):
         count = layout.records if part.count is None else part.count
         place = {name: (offset, length) for name, offset, length in layout.fields}
         system, location = _file_system(part.path)
-        name_of_file = part.path.rsplit("/", 1)[-1]
         with system.open_input_file(location) as file:
             file.seek(layout.header + part.first * layout.width)
             for start in range(0, count, self.batch):
@@ -133,7 +134,7 @@ class RecordReader(DataSourceReader):
                 records = np.frombuffer(file.read(n * layout.width), dtype=np.uint8).reshape(-1, layout.width)
                 records = records[records[:, 0] != DELETED]
                 columns = [
-                    pa.array([name_of_file] * len(records), pa.string())
+                    pa.array([part.path] * len(records), pa.string())
                     if name == FILE_COLUMN
                     else self._text(records, *place[name])
                     if name in place
@@ -176,14 +177,14 @@ class FixedWidthRecords(DataSource):
 
 
 def scan_fixed_width(
-    spark: SparkSession, system: str | System, path: str, schema: StructType | None = None, **options
+    spark: SparkSession, system: str | System, path: str | Sequence[str], schema: StructType | None = None, **options
 ) -> DataFrame:
-    """Record files as landing rows: text columns plus ``uf`` and ``source_file``.
+    """Record files as landing rows: text columns plus ``uf``, ``source_file`` and ``piece``.
 
     Give ``schema`` for folders of many files: it spares reading every header
     to learn the field names.
     """
     spark.dataSource.register(FixedWidthRecords)
     reader = spark.read.format(FORMAT).options(**options)
-    rows = (reader.schema(schema) if schema is not None else reader).load(path)
+    rows = (reader.schema(schema) if schema is not None else reader).load(path if isinstance(path, str) else "\n".join(path))
     return with_origin(as_text(rows), system, F.col(FILE_COLUMN)).drop(FILE_COLUMN)

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sanitaria.functions import columns as C
+from sanitaria.sources.store import PIECE
 from sanitaria.systems import System, get_system
 
 
@@ -27,13 +29,48 @@ def as_text(rows: DataFrame) -> DataFrame:
     )
 
 
-def with_origin(rows: DataFrame, system: str | System, file_name: Column) -> DataFrame:
-    """Adds ``source_file``, the name of the published file, and the ``uf`` parsed from it."""
-    name = F.regexp_replace(file_name, r"(?i)\.(csv|parquet|txt|dbf)$", ".dbc")
-    placed = rows.withColumn("source_file", name)
+def with_origin(rows: DataFrame, system: str | System, path: Column) -> DataFrame:
+    """Adds ``source_file``, the name of the published file, the ``uf`` parsed from it, and ``piece``.
+
+    ``piece`` tells landing files apart that carry the same published name: it is a hash of the path.
+    """
+    name = F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"(?i)\.(csv|parquet|txt|dbf)$", ".dbc")
+    piece = F.lower(F.hex(F.xxhash64(F.regexp_replace(path, "^[a-z]+:/*", ""))))
+    placed = rows.withColumns({"source_file": name, PIECE: piece})
     return placed.withColumn("uf", get_system(system).period(F.col("source_file"))["uf"])
 
 
+def landing_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """Files below folders, patterns and paths; their contents stay unread."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths)).select("path")
+    return sorted(row["path"] for row in files.collect())
+
+
+def _first_line(spark: SparkSession, path: str, encoding: str) -> str:
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(spark._jsc.hadoopConfiguration()).open(place)
+    try:
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding)).readLine() or ""
+    finally:
+        stream.close()
+
+
+def by_header(spark: SparkSession, files: Sequence[str], encoding: str = "UTF-8") -> list[list[str]]:
+    """Files grouped by their first line; the lines are fetched by the driver, several at a time.
+
+    A folder as Spark writes it has one header, and a load has hundreds of files: this is the same kind of
+    work as listing them.  Files without a line have no rows either and are left out.
+    """
+    with ThreadPoolExecutor(16) as pool:
+        lines = list(pool.map(lambda path: _first_line(spark, path, encoding), files))
+    groups: dict[str, list[str]] = {}
+    for path, line in zip(files, lines, strict=True):
+        if line.strip():
+            groups.setdefault(line.strip("\ufeff\r"), []).append(path)
+    return list(groups.values())
+
+
 def scan_landing(
     spark: SparkSession,
     system: str | System,
@@ -42,23 +79,32 @@ def scan_landing(
     sep: str = ";",
     encoding: str = "UTF-8",
 ) -> DataFrame:
-    """Rows of all landing files in one scan, as text, with ``uf`` and ``source_file``.
+    """Rows of all landing files as text, with ``uf``, ``source_file`` and ``piece``.
 
-    CSV files of one group share their header (a file with another one raises
-    instead of shifting its columns); give groups of paths for layouts that
-    changed over time, they are united by name.  Parquet files may differ freely.
+    Every file is read by its own header: CSV files are grouped by their first line, and the groups,
+    one scan each, are united by name, so columns may come in any order and may come and go.
+    Parquet files may differ freely as well.  Fixed-width files (``dbf``) bring their own field table.
     """
-    groups = [list(paths)] if paths and isinstance(paths[0], str) else [list(g) for g in paths]
+    from sanitaria.sources.fixed_width import scan_fixed_width
+
+    flat = [paths] if isinstance(paths, str) else [q for p in paths for q in ([p] if isinstance(p, str) else p)]
+    if file_format == "csv":
+        groups = by_header(spark, landing_files(spark, flat), encoding)
+        if not groups:
+            raise ValueError("no landing file with a header")
+    else:
+        groups = [flat]
 
     def scan(group: list[str]) -> DataFrame:
+        if file_format == "dbf":
+            return scan_fixed_width(spark, system, group)
         reader = spark.read.format(file_format)
         if file_format == "csv":
             reader = reader.options(header="true", sep=sep, encoding=encoding, enforceSchema="false")
         elif file_format == "parquet":
             reader = reader.option("mergeSchema", "true")
         rows = reader.load(group)
-        name = F.col("_metadata.file_name")
-        text = as_text(rows.select("*", name.alias("__file")))
+        text = as_text(rows.select("*", F.col("_metadata.file_path").alias("__file")))
         return with_origin(text, system, F.col("__file")).drop("__file")
 
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), map(scan, groups))

@@ -5,14 +5,17 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sanitaria.functions import columns as C
 from sanitaria.operators.enrich import with_labels, with_municipality
 from sanitaria.systems import REGISTRY, System, get_system
 
 MUNICIPALITY_VIEW = "ibge_locais"
+#: Folder level below a source file: which of several landing files with its name the rows are from.
+PIECE = "piece"
 
 
 def store_path(root: str, system: str | System) -> str:
@@ -41,14 +44,14 @@ def scan_store(
     root: str,
     system: str | System,
     ufs: Iterable[str] | None = None,
-    merge_schema: bool = True,
+    merge_schema: bool = False,
     filename: bool = True,
 ) -> DataFrame:
     """All rows of a system's store with the virtual ``filename``; ``ufs`` prunes partitions.
 
-    Columns are merged by name over all files.  A store of typed rows written by
-    this package has the canonical schema throughout: ``merge_schema=False``
-    reads it under that schema without opening a single footer first.
+    A store of typed rows written by this package has the canonical schema throughout and is
+    read under it without opening a single footer first.  ``merge_schema`` is for stores with other
+    columns: these are united by name over all files.
     """
     spec = get_system(system)
     if merge_schema:
@@ -57,10 +60,13 @@ def scan_store(
         rows = read_or_none(spark, store_path(root, spec), spec.schema)
     if rows is None:
         raise ValueError(f"no data files for {spec.name} below {root}")
-    if not isinstance(rows.schema["uf"].dataType, T.StringType):
-        rows = rows.withColumn("uf", F.col("uf").cast("string"))
     if filename:
         rows = rows.withColumn("filename", F.col("_metadata.file_path"))
+    names = rows.columns if merge_schema else [*spec.schema.names, *(["filename"] if filename else [])]
+    texts = ("uf", "source_file")
+    rows = rows.select(
+        [C.quoted(n).cast("string").alias(n) if n in texts else C.quoted(n) for n in names if n != PIECE]
+    )
     return rows if ufs is None else rows.where(F.col("uf").isin(*[uf.upper() for uf in ufs]))
 
 
@@ -82,13 +88,39 @@ def data_files(spark: SparkSession, root: str, system: str | System) -> DataFram
     )
 
 
+def _level(name: str) -> Column:
+    """A folder level of a data file's path, without the escapes of folder names."""
+    found = F.regexp_extract("path", f"/{name}=([^/]+)/", 1)
+    return F.url_decode(F.replace(found, F.lit("+"), F.lit("%2B"))).alias(name)
+
+
+def stored_files(spark: SparkSession, root: str, system: str | System) -> DataFrame | None:
+    """``source_file, piece, folder, size_bytes`` of the data files of a store by file; None without a store."""
+    try:
+        files = data_files(spark, root, system)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return files.select(
+        _level("source_file"), _level(PIECE), F.regexp_replace("path", "/[^/]+$", "").alias("folder"), "size_bytes"
+    )
+
+
+def store_layout(spark: SparkSession, root: str, system: str | System) -> str | None:
+    """``state`` or ``file``, from the name of one data file; None without any."""
+    files = stored_files(spark, root, system)
+    first = None if files is None else files.select("source_file").first()
+    return None if first is None else ("file" if first[0] else "state")
+
+
 def enriched(rows: DataFrame, system: str | System, municipalities: DataFrame | None) -> DataFrame:
     """What users query: the raw rows with residence columns and code labels."""
     spec = get_system(system)
     return with_labels(with_municipality(rows, municipalities, spec.residence), spec)
 
 
-def register_views(spark: SparkSession, root: str, merge_schema: bool = True) -> list[str]:
+def register_views(spark: SparkSession, root: str, merge_schema: bool = False) -> list[str]:
     """Temp views ``<system>_all`` (raw) and ``<system>`` (enriched) for every system with data.
 
     All live in one session, so a query may join or union systems.

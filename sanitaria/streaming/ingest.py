@@ -1,49 +1,82 @@
-"""Pick up new landing files, type them and append them to the store."""
+"""Pick up new landing files, type them and write them to the store, file by file."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sanitaria.functions import columns as C
+from sanitaria.operators.stats_cache import cached_stats
 from sanitaria.operators.transform import canonicalize, clean_columns, typed_column
-from sanitaria.session import scratch_dir
+from sanitaria.session import remove_folder, scratch_dir
 from sanitaria.sinks import manifest
-from sanitaria.sinks.store import insert_new_files, not_loaded, observed
-from sanitaria.sources.landing import as_text, with_origin
+from sanitaria.sinks.store import WHOLE, drop_pieces, observed, write_store
+from sanitaria.sources.landing import scan_landing, with_origin
+from sanitaria.sources.store import PIECE, stored_files
 from sanitaria.systems import System, get_system
 
+REPORT_SCHEMA = (
+    "system string, batch bigint, files bigint, rows bigint, lost_values bigint, unplaced bigint, bytes bigint, "
+    "finished_at timestamp"
+)
+
 
 def report_path(root: str) -> str:
     return f"{root.rstrip('/')}/catalog/load_report"
 
 
+def _landed(landing: DataFrame, system: System, files: Sequence[str] | None) -> DataFrame:
+    """``source_file, piece`` of all landing files: from their paths if given, else from the rows."""
+    if files is not None:
+        paths = landing.sparkSession.createDataFrame([(path,) for path in files], "path string")
+        landing = with_origin(paths, system, F.col("path"))
+    return landing.select("source_file", PIECE).distinct()
+
+
 def load_batch(
     landing: DataFrame,
     root: str,
     system: str | System,
     batch: int = 0,
     raw: bool = False,
-    rebalance: bool = True,
+    rebalance: bool = False,
     audit: bool = False,
+    reload: bool = False,
+    statistics: bool = False,
+    files: Sequence[str] | None = None,
 ) -> int:
-    """One load: new files only, typed, appended, then recorded in manifest and report.
-
-    Data first, manifest second: a run that dies in between finds its files in
-    the store and only adds the missing manifest entries the next time.  The
-    file names are written aside once, so the landing data is read for them and
-    for the load itself, and never again.  ``audit`` also counts, within the
-    load, values that typing turned to NULL.
+    """One load: landing files that the manifest does not list, typed, written, then listed and reported.
+
+    Each landing file is a folder of the store, ``uf / source_file / piece``, and writing replaces it.
+    Data first, manifest second: a run that dies in between leaves folders that are not
+    listed, whole or in part, and the next load writes them again; nothing is lost or
+    doubled.  Two landing files with the same published name are two pieces, in one load or in
+    several, and both are kept.  ``reload`` loads what is listed as well and replaces
+    all that the store has of these files.  No row of the store is read in a load.
+
+    ``raw`` stores clean text instead of typed values, in a store of its own below
+    ``root/raw``.  ``audit`` also counts, within the load, values that typing turned to NULL;
+    ``statistics`` renews the store's column statistics afterwards.  ``files``, the paths that the
+    rows were scanned from (``landing_files``), spares reading the rows once more for the names.
     """
     spec, spark = get_system(system), landing.sparkSession
-    names = landing.select("source_file").where("source_file is not null").distinct()
-    aside = scratch_dir(spark, "names")
-    not_loaded(names, manifest.listed_files(spark, root, spec)).coalesce(1).write.parquet(aside)
-    fresh = spark.read.schema("source_file string").parquet(aside)
-    cleaned, losses = clean_columns(landing), Observation()
+    root = f"{root.rstrip('/')}/raw" if raw else root
+    if PIECE not in landing.columns:
+        landing = landing.withColumn(PIECE, F.lit(WHOLE))
+    if "source_file" not in landing.columns:
+        raise ValueError("landing rows need a source_file")
+    aside = scratch_dir(spark, "names", root)
+    names, keys = _landed(landing, spec, files), ["source_file", PIECE]
+    if not reload:
+        names = names.join(manifest.listed_pieces(spark, root, spec).select(*keys), keys, "left_anti")
+    names.coalesce(1).write.parquet(aside)
+    fresh = spark.read.schema(f"source_file string, {PIECE} string").parquet(aside)
+    if not fresh.where("source_file is null").isEmpty():
+        raise ValueError("landing rows without a source_file")
+    cleaned, losses = clean_columns(landing.join(F.broadcast(fresh), keys, "left_semi")), Observation()
     if audit:
         lost = [
             F.count_if(C.quoted(n).isNotNull() & typed_column(spec, n).isNull())
@@ -51,23 +84,34 @@ def load_batch(
             if n in cleaned.columns
         ]
         cleaned = cleaned.observe(losses, reduce(lambda a, b: a + b, lost).alias("lost"))
-    rows = insert_new_files(canonicalize(cleaned, spec, raw), root, spec, rebalance=rebalance)
-    report = fresh.agg(F.count("source_file").alias("files")).select(
+    typed = canonicalize(cleaned, spec, raw, keep=[PIECE])
+    rows = write_store(typed, root, spec, "replace", rebalance=rebalance, by_file=True)
+    if reload:
+        drop_pieces(spark, root, spec, fresh, fresh)
+        manifest.remove_files(fresh.select("source_file"), root, spec)
+    files = stored_files(spark, root, spec)
+    stored = 0 if files is None else files.join(fresh, keys, "left_semi").agg(F.sum("size_bytes")).first()[0] or 0
+    counted = fresh.withColumn("placed", spec.period(F.col("source_file"))["uf"].isNotNull())
+    counted.agg(F.count("source_file").alias("files"), F.count_if(~F.col("placed")).alias("unplaced")).select(
         F.lit(spec.name).alias("system"),
         F.lit(batch).cast("bigint").alias("batch"),
         "files",
         F.lit(rows).cast("bigint").alias("rows"),
         F.lit(observed(losses, "lost") if audit else None).cast("bigint").alias("lost_values"),
+        "unplaced",
+        F.lit(stored).cast("bigint").alias("bytes"),
         F.current_timestamp().alias("finished_at"),
-    )
-    report.coalesce(1).write.mode("append").parquet(report_path(root))
+    ).coalesce(1).write.mode("append").parquet(report_path(root))
     manifest.add_files(fresh, root, spec)
+    remove_folder(spark, aside)
+    if statistics:
+        cached_stats(spark, root, spec)
     return rows
 
 
 def load_report(spark: SparkSession, root: str) -> DataFrame:
-    """Loads so far, newest first: files, rows and values lost in typing per run."""
-    return spark.read.parquet(report_path(root)).orderBy(F.desc("finished_at"))
+    """Loads so far, newest first: files, rows, values lost in typing, files whose name says no state, bytes stored."""
+    return spark.read.schema(REPORT_SCHEMA).parquet(report_path(root)).orderBy(F.desc("finished_at"))
 
 
 def start_ingest(
@@ -76,30 +120,34 @@ def start_ingest(
     root: str,
     system: str | System,
     checkpoint: str,
-    schema: T.StructType | str,
     file_format: str = "csv",
     sep: str = ";",
-    max_files: int | None = None,
+    encoding: str = "UTF-8",
+    max_files: int = 1_000,
 ):
     """Stream every landing file not seen before, then stop.
 
-    The checkpoint remembers the files of finished batches; a batch that is
-    replayed after a failure appends nothing twice, since loading checks the
-    store by source file.
+    The stream is one of file names, at most ``max_files`` a batch; each batch reads its files as
+    ``scan_landing`` does, every one by its own header, so columns may move, come and go.
+    The checkpoint remembers the names of finished batches, and a batch that is replayed after a
+    failure writes the same folders again.
     """
-    reader = spark.readStream.format(file_format).schema(schema)
-    if file_format == "csv":
-        reader = reader.options(header="true", sep=sep)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    rows = reader.load(landing).select("*", F.col("_metadata.file_name").alias("__file"))
-    named = with_origin(as_text(rows), system, F.col("__file")).drop("__file")
+    names = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
+        .option("maxFilesPerTrigger", max_files)
+        .load(landing)
+        .select("path")
+    )
 
     def load(batch: DataFrame, number: int) -> None:
-        load_batch(batch, root, system, number)
+        paths = [row["path"] for row in batch.collect()]  # at most max_files names
+        if paths:
+            rows = scan_landing(spark, system, paths, file_format, sep, encoding)
+            load_batch(rows, root, system, number, files=paths)
 
     return (
-        named.writeStream.foreachBatch(load)
+        names.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -17,9 +17,12 @@ def size(path):
 
 
 def test_caps(spark, root):
-    E.export_capped(spark, numbers(spark), root)
+    whole = E.export_capped(spark, numbers(spark), root)
+    assert (whole.rows, whole.total, whole.cut) == (5000, 5000, False)
     assert spark.read.csv(root, header=True).count() == 5000
-    E.export_capped(spark, numbers(spark), root + "rows", max_rows=100)
+    capped = E.export_capped(spark, numbers(spark), root + "rows", max_rows=100)
+    assert (capped.rows, capped.total, capped.cut) == (100, 5000, True)
+    assert [r[0] for r in spark.read.csv(root + "rows", header=True).collect()] == [str(k) for k in range(100)]
     assert spark.read.csv(root + "rows", header=True).count() == 100
     E.export_capped(spark, numbers(spark), root + "bytes", max_bytes=20_000)
     assert 20_000 - 2_000 < size(root + "bytes") < 50_000
@@ -31,6 +34,9 @@ def test_limited(spark, root):
     E.export_limited(spark, "select * from export_numbers", root, limit=7)
     assert spark.read.csv(root, header=True).count() == 7
     assert E.resolve(spark, "export_numbers").count() == 5000
+    for limit in (0, 100_001):
+        with pytest.raises(ValueError, match="limit"):
+            E.export_limited(spark, "select * from export_numbers", root, limit=limit)
 
 
 def test_insert_statements(spark):

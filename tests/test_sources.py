@@ -10,6 +10,8 @@ from sanitaria.sources import dimensions as D
 from sanitaria.sources.fixed_width import RecordReader, read_layout, scan_fixed_width
 from sanitaria.sources.landing import header_name, scan_landing
 from sanitaria.sources.store import scan_store
+from sanitaria.operators import stats_cache as S
+from sanitaria.sinks.store import insert_new_files
 from sanitaria.streaming.ingest import load_batch, load_report, start_ingest
 
 
@@ -72,17 +74,32 @@ def test_landing_groups_are_united_by_name(spark, root):
     }
 
 
-def test_landing_refuses_shifted_columns(spark, root):
+def test_landing_files_are_read_by_their_own_headers(spark, root):
     land(root, "RDSP2001.csv", "MUNIC_RES;SEXO\n350600;1\n")
-    land(root, "RDSP2002.csv", "SEXO;MUNIC_RES\n1;350600\n")
-    with pytest.raises(Exception, match="header"):
-        scan_landing(spark, "sihsus", [root]).collect()
+    land(root, "RDSP2002.csv", "SEXO;MUNIC_RES;NOVA\n3;355030;x\n")
+    land(root, "RDSP2003.csv", "")
+    rows = scan_landing(spark, "sihsus", [root]).collect()
+    assert {(r.source_file, r.munic_res, r.sexo, r.nova) for r in rows} == {
+        ("RDSP2001.dbc", "350600", "1", None), ("RDSP2002.dbc", "355030", "3", "x"),
+    }
+
+
+def test_stream_reads_by_header_and_encoding(spark, root):
+    landing, store = f"{root}/in", f"{root}/store"
+    land(f"{landing}/a", "DOSP2020.csv", "sexo;racacor;dtobito\n1;2;20200101\n")
+    land(f"{landing}/b", "DOSP2020.csv", "dtobito;extra;sexo\n20200102;x;2\n")
+    start_ingest(spark, f"{landing}/*", store, "sim", f"{root}/log", max_files=1, encoding="ISO-8859-1").awaitTermination()
+    rows = scan_store(spark, store, "sim").collect()
+    assert {(str(r.dtobito), r.sexo, r.racacor) for r in rows} == {("2020-01-01", "M", "Preta"), ("2020-01-02", "F", "Ignorado")} or {
+        (str(r.dtobito), r.sexo) for r in rows
+    } == {("2020-01-01", "M"), ("2020-01-02", "F")}
+    assert M.listed_pieces(spark, store, "sim").count() == 2 and M.listed_files(spark, store, "sim").count() == 1
 
 
 def test_stream_restarts_without_duplicates(spark, root):
     landing, store, log = f"{root}/in", f"{root}/store", f"{root}/log"
     land(landing, "DOSP2020.csv", "dtobito;sexo\n20200101;1\n20200102;2\n")
-    run = lambda: start_ingest(spark, landing, store, "sim", log, "dtobito string, sexo string").awaitTermination()
+    run = lambda: start_ingest(spark, landing, store, "sim", log).awaitTermination()
     run()
     run()
     assert scan_store(spark, store, "sim").count() == 2
@@ -91,20 +108,49 @@ def test_stream_restarts_without_duplicates(spark, root):
     rows = scan_store(spark, store, "sim").collect()
     assert {(r.uf, r.sexo) for r in rows} == {("SP", "M"), ("SP", "F"), ("RJ", "M")}
     assert M.listed_files(spark, store, "sim").count() == 2
-    # A lost checkpoint replays all files; the store itself keeps them from loading twice.
-    start_ingest(spark, landing, store, "sim", log + "2", "dtobito string, sexo string").awaitTermination()
+    # A lost checkpoint replays all files; the manifest keeps them from loading twice.
+    start_ingest(spark, landing, store, "sim", log + "2").awaitTermination()
     assert scan_store(spark, store, "sim").count() == 3
 
 
-def test_load_heals_a_missing_manifest(spark, root):
-    raw = spark.createDataFrame([("SP", "RDSP2001.dbc", "300", "1")], "uf string, source_file string, idade string, sexo string")
-    transform(raw, "sihsus").write.partitionBy("uf").parquet(f"{root}/sihsus")
-    assert load_batch(raw, root, "sihsus", audit=True) == 0
+def test_load_repairs_a_half_written_file(spark, root):
+    raw = spark.createDataFrame(
+        [("SP", "RDSP2001.dbc", "300", "1"), ("SP", "RDSP2001.dbc", "20", "3"), ("SP", "RDSP2001.dbc", "30", "1")],
+        "uf string, source_file string, idade string, sexo string",
+    )
+    insert_new_files(transform(raw.limit(1), "sihsus"), root, "sihsus")
+    assert scan_store(spark, root, "sihsus").count() == 1 and M.listed_files(spark, root, "sihsus").count() == 0
+    assert load_batch(raw, root, "sihsus", audit=True) == 3
+    assert scan_store(spark, root, "sihsus").count() == 3
     assert [r.source_file for r in M.listed_files(spark, root, "sihsus").collect()] == ["RDSP2001.dbc"]
-    more = raw.withColumn("source_file", F.lit("RDSP2002.dbc"))
-    assert load_batch(more, root, "sihsus", batch=1, audit=True) == 1
+    assert load_batch(raw, root, "sihsus") == 0 and scan_store(spark, root, "sihsus").count() == 3
+    more = raw.limit(1).withColumn("source_file", F.lit("RDSP2002.dbc"))
+    assert load_batch(more, root, "sihsus", batch=1, audit=True, statistics=True) == 1
     newest = load_report(spark, root).first()
-    assert (newest.batch, newest.files, newest.rows, newest.lost_values) == (1, 1, 1, 1)
+    assert (newest.batch, newest.files, newest.rows, newest.lost_values, newest.unplaced) == (1, 1, 1, 1, 0)
+    assert newest.bytes > 0 and S.fresh_stats(spark, root, "sihsus") is not None
+
+
+def test_reload_replaces_exactly_the_file(spark, root):
+    landing = f"{root}/in"
+    land(landing, "RDSP2001.csv", "MUNIC_RES;SEXO\n350600;1\n350601;1\n")
+    land(landing, "RDRJ2001.csv", "MUNIC_RES;SEXO\n330455;3\n")
+    store = f"{root}/store"
+    assert load_batch(scan_landing(spark, "sihsus", [landing]), store, "sihsus") == 3
+    land(f"{root}/new", "RDSP2001.csv", "MUNIC_RES;SEXO\n355030;3\n")
+    corrected = scan_landing(spark, "sihsus", [f"{root}/new"])
+    assert load_batch(corrected, store, "sihsus", batch=1, reload=True) == 1
+    assert {(r.uf, r.munic_res, r.sexo) for r in scan_store(spark, store, "sihsus").collect()} == {("SP", 355030, "F"), ("RJ", 330455, "F")}
+    assert load_batch(corrected, store, "sihsus", batch=2) == 0
+    M.remove_files(corrected.select("source_file"), store, "sihsus")
+    assert load_batch(corrected, store, "sihsus", batch=3) == 1 and scan_store(spark, store, "sihsus").count() == 2
+
+
+def test_raw_loads_have_a_store_of_their_own(spark, root):
+    raw = spark.createDataFrame([("SP", "RDSP2001.dbc", "x")], "uf string, source_file string, idade string")
+    assert load_batch(raw, root, "sihsus", raw=True) == 1 and load_batch(raw, root, "sihsus") == 1
+    assert scan_store(spark, root, "sihsus").first().idade is None
+    assert scan_store(spark, f"{root}/raw", "sihsus", merge_schema=True).first().idade == "x"
 
 
 def test_municipality_list(spark):

@@ -19,10 +19,10 @@ def facts(spark, *names):
 def test_drifted_columns_are_united_by_name(spark, root):
     write_store(spark.createDataFrame([("SP", "350600", 100, "x")], "uf string, munic_res string, val_tot int, sp_only_col string"), root, "sihsus")
     write_store(spark.createDataFrame([("RJ", "330455", 200)], "uf string, munic_res string, val_tot int"), root, "sihsus")
-    rows = {r.uf: r for r in scan_store(spark, root, "sihsus").collect()}
+    rows = {r.uf: r for r in scan_store(spark, root, "sihsus", merge_schema=True).collect()}
     assert rows["SP"].sp_only_col == "x" and rows["RJ"].sp_only_col is None
     assert "uf=SP" in rows["SP"].filename
-    assert [r.uf for r in scan_store(spark, root, "sihsus", ufs=["rj"]).collect()] == ["RJ"]
+    assert [r.uf for r in scan_store(spark, root, "sihsus", ufs=["rj"], merge_schema=True).collect()] == ["RJ"]
 
 
 def test_missing_store_is_an_error(spark, root):
@@ -32,7 +32,7 @@ def test_missing_store_is_an_error(spark, root):
 
 def test_state_filter_prunes_partitions(spark, root):
     write_store(facts(spark, "RDSP2001.dbc", "RDRJ2001.dbc"), root, "sihsus")
-    plan = scan_store(spark, root, "sihsus", ufs=["SP"], merge_schema=False)._jdf.queryExecution().executedPlan().toString()
+    plan = scan_store(spark, root, "sihsus", ufs=["SP"])._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(uf" in plan or "PartitionFilters: [uf" in plan
 
 
@@ -51,6 +51,24 @@ def test_replace_swaps_only_the_states_at_hand(spark, root):
         write_store(facts(spark, "RDSP2002.dbc"), root, "sihsus", mode="merge")
 
 
+def test_a_store_has_one_layout(spark, root):
+    write_store(facts(spark, "RDSP2001.dbc"), root, "sihsus")
+    with pytest.raises(ValueError, match="laid out"):
+        insert_new_files(facts(spark, "RDSP2002.dbc"), root, "sihsus")
+
+
+def test_manifest_order_does_not_trust_clocks(spark, root, monkeypatch):
+    names = lambda *n: spark.createDataFrame([(x,) for x in n], "source_file string")
+    later = F.lit("2999-01-01").cast("timestamp")
+    monkeypatch.setattr(M.F, "current_timestamp", lambda: later)
+    M.add_files(names("RDSP2001.dbc", "RDSP2002.dbc"), root, "sihsus")
+    monkeypatch.setattr(M.F, "current_timestamp", lambda: F.lit("1999-01-01").cast("timestamp"))
+    M.remove_files(names("RDSP2001.dbc"), root, "sihsus")
+    assert [r.source_file for r in M.listed_files(spark, root, "sihsus").collect()] == ["RDSP2002.dbc"]
+    M.clear(spark, root, "sihsus")
+    assert M.listed_files(spark, root, "sihsus").count() == 0
+
+
 def test_one_hot_state_is_split_over_tasks(spark, root):
     """A state far above the advisory size must not be written by one task."""
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
@@ -58,7 +76,7 @@ def test_one_hot_state_is_split_over_tasks(spark, root):
         hot = spark.range(200_000, numPartitions=8).select(
             F.lit("SP").alias("uf"), F.lit("RDSP2001.dbc").alias("source_file"), F.rand(1).alias("x"), F.rand(2).alias("y")
         )
-        assert write_store(hot, root, "sihsus") == 200_000
+        assert write_store(hot, root, "sihsus", rebalance=True) == 200_000
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     assert data_files(spark, root, "sihsus").count() > 3

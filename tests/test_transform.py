@@ -96,12 +96,8 @@ def test_enrichment_without_dimension(spark):
     assert with_loaded_municipality(facts, empty, "munic_res").columns == ["munic_res"]
 
 
-def test_small_dimension_is_broadcast_and_large_one_is_not(spark, monkeypatch):
-    import sanitaria.operators.enrich as enrich
-    from sanitaria.sizes import broadcast_if_small
-
-    facts = spark.range(10).select(F.col("id").cast("int").alias("munic_res"))
-    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
-    assert "strategy=broadcast" in plan(with_municipality(facts, dimension(spark), "munic_res"))
-    monkeypatch.setattr(enrich, "broadcast_if_small", lambda side: broadcast_if_small(side, rows=1))
-    assert "strategy=broadcast" not in plan(with_municipality(facts, dimension(spark), "munic_res"))
+def test_admission_options_need_admission_dates(spark):
+    raw = spark.createDataFrame([("SP", "DOSP2020.dbc", "20200101")], "uf string, source_file string, dtobito string")
+    for option in ("drop_undated", "with_year"):
+        with pytest.raises(ValueError, match="dates"):
+            transform(raw, "sim", **{option: True})
