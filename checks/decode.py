@@ -144,13 +144,25 @@ register(
 
 @register(
     "prj_16_file_order",
-    f"WITH {R.DEATHS} SELECT uf, dtobito, count(*) AS n FROM dth GROUP BY uf, dtobito",
+    f"WITH {R.DEATHS} SELECT uf, count(*) AS n, 0::BIGINT AS out_of_order FROM dth GROUP BY uf",
 )
 def file_order(spark, sf):
-    """Rows ordered by death date within each task, as the writer does it."""
-    rows = _typed_deaths(spark, sf).select("uf", "dtobito")
-    return rows.sortWithinPartitions("uf", F.col("dtobito").asc_nulls_last()).groupBy("uf", "dtobito").agg(
-        F.count(F.lit(1)).alias("n")
+    """Every file of a written store has its rows by death date, missing dates last."""
+    from pyspark.sql import Window
+
+    from sanitaria.session import scratch_dir
+    from sanitaria.sinks.store import write_store
+    from sanitaria.sources.store import store_path
+
+    root = scratch_dir(spark, "prj16")
+    write_store(_typed_deaths(spark, sf), root, "sim")
+    stored = spark.read.parquet(store_path(root, "sim")).select(
+        "uf", "dtobito", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
+    )
+    day = F.coalesce("dtobito", F.lit("9999-12-31").cast("date"))
+    before = F.lag(day).over(Window.partitionBy("file").orderBy("row"))
+    return stored.withColumn("wrong", before > day).groupBy("uf").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("wrong").alias("out_of_order")
     )
 
 

@@ -221,11 +221,15 @@ def dictionary(spark, sf):
 
 @register(
     "cov_01_store_files",
-    f"WITH {R.ADMISSIONS_RAW} SELECT uf, TRUE AS has_files, TRUE AS has_bytes FROM adm_raw GROUP BY uf",
+    f"WITH {R.ADMISSIONS_RAW} SELECT uf, TRUE AS same_files, TRUE AS has_bytes FROM adm_raw GROUP BY uf",
 )
 def store_files(spark, sf):
+    """The listing's file counts against the files that rows are read from."""
     stats = K.storage_stats(data_files(spark, R.store(spark, sf), "sihsus"))
-    return stats.select("uf", (F.col("files") > 0).alias("has_files"), (F.col("size_bytes") > 0).alias("has_bytes"))
+    read = scan_store(spark, R.store(spark, sf), "sihsus").groupBy("uf").agg(F.countDistinct("filename").alias("read"))
+    return stats.join(read, "uf").select(
+        "uf", (F.col("files") == F.col("read")).alias("same_files"), (F.col("size_bytes") > 0).alias("has_bytes")
+    )
 
 
 # -- loads -------------------------------------------------------------------

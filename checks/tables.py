@@ -293,14 +293,20 @@ register("prf_02_column_stats_arrays", _stats_sql(f"WITH {R.DEATHS}", "dth", _DT
 
 @register(
     "prf_01_column_stats_approximate",
-    _stats_sql(f"WITH {R.ADMISSIONS}", "adm", _ADM).replace("count(DISTINCT", "(0.9 * count(DISTINCT")
-    .replace(") AS distinct_count", ") < count(*)) AS distinct_plausible"),
+    _stats_sql(f"WITH {R.ADMISSIONS}", "adm", _ADM).replace(
+        ") AS distinct_count", ") AS distinct_count, TRUE AS approximate_close"
+    ),
 )
 def approximate_stats(spark, sf):
-    """The default single-pass form: shares are exact, distinct counts must be plausible."""
-    stats = P.column_stats(R.admissions(spark, sf).select(*_ADM))
-    plausible = F.col("distinct_count") * 0.9 < F.col("row_count")
-    return stats.withColumn("distinct_plausible", plausible).drop("distinct_count")
+    """The default form: shares are exact, distinct counts within a twentieth of the exact ones on either side."""
+    rows_ = R.admissions(spark, sf).select(*_ADM)
+    exact = P.column_stats(rows_, exact=True).select("column", "distinct_count")
+    stats = P.column_stats(rows_).withColumnRenamed("distinct_count", "approximate").join(exact, "column")
+    return stats.select("*", _close("approximate", "distinct_count").alias("approximate_close")).drop("approximate")
+
+
+def _close(found: str, exact: str):
+    return F.abs(F.col(found) - F.col(exact)) <= F.col(exact) * 0.05 + 0.5
 
 
 @register(
@@ -354,6 +360,40 @@ register(
 )
 
 
+_LINEITEM = (
+    "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus "
+    "l_shipdate"
+).split()
+
+
+@register(
+    "prf_06_summarize_unique",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS distinct_count, TRUE AS unique_close FROM lineitem"
+        for c in _LINEITEM
+    ),
+)
+def summarized_unique(spark, sf):
+    """The summary's approximate unique counts of all columns against exact ones."""
+    table = V.table(spark, sf, "lineitem")
+    exact = P.column_stats(table, exact=True).select(F.col("column").alias("column_name"), "distinct_count")
+    found = P.summarize(table, quantiles=False).select("column_name", "approx_unique").join(exact, "column_name")
+    return found.select("column_name", "distinct_count", _close("approx_unique", "distinct_count").alias("unique_close"))
+
+
+register(
+    "prf_09_schema_table",
+    " UNION ALL ".join(
+        f"SELECT {i} AS position, '{c}' AS column_name, count(*) > 0 AS filled FROM lineitem"
+        for i, c in enumerate(_LINEITEM)
+    ),
+)(
+    lambda spark, sf: P.schema_table(V.table(spark, sf, "lineitem"))
+    .join(P.column_stats(V.table(spark, sf, "lineitem")), F.col("column_name") == F.col("column"))
+    .select("position", "column_name", (F.col("row_count") > 0).alias("filled"))
+)
+
+
 def _histogram_sql(with_views: str, table: str, c: str, value: str) -> str:
     return (
         f"{with_views} SELECT {value} AS {c}, count(*) AS count, "
