@@ -112,6 +112,13 @@ token | other | token |
 page 12 of 345, line 6789
 Wh. Er. Th. An. On. The Of And
 Thnt. Dr Er. Mr On. St. Le. La. De.
+a token x-ray12 and token river3 end!4
+the token Stone8 of token Mill,20 lane.7
+key 12 and secret c23 password b25 token a30
+token token12 token 12 the x-ray x-ray16
+token Lane21. key Mill,9 secret door5 end!
+the password page12 of key note3, token item-7
+token 日本 secret façade4 key über31 token x-ray8
 Thhawh esan thonre was. Ereaor Thing of it
 Edon. Enreth thon. Reor. Thatble hend
 Vererge. Ein. Ergech stst der Und Zeit

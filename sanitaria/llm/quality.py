@@ -36,12 +36,12 @@ def _slots(texts: Sequence[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.
     h = words.hash
     yield (h & np.uint64(WORD_SLOTS - 1)).astype(np.int32), words.word[:-1], words.word[1:]
     pair = (h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]) >> np.uint64(51)
-    last = np.maximum(words.word[1:] - 1, words.word[:-1])
-    yield pair.astype(np.int32), words.word[:-1], last
+    begin = np.minimum(words.word[:-1], len(pair))
+    yield pair.astype(np.int32), begin, np.maximum(words.word[1:] - 1, begin)
     x = words.data.astype(np.uint32)
     chars = ((x[:-2] | x[1:-1] << np.uint32(8) | x[2:] << np.uint32(16)) * np.uint32(2654435761)) >> np.uint32(19)
-    begin, end = words.first[:-1], words.first[1:] - 3
-    yield chars.astype(np.int32) + WORD_SLOTS, np.minimum(begin, len(chars)), np.maximum(np.minimum(begin, len(chars)), end)
+    begin = np.minimum(words.first[:-1], len(chars))
+    yield chars.astype(np.int32) + WORD_SLOTS, begin, np.maximum(words.first[1:] - 3, begin)
 
 
 def vectors(texts: Sequence[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:

@@ -80,7 +80,7 @@ def test_capped_sources(spark):
     for r in mixed:
         sizes[r["source"]] += r["size"]
     for source, target in expected_targets(dict(sizes)).items():
-        assert [r["target"] for r in mixed if r["source"] == source] == pytest.approx([target] * 30)
+        assert all(r["target"] == pytest.approx(target) for r in mixed if r["source"] == source)
 
 
 def test_mixed_rows_repeat(spark):
