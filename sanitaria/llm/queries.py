@@ -109,6 +109,25 @@ SELECT conv_id, count(*) AS n_turns,
     + length('<|im_end|>') + 1) AS BIGINT) AS formatted_chars
 FROM turns GROUP BY conv_id"""
 
+OP7_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * shared.n >= 90 * (x.n + y.n - shared.n)),
+reached AS (
+  SELECT doc_id, doc_id AS root FROM documents UNION SELECT links.b, root FROM reached JOIN links ON reached.doc_id = links.a)
+SELECT reached.doc_id, coalesce(any_value(sizes.n), 0) AS n_shingles, min(root) AS component_id
+FROM reached LEFT JOIN sizes ON sizes.doc_id = reached.doc_id GROUP BY reached.doc_id"""
+
 QUERIES: dict[str, Query] = {
     "op1_minimax_shards": op1_minimax_shards,
     "op2_private_data": op2_private_data,
@@ -121,4 +140,4 @@ QUERIES: dict[str, Query] = {
     "op9_fingerprints": op9_fingerprints,
     "op10_chat_format": op10_chat_format,
 }
-CHECKS: dict[str, str] = {"op10_chat_format": OP10_SQL}
+CHECKS: dict[str, str] = {"op7_jaccard_join": OP7_SQL, "op10_chat_format": OP10_SQL}
