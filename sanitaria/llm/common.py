@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from sanitaria.session import scratch_dir
 
 #: Entries of a task's partial word counts before they are sent on.
-FLUSH_WORDS = 400_000
+FLUSH_WORDS = 200_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -113,7 +113,7 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
             for left, right in zip(batch["text_a"], batch["text_b"], strict=True):
                 for text in (left, right):
                     if text not in sets:
-                        if len(sets) > 512:
+                        if len(sets) >= 128:
                             sets.clear()
                         sets[text] = _shingles(text, words)
                 x, y = (sets.get(t) or _shingles(t, words) for t in (left, right))

@@ -18,8 +18,8 @@ from sanitaria.llm.common import FLUSH_WORDS, at_least, count_floor, written
 SPACE = "▁"
 #: A code point that no text and no piece has; it takes the place of a literal SPACE in a text.
 _NOT_SPACE = "￿"
-#: Encoded words that every task knows, at most: about 40 MB.
-HEAD = 1 << 21
+#: Encoded words that every task knows, at most: about 10 MB.
+HEAD = 1 << 19
 #: Bytes of a word; a longer one is encoded in parts.
 LONGEST = 256
 #: What an unknown character costs beyond the worst piece.
