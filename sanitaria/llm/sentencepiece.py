@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import compress
 
 import numpy as np
 import pandas as pd
@@ -20,8 +21,10 @@ SPACE = "▁"
 _NOT_SPACE = "￿"
 #: Encoded words that every task knows, at most: about 10 MB.
 HEAD = 1 << 19
-#: Bytes of a word; a longer one is encoded in parts.
+#: Bytes of a word that the table of frequent words may hold; a longer one is folded whole where it is met.
 LONGEST = 256
+#: Letters of a long word whose edges are held at once.
+BLOCK = 1 << 16
 #: What an unknown character costs beyond the worst piece.
 UNKNOWN_COST = 10.0
 
@@ -83,7 +86,8 @@ class Units:
     """Words of some texts, each with the spaces before it; a text gets a space in front.
 
     The best path over a whole text is the best paths of its words one after the other, because
-    no piece goes on after a word's end or across a break.
+    no piece goes on after a word's end or across a break.  A word of more than ``LONGEST`` bytes is several
+    units, which are ``long`` and only together have a best path; ``whole`` gives the end of such a word by its start.
     """
 
     def __init__(self, texts: Sequence[bytes], breaks: np.ndarray):
@@ -97,8 +101,15 @@ class Units:
         begins[first[:-1][first[:-1] < len(data)]] = True
         start = np.flatnonzero(begins)
         end = np.append(start[1:], len(data)) if len(start) else start
-        if len(start) and (end - start).max() > LONGEST:
+        big = end - start > LONGEST
+        self.whole = dict(zip(start[big].tolist(), end[big].tolist(), strict=True))
+        if self.whole:
+            before, after = start[big], end[big]
             start, end = self._parted(start, end)
+            at = np.maximum(np.searchsorted(before, start, "right") - 1, 0)
+            self.long = (start >= before[at]) & (start < after[at])
+        else:
+            self.long = np.zeros(len(start), dtype=bool)
         self.start, self.end = start, end
         self.unit = np.searchsorted(start, first)
 
@@ -123,14 +134,15 @@ class Units:
 
 
 def unit_counts(texts: DataFrame, breaks: np.ndarray) -> DataFrame:
-    """``unit`` (string) and ``n`` of all texts, counted by tasks before they are shuffled."""
+    """``unit`` (string) and ``n`` of all texts but for long words, counted by tasks before they are shuffled."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts: Counter[bytes] = Counter()
         for batch in batches:
             raw = [encoded(t) for t in batch["text"]]
             for a, b in chunks(raw):
-                counts.update(Units(raw[a:b], breaks).slices())
+                units = Units(raw[a:b], breaks)
+                counts.update(compress(units.slices(), (~units.long).tolist()))
                 if len(counts) >= FLUSH_WORDS:
                     yield pd.DataFrame({"unit": list(counts), "n": list(counts.values())})
                     counts.clear()
@@ -227,7 +239,7 @@ class Head:
 
     def pieces(self, units: Units) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Pieces of all units in a row, -1 for a unit that is not here; how many each has; which are not here."""
-        at = self.find(units.hash)
+        at = np.where(units.long, -1, self.find(units.hash))
         sizes = np.where(at >= 0, self.begin[at + 1] - self.begin[np.maximum(at, 0)], 1) if len(self.hashes) else np.ones(len(at), int)
         ends = np.cumsum(sizes)
         within = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes, sizes)
@@ -304,6 +316,51 @@ class Lattice:
             out.append(path[::-1])
         return out
 
+    def encode_long(self, unit: bytes, block: int = BLOCK) -> list[int]:
+        """The same path through one word of any length; the fold goes on from block to block of its letters."""
+        data = np.frombuffer(unit, dtype=np.uint8)
+        letter = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+        count = len(letter) - 1
+        size_of, piece = np.zeros(count + 1, dtype=np.int32), np.zeros(count + 1, dtype=np.int32)
+        best = [0.0]  # scores of the places from ``low`` to ``done``
+        for done in range(0, count, block):
+            low, stop = max(0, done + 1 - self.longest), min(done + block, count)
+            best = best[len(best) - 1 - (done - low) :]
+            near, bound = data[letter[low] : letter[stop]], letter[low : stop + 1] - letter[low]
+            found = []
+            for size in range(1, min(self.longest, stop) + 1):
+                start = np.arange(max(0, done + 1 - size), stop + 1 - size) - low
+                hashes = span_hashes(near, bound[start], bound[start + size])
+                place = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+                known = self.hashes[place] == hashes
+                keep = known if size > 1 else np.ones(len(start), dtype=bool)
+                ids, scores = np.where(known, self.ids[place], -1), np.where(known, self.scores[place], self.worst)
+                found.append((start[keep] + size, start[keep], ids[keep], scores[keep]))
+            end, start, ids, scores = (np.concatenate(x) for x in zip(*found, strict=True))
+            order = np.lexsort((start, end))
+            at, taken, chosen = -1, [], []
+            for e, s, i, score in zip(*(x[order].tolist() for x in (end, start, ids, scores)), strict=True):
+                total = best[s] + score
+                if e != at:
+                    at = e
+                    best.append(total)
+                    taken.append(e - s)
+                    chosen.append(i)
+                elif total > best[-1]:
+                    best[-1], taken[-1], chosen[-1] = total, e - s, i
+            size_of[done + 1 : stop + 1], piece[done + 1 : stop + 1] = taken, chosen
+        position, path = count, []
+        while position:
+            before, found_id = position - int(size_of[position]), int(piece[position])
+            if found_id >= 0:
+                path.append(found_id)
+            elif self.bytes_from is None:
+                path.append(self.unknown)
+            else:
+                path += [self.bytes_from + byte for byte in reversed(unit[letter[before] : letter[position]])]
+            position = before
+        return path[::-1]
+
 
 #: Distinct words that one task of the relational lattice takes, about.
 TASK_UNITS = 16_384
@@ -336,9 +393,9 @@ def encode(
     all ids of their documents; their lattices are folded where they are met, to the same result.
     ``round_trip`` says that decoding the ids gives the text again, by its crc32.
 
-    A null text counts as empty and has no pieces.  Words of more than 256 bytes are encoded in parts
-    that end at code points.  Repeated rows are encoded each; a null key stays null; an empty table
-    gives no rows.
+    A null text counts as empty and has no pieces.  Words of more than 256 bytes are not counted among the
+    frequent ones, but folded whole like the rare ones.  Repeated rows are encoded each; a null key stays null; an
+    empty table gives no rows.
     """
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     known = frequent_pieces(rows, vocabulary, head)
@@ -365,9 +422,16 @@ def _ids(units: Units, known: Head, lattice: Lattice) -> list[np.ndarray]:
     """Pieces of each text: those of known words from the table, those of the others from the lattice."""
     flat, sizes, missing = known.pieces(units)
     if len(missing):
-        rare = [units.raw[units.start[k] : units.end[k]] for k in missing]
-        distinct = list(dict.fromkeys(rare))
-        paths = dict(zip(distinct, lattice.encode(distinct), strict=True))
+        long, whole = units.long[missing].tolist(), units.whole
+        starts, ends = units.start[missing].tolist(), units.end[missing].tolist()
+        # The first part of a long word takes the path of the whole, the others are left empty.
+        rare = [
+            units.raw[a : whole.get(a, a) if is_long else b] for a, b, is_long in zip(starts, ends, long, strict=True)
+        ]
+        distinct = list(dict.fromkeys(u for u, is_long in zip(rare, long, strict=True) if not is_long))
+        paths = dict(zip(distinct, lattice.encode(distinct), strict=True)) if distinct else {}
+        for unit in dict.fromkeys(u for u, is_long in zip(rare, long, strict=True) if is_long):
+            paths[unit] = lattice.encode_long(unit) if unit else []
         gaps = np.cumsum(sizes)[missing] - 1
         grown = np.ones(len(flat), dtype=np.int64)
         grown[gaps] = [len(paths[u]) for u in rare]

@@ -1,4 +1,5 @@
 import os
+import random
 from functools import cache
 
 import pytest
@@ -60,6 +61,31 @@ def test_against_brute_force(spark, vocabulary, head):
         assert got[k]["round_trip"] and got[k]["n_pieces"] == len(got[k]["ids"])
 
 
+def long_words():
+    """Texts with words of more than 256 bytes: URLs, base64, texts without spaces, unknown letters."""
+    draw = random.Random(3)
+    url = "https://example.org/" + "/".join(prose(k, 4).replace(" ", "-").lower() for k in range(12)) + "?q=" + "ab12" * 60
+    base64 = "".join(draw.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(1_500))
+    joined = [prose(k, 200).replace(" ", "").replace("\n", "") for k in range(20)]
+    return [url, f"see {url} and {url}\nend", base64, "é" * 300, "日本語の文章" * 60, "\U0001f600" * 70, "▁" * 100, *joined]
+
+
+@pytest.mark.parametrize("head", [0, 1 << 21])
+def test_long_words_take_the_best_path_of_the_whole(spark, vocabulary, head):
+    rows = [*enumerate(long_words()), (900, "a short one")]
+    got = {r["doc_id"]: r for r in encode(documents(spark, rows), vocabulary, head=head).collect()}
+    for k, text in rows:
+        assert list(got[k]["ids"]) == brute(text, vocabulary), text[:40]
+        assert got[k]["round_trip"] and got[k]["n_pieces"] == len(got[k]["ids"])
+
+
+def test_blocks_of_a_long_word_join_exactly(vocabulary):
+    lattice = Lattice(vocabulary)
+    for text in long_words():
+        word = text.replace(" ", "").replace("\n", "").encode()
+        assert all(lattice.encode_long(word, block) == lattice.encode([word])[0] for block in (1, 7, 16, 100, 1 << 16))
+
+
 def test_the_lattice_of_rare_words_takes_the_same_paths(spark, vocabulary):
     words = sorted({w for k in range(30) for w in Units([encoded(prose(k, 60) + "\n é▁\x00")], vocabulary.breaks()).slices()})
     units = spark.createDataFrame([(w.decode(),) for w in words], "unit string")
