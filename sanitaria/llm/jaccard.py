@@ -156,7 +156,9 @@ def _side(tokens: DataFrame, name: str) -> DataFrame:
     return tokens.select("token", *(F.col(c).alias(f"{c}_{name}") for c in tokens.columns if c != "token"))
 
 
-def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
+def jaccard_join(
+    docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text", all_links: bool = True
+) -> DataFrame:
     """``id, n_shingles, rep, links, component`` of every document, linked at ``percent`` or more.
 
     1. Documents with equal sets become one class; ``rep`` is its smallest id.
@@ -165,13 +167,13 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, key: str =
     3. In each list of the index every group is compared with one other, the one where the shingle
        stands first; within a group every member with the first one.  This takes pairs in
        proportion to the lists and finds most components, however many copies there are.
-    4. What is left to compare are pairs of groups that share a shingle and are not yet in
-       one component: these are filtered by size, place and parity bits, expanded to members of different
-       components, and verified.  Nothing is capped: every pair that could join two
-       components is tried.
+    4. What is left to compare are the other pairs of groups that share a shingle, and of members of one
+       group: these are filtered by size, place and parity bits, expanded to members, and verified.  Nothing is
+       capped: every pair that could be a link is tried.
 
-    Components are therefore exact.  Pairs within one component that were not needed to find it are
-    not tried, so ``links`` counts a class's links among those that were verified.
+    ``links`` therefore counts all other classes that a document's class is similar to.  Without ``all_links``
+    step 4 leaves out pairs that already lie in one component; components are the same then, and ``links`` is
+    not returned.
 
     Shingles are ``words`` words after A-Z became a-z; a shorter text is one shingle, and a text without
     words, empty or null has none and is linked with nothing.  The id is ``key``; rows with
@@ -223,7 +225,7 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, key: str =
     links = written(verified(tried, texts, words, percent), "jaccard-links")
     labels = connected_components(links)
 
-    # Where a list or a group still holds several components, its pairs across them are tried as well.
+    # Without all links, only lists and groups that still hold several components have pairs to try.
     named = labels.select(F.col("node").alias("rep"), "component")
     of_members = inside.join(named, "rep", "left").select(
         "group", "rep", F.coalesce("component", "rep").alias("component")
@@ -243,19 +245,22 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, key: str =
     )
     placed = written(placed, "jaccard-placed")
     mixed_lists = placed.groupBy("token").agg(F.min("low").alias("l"), F.max("high").alias("h")).filter("l <> h")
-    rest = placed.join(mixed_lists.select("token"), "token", "left_semi")
+    rest = placed if all_links else placed.join(mixed_lists.select("token"), "token", "left_semi")
     apart = ~((F.col("low_a") == F.col("high_a")) & (F.col("low_a") == F.col("low_b")) & (F.col("low_b") == F.col("high_b")))
     left, right = _side(rest, "a"), _side(rest, "b")
     # The bits of a group are its only member's; those of members of larger groups are looked at below.
     bits = (F.col("size_a") > 1) | (F.col("size_b") > 1) | _bits_allow(percent)
     ordered = F.col("group_a") < F.col("group_b")
-    across = left.join(right, (left["token"] == right["token"]) & ordered & apart & _may_link(percent) & bits)
+    open_lists = F.lit(True) if all_links else apart
+    across = left.join(right, (left["token"] == right["token"]) & ordered & open_lists & _may_link(percent) & bits)
+    open_groups = spans if all_links else spans.filter("low <> high")
     pairs = across.select("group_a", "group_b").unionByName(
-        spans.filter("low <> high").select(F.col("group").alias("group_a"), F.col("group").alias("group_b"))
+        open_groups.select(F.col("group").alias("group_a"), F.col("group").alias("group_b"))
     ).distinct()
     alone = single.select("group", F.col("group").alias("rep"), F.col("own").alias("component"))
     pairs = written(pairs, "jaccard-pairs")
-    open_pairs = _near(_expanded(pairs, of_members, alone).join(tried, ["a", "b"], "left_anti"), classes, percent)
+    expanded = _expanded(pairs, of_members, alone, across=not all_links)
+    open_pairs = _near(expanded.join(tried, ["a", "b"], "left_anti"), classes, percent)
     more = written(verified(open_pairs, texts, words, percent), "jaccard-more")
     if not more.isEmpty():
         links = links.unionByName(more)
@@ -268,9 +273,10 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, key: str =
         .join(degree, "rep", "left")
         .select(*same, "rep", F.coalesce("component", "rep").alias("component"), F.coalesce("links", F.lit(0)).alias("links"))
     )
+    counted = [F.coalesce("links", F.lit(0)).cast("long").alias("links")] if all_links else []
     return ids.join(per_class, same, "left").select(
         _id("id"), F.col("n").cast("long").alias("n_shingles"), _id(F.coalesce("rep", "id"), "rep"),
-        F.coalesce("links", F.lit(0)).cast("long").alias("links"), _id(F.coalesce("component", "id"), "component"),
+        *counted, _id(F.coalesce("component", "id"), "component"),
     )
 
 
@@ -279,8 +285,8 @@ def _id(value: Column | str, name: str = "id") -> Column:
     return F.when(column != NULL_ID, column).alias(name)
 
 
-def _expanded(pairs: DataFrame, members: DataFrame, singles: DataFrame) -> DataFrame:
-    """Pairs of groups to pairs of their members in different components; a group without others is its own member."""
+def _expanded(pairs: DataFrame, members: DataFrame, singles: DataFrame, across: bool) -> DataFrame:
+    """Pairs of groups to pairs of their members, ``across`` components only; a group without others is its own member."""
     named = members.select("group", "rep", F.col("component"))
     for side in ("a", "b"):
         own = named.select(F.col("group").alias(f"group_{side}"), F.col("rep").alias(f"r_{side}"), F.col("component").alias(f"c_{side}"))
@@ -289,7 +295,7 @@ def _expanded(pairs: DataFrame, members: DataFrame, singles: DataFrame) -> DataF
     for side in ("a", "b"):
         group = F.col(f"group_{side}")
         pairs = pairs.withColumn(f"c_{side}", F.coalesce(f"c_{side}", f"s_{side}", group)).withColumn(f"r_{side}", F.coalesce(f"r_{side}", group))
-    kept = pairs.filter((F.col("c_a") != F.col("c_b")) & (F.col("r_a") != F.col("r_b")))
+    kept = pairs.filter((F.col("c_a") != F.col("c_b")) if across else (F.col("r_a") != F.col("r_b")))
     return kept.select(F.least("r_a", "r_b").alias("a"), F.greatest("r_a", "r_b").alias("b")).distinct()
 
 
@@ -300,7 +306,8 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "
     of repeated rows one stays.  Texts without words are linked with nothing and all stay.
     """
     rows, row = with_row_ids(docs, "jaccard-rows")
-    found = jaccard_join(rows.select(row, "text"), words, percent, key=row).select(F.col("id").alias(row), "component")
+    found = jaccard_join(rows.select(row, "text"), words, percent, key=row, all_links=False)
+    found = found.select(F.col("id").alias(row), "component")
     keyed = rows.select(row, F.col(key).alias("key")).join(found, row)
     best = keyed.groupBy("component").agg(
         F.min(F.struct(F.col("key").isNull().alias("none"), "key", row)).alias("best"), F.count("*").alias("n")

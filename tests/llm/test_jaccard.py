@@ -74,6 +74,27 @@ def test_against_all_pairs(spark, words, percent):
     assert {r["id"]: r["n_shingles"] for r in got} == sizes
 
 
+def all_link_counts(rows, words, percent):
+    """For each id how many other distinct sets are similar to its own."""
+    sets = {k: frozenset(shingles(t, words)) for k, t in rows}
+    distinct = set(sets.values())
+    linked = {
+        x: sum(y != x and bool(x) and 100 * len(x & y) >= percent * len(x | y) for y in distinct) for x in distinct
+    }
+    return {k: linked[x] for k, x in sets.items()}
+
+
+def test_links_are_all_links(spark):
+    rows, words, percent = families(), 3, 80
+    expected = all_link_counts(rows, words, percent)
+    assert max(expected.values()) > 10
+    got = jaccard_join(documents(spark, rows), words, percent).collect()
+    assert {r["id"]: r["links"] for r in got} == expected
+    fewer = jaccard_join(documents(spark, rows), words, percent, all_links=False)
+    assert "links" not in fewer.columns
+    assert {r["id"]: r["component"] for r in fewer.collect()} == {r["id"]: r["component"] for r in got}
+
+
 def test_nulls_repeats_and_stage(spark):
     docs = documents(spark)
     got = jaccard_join(docs).collect()
