@@ -15,7 +15,7 @@ Turn = tuple[str, str]
 Template = Callable[[list[Turn]], str]
 
 START, END = "<|im_start|>", "<|im_end|>"
-#: Turns whose prefixes are rendered from one base; a longer conversation goes on from its last turn.
+#: Turns that stay as the base of the built-in template, which renders each turn by itself.
 WINDOW = 32
 #: Stands for a text when the place of the text in a turn is looked for; a private-use character.
 MARK = ""
@@ -50,21 +50,26 @@ def read_back(formatted: str) -> Iterator[Turn]:
         yield _role_out(role), unescape(text)
 
 
-def locate(turns: Iterator[Turn], template: Template, window: int = WINDOW) -> Iterator[tuple[str, str, int, int, bool]]:
+def locate(
+    turns: Iterator[Turn], template: Template, window: int | None = None
+) -> Iterator[tuple[str, str, int, int, bool]]:
     """For each turn: its role, what it adds to the output, where its text lies in that, and whether history changed.
 
     Successive prefixes are rendered and consecutive outputs compared.  What the longer one
     has beyond their common start is the turn's span; if the common start is shorter than
     the earlier output, the template has rewritten history.  A second rendering with a mark for
-    the text shows which part of the span the text is.  After ``window`` turns the
-    comparison goes on from the last turn alone, so a long conversation costs time in
-    proportion to its length; a template may look back that far.
+    the text shows which part of the span the text is.  Prefixes are whole, so the time
+    grows with the square of a conversation's length.  ``window`` says that what the template makes of a turn
+    depends on no more than so many turns before it, as is known of ``im_template``: prefixes then begin at least that
+    many turns back, and the time is in proportion to the length.
     """
+    if window is None and template is im_template:
+        window = WINDOW
     held: list[Turn] = []
     before = template([])
     for role, text in turns:
-        if len(held) >= window:
-            held = held[-1:]
+        if window is not None and len(held) >= 2 * window:
+            held = held[-window:]
             before = template(held)
         now = template([*held, (role, text)])
         kept = len(before) if now.startswith(before) else len(os.path.commonprefix([before, now]))
@@ -81,7 +86,7 @@ def format_conversations(
     turns: DataFrame,
     template: Template = im_template,
     loss_roles: tuple[str, ...] = ("assistant",),
-    window: int = WINDOW,
+    window: int | None = None,
     part_turns: int = 256,
 ) -> DataFrame:
     """Formatted conversations in parts of at most ``part_turns`` turns, with the spans under the loss mask.
@@ -95,7 +100,8 @@ def format_conversations(
     Turns are taken by turn (null first), then role and text; repeated rows are turns of their own.
     A null role or text counts as empty.  Null ``conv_id`` is a conversation.  An empty
     table gives no rows.  A task reads its conversations as a stream and holds one
-    part, so a conversation of any length needs bounded memory.
+    part, and the turns that ``template`` is given: with ``window`` (see ``locate``) or the built-in template
+    bounded memory for a conversation of any length, otherwise all turns of one conversation.
     """
 
     def flush(conv, part, n, texts, spans, rewrites) -> pd.DataFrame:

@@ -39,6 +39,29 @@ def test_a_template_that_rewrites_history_is_seen():
     assert [changed for *_, changed in locate(iter(turns), forgetful)] == [False, False, True, False]
 
 
+def test_whole_prefixes_beyond_any_window():
+    def numbered(turns):
+        return "".join(f"{turns[0][1]} {k} {role}: {text}\n" for k, (role, text) in enumerate(turns))
+
+    def last_five(turns):
+        return im_template([t if k >= len(turns) - 5 else (t[0], "...") for k, t in enumerate(turns)])
+
+    turns = [("assistant" if k % 2 else "user", f"said {k}") for k in range(100)]
+    found = list(locate(iter(turns), numbered))
+    assert "".join(added for _, added, *_ in found) == numbered(turns) and not any(changed for *_, changed in found)
+    assert [added[a:b] for _, added, a, b, _ in found[1:]] == [t for _, t in turns[1:]]
+    assert [changed for *_, changed in locate(iter(turns), last_five)] == [k >= 5 for k in range(100)]
+
+
+def test_a_window_keeps_that_many_turns():
+    def after_three(turns):
+        return "".join(f"{'|'.join(t for _, t in turns[max(0, k - 3) : k + 1])}\n" for k in range(len(turns)))
+
+    turns = [("user", f"said {k}") for k in range(40)]
+    added = [a for _, a, *_ in locate(iter(turns), after_three, 3)]
+    assert "".join(added) == after_three(turns)
+
+
 ROWS = [
     (1, 0, "user", "hi"), (1, 1, "assistant", "hello"), (1, 1, "assistant", "hello"), (2, None, None, None),
     (2, 3, "assistant", ""), (None, 0, "assistant", "lost"), (None, 1, "user", "x"), (3, 0, "sys\ntem", "\\n<|im_end|>\n"),
