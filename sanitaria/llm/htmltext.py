@@ -38,6 +38,8 @@ BESIDE = frozenset(
     "popup promo promoted promotion related reply replies respond search share sharing sidebar sidenav signup skip "
     "social sponsor sponsored subscribe tags teaser toolbar topbar widget widgets alert".split()
 )
+#: Words of a class that tell a state of the element and not what it is: has-sidebar, comments-open.
+STATES = frozenset("has with without no is are open opened closed enabled disabled on off".split())
 ARTICLE_WORDS = frozenset("articlebody article-body main".split())
 _SPACE = re.compile(r"\s+")
 _WORD = re.compile(r"[a-z]+")
@@ -46,12 +48,27 @@ _WORD = re.compile(r"[a-z]+")
 RADIUS, SIGMA = 4, 1.5
 
 
+#: How surely an element stands beside the article: its name has a word of BESIDE, or consists of such words.
+LOOSE, EXACT = 1, 2
+
+
+def beside(named: str) -> int:
+    """How surely an element with these names, in small letters, stands beside the article; 0 if not."""
+    level = 0
+    for name in named.split():
+        words = _WORD.findall(name)
+        if BESIDE.intersection(words) and not STATES.intersection(words):
+            level = max(level, EXACT if BESIDE.issuperset(words) else LOOSE)
+    return level
+
+
 @dataclass
 class Region:
-    """An element that may hold the article."""
+    """An element that may hold the article, or by its name stands beside it."""
 
     parent: int
     main: bool = False
+    beside: int = 0
 
 
 @dataclass
@@ -63,7 +80,7 @@ class Line:
 
 @dataclass
 class Page(HTMLParser):
-    """Lines of a page outside of what stands beside the article, with the regions they are in."""
+    """Lines of a page outside of dropped elements, with the regions they are in."""
 
     lines: list[Line] = field(default_factory=list)
     regions: list[Region] = field(default_factory=lambda: [Region(-1)])
@@ -97,13 +114,14 @@ class Page(HTMLParser):
             return
         named = " ".join(v for k, v in attrs if v and k in ("class", "id", "role", "itemprop")).lower()
         inside = any(t in ("article", "main") for t, _, _ in self._stack[:-1])
-        if tag in DROPPED or tag == "header" and not inside:
+        level = beside(named) if tag not in ("body", "html", "main") else 0
+        if tag == "article" and level == LOOSE:
+            level = 0
+        if tag in DROPPED or tag == "header" and not inside or level and tag not in BLOCK:
             self._dropped = True
-        elif named and tag not in ("body", "html", "main") and BESIDE.intersection(_WORD.findall(named)):
-            self._dropped = True
-        elif tag in ("article", "main", "section", "div", "table", "blockquote"):
+        elif level or tag in ("article", "main", "section", "div", "table", "blockquote"):
             main = tag in ("article", "main") or bool(ARTICLE_WORDS.intersection(named.split()))
-            self.regions.append(Region(self._region, main))
+            self.regions.append(Region(self._region, main, level))
             self._region = len(self.regions) - 1
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -156,16 +174,61 @@ def content_lines(lines: list[Line]) -> np.ndarray:
     return ratio >= min(cut, ratio.max())
 
 
+def _roots(regions: list[Region]) -> list[int]:
+    """For each region the outermost one around it that stands beside the article, or -1."""
+    found: list[int] = []
+    for at, region in enumerate(regions):
+        above = found[region.parent] if region.parent >= 0 else -1
+        found.append(above if above >= 0 else (at if region.beside else -1))
+    return found
+
+
+def _without_beside(page: Page) -> list[Line]:
+    """Lines outside of what by its name stands beside the article; their tags count for the line after them.
+
+    Where no article or main is left, a name does not count for an element that has more than half
+    of the text, if the name is loose or the element holds an article or main of its own.
+    """
+    regions = page.regions
+    in_article: list[bool] = []
+    for region in regions:
+        own = region.main and region.beside != EXACT
+        in_article.append(own or region.parent >= 0 and in_article[region.parent])
+    while True:
+        root = _roots(regions)
+        if any(in_article[line.region] and root[line.region] < 0 for line in page.lines):
+            break
+        size = np.zeros(len(regions), dtype=np.int64)
+        holds = np.zeros(len(regions), dtype=bool)
+        for line in page.lines:
+            if root[line.region] >= 0:
+                size[root[line.region]] += len(line.text)
+                holds[root[line.region]] |= in_article[line.region]
+        total = sum(len(line.text) for line in page.lines)
+        heavy = [at for at in np.flatnonzero(size * 2 > total).tolist() if holds[at] or regions[at].beside == LOOSE]
+        if not heavy:
+            break
+        regions[heavy[0]].beside = 0
+    kept, tags = [], 0
+    for line in page.lines:
+        tags += line.tags
+        if root[line.region] < 0:
+            kept.append(Line(line.region, line.text, tags))
+            tags = 0
+    return kept
+
+
 def main_text(html: str | None) -> str:
     """The article of a page: lines of the regions that the content clusters lie in, joined by empty lines.
 
-    The clusters choose regions, not lines: of the marked regions (article, main) those whose
-    content lines weigh at least half of the heaviest one's; without marks the innermost element
-    that holds nine tenths of the content.  All lines of a chosen region are kept, short ones as well.
+    The clusters choose regions, not lines: all marked regions (article, main); without marks the innermost element
+    that holds nine tenths of the content, and what stands directly in the elements around it, such as a
+    headline.  All lines of a chosen region are kept, short ones as well.
     """
     page = Page()
     page.feed(html or "")
     page.close()
+    page.lines = _without_beside(page)
     if not page.lines:
         return ""
     content = content_lines(page.lines)
@@ -179,22 +242,21 @@ def main_text(html: str | None) -> str:
         while at >= 0:
             weight[at] += len(line.text) * bool(is_content)
             at = page.regions[at].parent
-    marked = [at for at in range(len(page.regions)) if outer[at] == at and weight[at] > 0]
-    if not marked and any(outer[line.region] >= 0 for line in page.lines):
-        marked = sorted({int(outer[line.region]) for line in page.lines if outer[line.region] >= 0})
-    if marked:
-        heaviest = max(weight[at] for at in marked)
-        chosen = {at for at in marked if weight[at] * 2 >= heaviest}
-    else:
+    chosen = {int(outer[line.region]) for line in page.lines if outer[line.region] >= 0}
+    around: set[int] = set()
+    if not chosen:
         at = 0
         while True:
             inner = [k for k, r in enumerate(page.regions) if r.parent == at and weight[k] >= 0.9 * weight[0] > 0]
             if not inner:
                 break
+            around.add(at)
             at = inner[0]
         chosen = {at}
 
     def kept(at: int) -> bool:
+        if at in around:
+            return True
         while at >= 0:
             if at in chosen:
                 return True

@@ -32,6 +32,26 @@ def test_what_stands_beside_goes():
     assert main_text(page(f"{everything}<article>{ARTICLE}</article>{everything}").removesuffix("</body></html>")) == CLEAN
 
 
+def test_article_text_stays():
+    body = "<p>" + "long text " * 40 + "</p>"
+    text = ("long text " * 40).strip()
+    for outer in ("<div class=page>{}</div>", "<div><div class=page>{}</div></div>", "{}"):
+        got = main_text(page(outer.format(f"<h1>Head</h1><p>lead</p><div>{body}</div>")))
+        assert got == f"Head\n\nlead\n\n{text}"
+    assert main_text(page(f"<article>{body}</article><article><p>Short one.</p></article>")) == f"{text}\n\nShort one."
+    for opened in (
+        '<article class="post comments-open">', '<article class="post tag-social-media">', '<div class="has-sidebar"><article>',
+        '<div class="layout-sidebar"><article>', '<div class="sidebar"><article>', '<div class="sidebar-layout"><div>',
+        '<div class="layout with-comments"><div>', '<div class="page-header-layout"><section class="related-all"><article>',
+    ):
+        assert main_text(page(f"{opened}{body}")) == text, opened
+        assert main_text(page(f"{opened}{body}<div class=related-links><p>Read more</p></div>")) == text, opened
+    related = "<section class='related-posts'><article><p>Teaser</p></article></section>"
+    assert main_text(page(f"<article>{body}</article>{related}")) == text
+    assert main_text(page(f"<div>{body}</div>{related}")) == text
+    assert main_text(page(f"<article>{body}</article><div class=comments><article class=comment>{body}</article></div>")) == text
+
+
 def test_short_articles_and_odd_pages():
     assert main_text(page(f"{BESIDE['ad']}<article><p>Tiny.</p></article>{BESIDE['footer']}")) == "Tiny."
     assert main_text(page("<article></article>" + BESIDE["nav"])) == ""
