@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sanitaria.llm.alignment import Coders, align
 from sanitaria.llm.chat import digests, format_conversations
 from sanitaria.llm.common import table
 from sanitaria.llm.fingerprint import fingerprint_edits
@@ -16,9 +17,11 @@ from sanitaria.llm.jaccard import jaccard_join
 from sanitaria.llm.lm import train_and_score
 from sanitaria.llm.mixing import mix_sources
 from sanitaria.llm.pii import find_private
+from sanitaria.llm.prefixtrie import prefix_trie
 from sanitaria.llm.quality import quality, train
 from sanitaria.llm.sentencepiece import Vocabulary, encode
 from sanitaria.llm.sharding import shard_minimax
+from sanitaria.llm.topk import top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,6 +100,25 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(format_conversations(turns))
 
 
+#: Byte-level vocabulary of the alignment; its other side is ``MODEL``.
+BYTE_MODEL = os.environ.get("BYTE_BPE_MODEL", "/opt/tokenizers/byte_bpe_50k.json")
+
+
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of both vocabularies over all documents, linked where they end together."""
+    return align(table(spark, sf_dir, "documents"), Coders.load(BYTE_MODEL, MODEL)).documents
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of all rebuilt conversations."""
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty best candidates of every twentieth vector, over all vectors."""
+    return top_k(table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
 OP10_SQL = rf"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -128,6 +150,45 @@ reached AS (
 SELECT reached.doc_id, coalesce(any_value(sizes.n), 0) AS n_shingles, min(root) AS component_id
 FROM reached LEFT JOIN sizes ON sizes.doc_id = reached.doc_id GROUP BY reached.doc_id"""
 
+OP12_SQL = r"""
+WITH own AS (
+  SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+    ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+hashed AS (
+  SELECT conv_id, turns, xor(4294967295, list_reduce(
+    list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+    lambda crc, byte: list_reduce(range(8), lambda c, i: xor(c >> 1, 3988292384 * (c & 1)), xor(crc, byte)),
+    CAST(4294967295 AS BIGINT))) % 4 AS h FROM own),
+rebuilt AS (
+  SELECT a.conv_id, list_concat(coalesce(b.turns[1:a.h], []), a.turns[a.h + 1:]) AS turns
+  FROM hashed a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 20),
+begun AS (SELECT conv_id, d, turns[1:d] AS p, len(turns) = d AS ended FROM rebuilt, unnest(range(0, len(turns) + 1)) AS t(d)),
+nodes AS (
+  SELECT p, any_value(d) AS d, min(conv_id) AS conv_id, count(*) AS n_convs,
+    coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ended), '') AS ends FROM begun GROUP BY p),
+kids AS (SELECT p[1:d - 1] AS p, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1),
+valued AS (
+  SELECT nodes.*, coalesce(kids.n, 0) AS n_children, CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1)
+    * len(list_filter(string_split_regex(nodes.p[d].text, '[\x20\x09-\x0D]+'), lambda w: w <> '')) END AS saved
+  FROM nodes LEFT JOIN kids ON kids.p = nodes.p),
+sums AS (
+  SELECT p[1:above] AS p, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved
+  FROM valued, unnest(range(0, d + 1)) AS t(above) GROUP BY 1)
+SELECT v.conv_id, v.d AS depth, up.conv_id AS parent_conv_id, v.n_convs, v.n_children, sums.n_leaves,
+  CAST(sums.saved AS BIGINT) AS saved_tokens, sha256(v.ends) AS ends_sha256
+FROM valued v JOIN sums ON sums.p = v.p LEFT JOIN nodes up ON v.d > 0 AND up.p = v.p[1:v.d - 1]"""
+
+OP13_SQL = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored)
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 20"""
+
 QUERIES: dict[str, Query] = {
     "op1_minimax_shards": op1_minimax_shards,
     "op2_private_data": op2_private_data,
@@ -139,5 +200,10 @@ QUERIES: dict[str, Query] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_fingerprints": op9_fingerprints,
     "op10_chat_format": op10_chat_format,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_top_k": op13_top_k,
 }
-CHECKS: dict[str, str] = {"op7_jaccard_join": OP7_SQL, "op10_chat_format": OP10_SQL}
+CHECKS: dict[str, str] = {
+    "op7_jaccard_join": OP7_SQL, "op10_chat_format": OP10_SQL, "op12_prefix_trie": OP12_SQL, "op13_top_k": OP13_SQL,
+}
