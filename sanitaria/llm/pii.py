@@ -38,7 +38,7 @@ def base_spans(text: str) -> list[Span]:
         return spans
     if "." in text:
         for m in IP.finditer(text):
-            if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in m[0].split(".")):
+            if all(len(part) <= 3 and int(part or 0) <= 255 for part in (p.lstrip("0") for p in m[0].split("."))):
                 spans.append(("ip", *m.span()))
     for m in CARD.finditer(text):
         digits = m[0].replace(" ", "").replace("-", "")
