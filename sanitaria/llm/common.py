@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sanitaria.session import scratch_dir
+from sanitaria.session import remove_folder, scratch_dir
 
 #: Entries of a task's partial word counts before they are sent on.
 FLUSH_WORDS = 200_000
@@ -27,6 +27,36 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables that one operator writes and reads again, deleted as soon as nothing reads them any more.
+
+    ``drop`` deletes some of them, the end of a ``with`` block all that are left.  Whoever returns a DataFrame that
+    still reads one leaves that table to its caller's ``Scratch``, or lets it stay.
+    """
+
+    def __init__(self) -> None:
+        self._held: list[tuple[DataFrame, str]] = []
+
+    def written(self, df: DataFrame, purpose: str) -> DataFrame:
+        path = scratch_dir(df.sparkSession, purpose)
+        df.write.parquet(path)
+        table = df.sparkSession.read.schema(df.schema).parquet(path)
+        self._held.append((table, path))
+        return table
+
+    def drop(self, *tables: DataFrame) -> None:
+        for table, path in self._held:
+            if any(table is t for t in tables):
+                remove_folder(table.sparkSession, path)
+        self._held = [(t, path) for t, path in self._held if not any(t is x for x in tables)]
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.drop(*(t for t, _ in self._held))
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, or one like it that no column of ``df`` has."""
     while name.lower() in {c.lower() for c in df.columns}:
@@ -34,15 +64,6 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def with_row_ids(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
-    """A written copy of ``df`` with a number for each row, and the name of that column, which is none of the others'.
-
-    The numbers are stored, so that two readings of the copy agree on them, and rows that are equal in all else differ.
-    """
-    name = free_name(df, "row_id")
-    return written(df.withColumn(name, F.monotonically_increasing_id()), purpose), name
-
-
 def words_of(text: str | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` as UTF-8: ``bytes.split`` splits at exactly these six bytes."""
     return (text or "").encode("utf-8", "surrogatepass").split()

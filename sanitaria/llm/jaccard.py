@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sanitaria.llm.bytewords import ByteWords, chunks, encoded, mixed
-from sanitaria.llm.common import head_words, lower_words_of, with_row_ids, word_counts, written
+from sanitaria.llm.common import Scratch, free_name, head_words, lower_words_of, word_counts
 from sanitaria.llm.components import connected_components
 
 #: Words whose counts order the shingles; all rarer words count as equally rare.
@@ -157,8 +157,9 @@ def _side(tokens: DataFrame, name: str) -> DataFrame:
 
 
 def jaccard_join(
-    docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text", all_links: bool = True
-) -> DataFrame:
+    docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text", all_links: bool = True,
+    scratch: Scratch | None = None,
+) -> DataFrame:
     """``id, n_shingles, rep, links, component`` of every document, linked at ``percent`` or more.
 
     1. Documents with equal sets become one class; ``rep`` is its smallest id.
@@ -171,20 +172,25 @@ def jaccard_join(
        group: these are filtered by size, place and parity bits, expanded to members, and verified.  Nothing is
        capped: every pair that could be a link is tried.
 
-    ``links`` therefore counts all other classes that a document's class is similar to.  Without ``all_links``
+    ``links`` therefore counts all other classes that a document's class is similar to, which takes work and rows in
+    proportion to these links: with the square of a family of near copies.  Without ``all_links``
     step 4 leaves out pairs that already lie in one component; components are the same then, and ``links`` is
-    not returned.
+    not returned.  ``scratch`` holds the tables that the result still reads; all others are deleted on the way.
 
     Shingles are ``words`` words after A-Z became a-z; a shorter text is one shingle, and a text without
     words, empty or null has none and is linked with nothing.  The id is ``key``; rows with
     one id are one document with several texts.  A null id is kept as one.  Other columns are ignored, an
     empty table gives no rows.
     """
+    scratch = scratch or Scratch()
+    written = scratch.written
     rows = docs.select(
         F.coalesce(F.col(key).cast("long"), F.lit(NULL_ID)).alias("id"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     )
-    head = head_words(written(word_counts(rows), "jaccard-words"), HEAD)
+    counted = written(word_counts(rows), "jaccard-words")
+    head = head_words(counted, HEAD)
+    scratch.drop(counted)
     hashes = ByteWords([bytes(w) for w in head["word"]]).hash if len(head) else np.zeros(0, np.uint64)
     order = np.argsort(hashes)
     ranked = hashes[order], head["n"].to_numpy(dtype=np.int64)[order]
@@ -223,7 +229,7 @@ def jaccard_join(
     few = asked.count() <= BROADCAST_IDS
     texts = written(rows.join(F.broadcast(asked) if few else asked, "id", "left_semi"), "jaccard-texts")
     links = written(verified(tried, texts, words, percent), "jaccard-links")
-    labels = connected_components(links)
+    labels = connected_components(links, scratch=scratch)
 
     # Without all links, only lists and groups that still hold several components have pairs to try.
     named = labels.select(F.col("node").alias("rep"), "component")
@@ -244,6 +250,7 @@ def jaccard_join(
         )
     )
     placed = written(placed, "jaccard-placed")
+    scratch.drop(listed, asked)
     mixed_lists = placed.groupBy("token").agg(F.min("low").alias("l"), F.max("high").alias("h")).filter("l <> h")
     rest = placed if all_links else placed.join(mixed_lists.select("token"), "token", "left_semi")
     apart = ~((F.col("low_a") == F.col("high_a")) & (F.col("low_a") == F.col("low_b")) & (F.col("low_b") == F.col("high_b")))
@@ -262,9 +269,10 @@ def jaccard_join(
     expanded = _expanded(pairs, of_members, alone, across=not all_links)
     open_pairs = _near(expanded.join(tried, ["a", "b"], "left_anti"), classes, percent)
     more = written(verified(open_pairs, texts, words, percent), "jaccard-more")
+    scratch.drop(tried, texts, placed, pairs, inside, grouped)
     if not more.isEmpty():
         links = links.unionByName(more)
-        labels = connected_components(links)
+        labels = connected_components(links, scratch=scratch)
     degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("links"))
     ids = sets.select("id", "n", "sig", "sig2")
     reps = classes.select(*same, "rep")
@@ -273,10 +281,10 @@ def jaccard_join(
         .join(degree, "rep", "left")
         .select(*same, "rep", F.coalesce("component", "rep").alias("component"), F.coalesce("links", F.lit(0)).alias("links"))
     )
-    counted = [F.coalesce("links", F.lit(0)).cast("long").alias("links")] if all_links else []
+    degrees = [F.coalesce("links", F.lit(0)).cast("long").alias("links")] if all_links else []
     return ids.join(per_class, same, "left").select(
         _id("id"), F.col("n").cast("long").alias("n_shingles"), _id(F.coalesce("rep", "id"), "rep"),
-        *counted, _id(F.coalesce("component", "id"), "component"),
+        *degrees, _id(F.coalesce("component", "id"), "component"),
     )
 
 
@@ -305,14 +313,17 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "
     Rows are told apart by where they stand, so rows with a null or a repeated key are rows of their own, and
     of repeated rows one stays.  Texts without words are linked with nothing and all stay.
     """
-    rows, row = with_row_ids(docs, "jaccard-rows")
-    found = jaccard_join(rows.select(row, "text"), words, percent, key=row, all_links=False)
-    found = found.select(F.col("id").alias(row), "component")
-    keyed = rows.select(row, F.col(key).alias("key")).join(found, row)
-    best = keyed.groupBy("component").agg(
-        F.min(F.struct(F.col("key").isNull().alias("none"), "key", row)).alias("best"), F.count("*").alias("n")
-    )
-    many = best.filter("n > 1").select("component", F.col(f"best.{row}").alias("stays"))
-    gone = written(keyed.join(many, "component").filter(F.col(row) != F.col("stays")).select(row), "jaccard-gone")
+    scratch, row = Scratch(), free_name(docs, "row_id")
+    rows = scratch.written(docs.withColumn(row, F.monotonically_increasing_id()), "jaccard-rows")
+    with Scratch() as inner:
+        found = jaccard_join(rows.select(row, "text"), words, percent, key=row, all_links=False, scratch=inner)
+        found = found.select(F.col("id").alias(row), "component")
+        keyed = inner.written(rows.select(row, F.col(key).alias("key")).join(found, row), "jaccard-keyed")
+        best = keyed.groupBy("component").agg(
+            F.min(F.struct(F.col("key").isNull().alias("none"), "key", row)).alias("best"), F.count("*").alias("n")
+        )
+        many = best.filter("n > 1").select("component", F.col(f"best.{row}").alias("stays"))
+        gone = keyed.join(many, "component").filter(F.col(row) != F.col("stays")).select(row)
+        gone = scratch.written(gone, "jaccard-gone")
     few = gone.count() <= BROADCAST_IDS
     return rows.join(F.broadcast(gone) if few else gone, row, "left_anti").select(*docs.columns)

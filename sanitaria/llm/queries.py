@@ -66,7 +66,7 @@ def op6_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents that share nine tenths of their 3-word shingles."""
-    joined = jaccard_join(table(spark, sf_dir, "documents"), words=3, percent=90)
+    joined = jaccard_join(table(spark, sf_dir, "documents"), words=3, percent=90, all_links=False)
     return joined.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
 
 
