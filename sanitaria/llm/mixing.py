@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sanitaria.llm.common import free_name, with_row_ids, written
+from sanitaria.llm.common import Scratch, free_name
 
 #: Documents of one flight. What a flight leaves open (two at most) goes up to the next level.
 BLOCK = 4_096
@@ -21,6 +21,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Units that the last flight leaves to the landing.
 LANDING = 12
 _EPS = 1e-9
+#: Rows of the plan that are sent to every executor at most; a longer plan is joined.
+BROADCAST_ROWS = 1_000_000
 
 
 def fly(probability: Sequence[float], size: Sequence[float], draw: random.Random) -> list[float]:
@@ -128,6 +130,7 @@ def mix_sources(
     key: str = "doc_id",
     text: str = "text",
     source: str = "source",
+    scratch: Scratch | None = None,
 ) -> DataFrame:
     """How often the mix takes each document, with source totals near their targets.
 
@@ -141,24 +144,36 @@ def mix_sources(
     row; other columns are ignored.  ``size`` is the number of words, 0 for a null or empty text.
     Null sources are a source of their own, the last; a source of size 0 has target 0.
     Repeated rows are taken each on its own.  Choices depend on keys, sizes and the
-    seed, not on the order or partitioning of the input, save between rows equal in all of them.
+    seed, not on the order or partitioning of the input, save between rows equal in all of them: those, and rows
+    without a key, are numbered, so that however many there are they fly in many blocks.
     """
+    scratch = scratch or Scratch()
+    written = scratch.written
     sized = written(
         docs.select(
             F.col(key).alias("key"),
             F.col(source).cast("string").alias("source"),
             F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+            F.monotonically_increasing_id().alias("row"),
         ),
         "mix-sizes",
     )
+    # Keys that many rows of one size share (or lack) would hash into one block: their rows are told apart by number.
+    often = sized.groupBy("key", "size").agg(F.count("*").alias("n")).filter(F.col("n") > max(block // 8, 64))
+    often = written(often.select(F.col("key").alias("k"), F.col("size").alias("s"), F.lit(True).alias("often")), "mix-often")
+    if not often.isEmpty():
+        sized = sized.join(often, sized["key"].eqNullSafe(often["k"]) & (sized["size"] == often["s"]), "left")
+        sized = sized.select("key", "source", "size", F.when(F.col("often"), F.col("row")).alias("row"))
+    else:
+        sized = sized.withColumn("row", F.lit(None).cast("long"))
     targets = written(source_targets(sized, weights, share, most), "mix-targets")
     largest = targets.agg(F.max("n_docs")).first()[0] or 0
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     rows = (
         sized.join(targets, sized["source"].eqNullSafe(targets["source"]))
-        .select("key", targets["source"], "size", "source_size", "n_docs", "target", ratio.alias("ratio"))
+        .select("key", "row", targets["source"], "size", "source_size", "n_docs", "target", ratio.alias("ratio"))
         .select(
-            "key", "source", "size", "source_size", "n_docs", "target",
+            "key", "row", "source", "size", "source_size", "n_docs", "target",
             F.floor("ratio").cast("int").alias("whole"),
             (F.col("ratio") - F.floor("ratio")).alias("p"),
         )
@@ -166,7 +181,7 @@ def mix_sources(
     settled, level, blocks = [], 0, -(-largest // block)
     while True:
         count = F.ceil(F.col("n_docs") / F.lit(block * (block // 2) ** level)).cast("long")
-        dealt = rows.withColumn("block", F.pmod(F.xxhash64("key", "size", F.lit(seed)), count))
+        dealt = rows.withColumn("block", F.pmod(F.xxhash64("key", "size", "row", F.lit(seed)), count))
         flown = dealt.groupBy("source", "block").applyInPandas(_flight(level, blocks <= 1, seed), dealt.schema)
         done = written(flown.drop("block"), f"mix-level-{level}")
         if blocks <= 1:
@@ -183,9 +198,18 @@ def mix_sources(
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` as ``mix_sources`` takes them: rows that it takes twice stand there twice, others not at all."""
-    rows, row = with_row_ids(docs, "mix-rows")
-    plan = mix_sources(rows.select(row, "text", "source"), key=row, **options)
+    """``docs`` as ``mix_sources`` takes them: rows that it takes twice stand there twice, others not at all.
+
+    Null texts have no words and null sources are a source; rows with a null or a repeated ``doc_id`` are rows of their
+    own, by their place; all columns come back as they are; an empty table gives an empty one.  The plan (two numbers a
+    row) meets the texts by broadcast while it has at most ``BROADCAST_ROWS`` rows, and by a join beyond that.
+    """
+    scratch, row = Scratch(), free_name(docs, "row_id")
+    rows = scratch.written(docs.withColumn(row, F.monotonically_increasing_id()), "mix-rows")
     times = free_name(rows, "times")
-    taken = plan.filter("copies > 0").select(row, F.sequence(F.lit(1), "copies").alias(times))
-    return rows.join(taken, row).withColumn(times, F.explode(times)).select(*docs.columns)
+    with Scratch() as inner:
+        plan = mix_sources(rows.select(row, "text", "source"), key=row, scratch=inner, **options)
+        taken = scratch.written(plan.filter("copies > 0").select(row, F.col("copies").alias(times)), "mix-plan")
+    few = taken.count() <= BROADCAST_ROWS
+    each = rows.join(F.broadcast(taken) if few else taken, row)
+    return each.withColumn(times, F.explode(F.sequence(F.lit(1), times))).select(*docs.columns)

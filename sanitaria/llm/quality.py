@@ -207,7 +207,10 @@ def quality(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Data
 
 
 def good_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that ``quality`` keeps, with their columns as they are."""
+    """The rows of ``docs`` that ``quality`` keeps, with their columns as they are.
+
+    A null or empty text has no words and goes; repeated rows are judged each; an empty table stays empty.
+    """
     at = docs.columns.index("text")
 
     def judge(batches):

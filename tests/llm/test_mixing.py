@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from sanitaria.llm.mixing import fly, fly_and_land, land, mix_sources, mixed_documents
 from tests.llm.data import documents, texts
@@ -94,3 +95,9 @@ def test_mixed_rows_repeat(spark):
 def test_empty_table(spark):
     assert mix_sources(documents(spark, [])).count() == 0
     assert mixed_documents(documents(spark, [])).count() == 0
+
+
+def test_one_key_for_all_rows_flies_in_blocks(spark):
+    rows = [(None if k % 2 else 5, "one two three") for k in range(3_000)]
+    plan = mix_sources(documents(spark, rows).withColumn("source", F.lit("s")), block=256).collect()
+    assert len(plan) == 3_000 and sum(r["taken"] for r in plan) == 13_500
