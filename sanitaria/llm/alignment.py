@@ -20,9 +20,9 @@ from sanitaria.llm.bytewords import chunks, encoded
 from sanitaria.llm.common import written
 
 #: Bytes of text whose id pairs are counted together; one longer text is a chunk of its own.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 #: Bytes of text that are tokenized and joined at once.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 
 def _byte_letters() -> dict[str, int]:
@@ -77,14 +77,15 @@ def _loaded(coders: Coders) -> _Loaded:
 
 @dataclass
 class Aligned:
-    """Of some texts: tokens of each, links of each, the ids of all links in order, and each text's groups as text."""
+    """Of some texts: tokens of each, links of each, the ids of all links in order, and each text's groups, as a hash and as text."""
 
     n_a: np.ndarray
     n_b: np.ndarray
     n_links: np.ndarray
     link_a: np.ndarray
     link_b: np.ndarray
-    groups: list[bytes]
+    sha: list[str]
+    groups: list[str | None]
 
 
 def _int32(lists: Sequence[Sequence[int]]) -> pa.ListArray:
@@ -120,7 +121,7 @@ class _Side:
         return table.append_column(f"at_{name}", pa.array(np.arange(table.num_rows)))
 
 
-def align_texts(texts: Sequence[bytes], coders: Coders) -> Aligned:
+def align_texts(texts: Sequence[bytes], coders: Coders, print_groups: bool = False) -> Aligned:
     """Tokens of both tokenizers cut into groups at the bytes where both end, for texts that both give back byte for byte."""
     own = _loaded(coders)
     n = len(texts)
@@ -151,7 +152,9 @@ def align_texts(texts: Sequence[bytes], coders: Coders) -> Aligned:
     n_a, n_b = np.bincount(a["doc"].to_numpy(), minlength=n), np.bincount(b["doc"].to_numpy(), minlength=n)
     edge = np.frombuffer(printed.buffers()[1], np.int32)[_sums(n_a + n_b)] if len(printed) else np.zeros(n + 1, np.int64)
     groups = [line[x + 1 : y] for x, y in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
-    return Aligned(n_a, n_b, np.bincount(doc, minlength=n), joined["a"].to_numpy(), joined["b"].to_numpy(), groups)
+    sha = [hashlib.sha256(g).hexdigest() if g else "" for g in groups]
+    said = [g.decode() if print_groups else None for g in groups]
+    return Aligned(n_a, n_b, np.bincount(doc, minlength=n), joined["a"].to_numpy(), joined["b"].to_numpy(), sha, said)
 
 
 @dataclass(frozen=True)
@@ -199,14 +202,13 @@ def align(
             pairs = found["pair"].combine_chunks()
             number = pc.index_in(pa.array(links), value_set=pairs).cast(pa.int32())
             edges = _sums(np.concatenate([x.n_links for _, x in held])).astype(np.int32)
-            lines = [g for _, x in held for g in x.groups]
-            n = len(lines)
+            sha = [s for _, x in held for s in x.sha]
+            n = len(sha)
             keys = pa.concat_arrays([k for k, _ in held])
             columns = [
                 pa.array(np.full(n, chunk)), keys, pa.array(np.concatenate([x.n_a for _, x in held])),
                 pa.array(np.concatenate([x.n_b for _, x in held])),
-                pa.array([hashlib.sha256(g).hexdigest() if g else "" for g in lines]),
-                pa.array([g.decode() if groups else None for g in lines], pa.string()),
+                pa.array(sha, pa.string()), pa.array([g for _, x in held for g in x.groups], pa.string()),
                 pa.ListArray.from_arrays(edges, number), pa.nulls(n, pa.list_(pa.int64())), pa.nulls(n, pa.list_(pa.int64())),
             ]
             schema = out.set(1, pa.field("key", keys.type))
@@ -220,7 +222,7 @@ def align(
         for batch in batches:
             texts = [encoded(t) for t in batch.column(1).to_pylist()]
             for x, y in chunks(texts, SLICE_BYTES):
-                held.append((batch.column(0).slice(x, y - x), align_texts(texts[x:y], coders)))
+                held.append((batch.column(0).slice(x, y - x), align_texts(texts[x:y], coders, groups)))
                 size += sum(map(len, texts[x:y]))
                 if size >= chunk_bytes:
                     yield from flush()
