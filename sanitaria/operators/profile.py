@@ -8,13 +8,15 @@ from pyspark.sql import types as T
 
 from sanitaria.functions import columns as C
 from sanitaria.operators.enrich import MUNICIPALITY_COLUMNS
+from sanitaria.sources.footers import column_facts
+from sanitaria.sources.store import data_files, scan_store, store_layout
 from sanitaria.systems import System, get_system
 
 STATS_VERSION = 3
 STATS_SCHEMA = "column string, row_count bigint, null_pct double, fill_pct double, distinct_count bigint"
 
 
-def _is_empty(name: str, kind: T.DataType) -> Column:
+def is_empty(name: str, kind: T.DataType) -> Column:
     c = C.quoted(name)
     return c.isNull() | (F.size(c) == 0) if isinstance(kind, T.ArrayType) else c.isNull()
 
@@ -23,7 +25,7 @@ def _is_empty(name: str, kind: T.DataType) -> Column:
 MERGE_GROUPS = 64
 
 
-def _distinct_sketch(name: str) -> Column:
+def distinct_sketch(name: str) -> Column:
     """A small binary sketch of the distinct values, about 1.6 % off.
 
     Values of any type enter by their hash, since a sketch takes whole numbers.
@@ -47,12 +49,12 @@ def column_stats(df: DataFrame, exact: bool = False) -> DataFrame:
     """
     first, last = [F.count(F.lit(1)).alias("n")], [F.sum("n").alias("n")]
     for i, f in enumerate(df.schema.fields):
-        first.append(F.count_if(_is_empty(f.name, f.dataType)).alias(f"e{i}"))
+        first.append(F.count_if(is_empty(f.name, f.dataType)).alias(f"e{i}"))
         last.append(F.sum(f"e{i}").alias(f"e{i}"))
         if exact:
             first.append(F.countDistinct(C.quoted(f.name)).alias(f"d{i}"))
         else:
-            first.append(_distinct_sketch(f.name).alias(f"d{i}"))
+            first.append(distinct_sketch(f.name).alias(f"d{i}"))
             last.append(F.hll_sketch_estimate(F.hll_union_agg(f"d{i}")).alias(f"d{i}"))
     entries = [
         F.struct(
@@ -74,6 +76,54 @@ def column_stats(df: DataFrame, exact: bool = False) -> DataFrame:
     )
 
 
+FOOTER_SCHEMA = "column string, row_count bigint, null_pct double, fill_pct double, min string, max string, scanned boolean"
+
+
+def _bound(fact, side: str, kind: T.DataType) -> str | None:
+    whole, real, text = (fact[f"{side}_{k}"] for k in ("int", "real", "text"))
+    if isinstance(kind, T.BooleanType):
+        return None if whole is None else str(bool(whole)).lower()
+    return next((str(v) for v in (whole, real, text) if v is not None), None)
+
+
+def footer_stats(spark: SparkSession, root: str, system: str | System) -> DataFrame:
+    """Fill, bounds and row count of every column of a store, from the footers of its files: no row is read.
+
+    Two kinds of columns are scanned after all, and only they (``scanned``): arrays some of whose elements or lists
+    are missing, because a footer counts missing elements and empty lists alike and an empty list counts as null here;
+    and columns of files written without statistics.  A column that a file lacks is null in all rows of that file.
+    Bounds are those of the footers: texts and dates as text, none for arrays and for columns without any value.
+    An empty or absent store has no rows in the result.
+    """
+    spec = get_system(system)
+    layout = store_layout(spark, root, spec)
+    if layout is None:
+        return spark.createDataFrame([], FOOTER_SCHEMA)
+    partitions = ["uf"] if layout == "state" else ["uf", "source_file"]
+    facts = {f["column"]: f for f in column_facts(data_files(spark, root, spec), partitions)}
+    total, empty, unclear = facts[None]["rows"] or 0, {}, []
+    for f in spec.schema.fields:
+        fact = facts.get(f.name)
+        if fact is None:
+            empty[f.name] = total
+        elif fact["nulls"] is None or (fact["repeated"] and fact["nulls"]):
+            unclear.append(f)
+        else:
+            empty[f.name] = fact["nulls"] + total - fact["rows"]
+    if unclear:
+        rows = scan_store(spark, root, spec, filename=False)
+        empty |= rows.agg(*(F.count_if(is_empty(f.name, f.dataType)).alias(f.name) for f in unclear)).first().asDict()
+    if not total:
+        return spark.createDataFrame([], FOOTER_SCHEMA)
+    entries = []
+    for f in spec.schema.fields:
+        fact, missing = facts.get(f.name), round(empty[f.name] * 100.0 / total, 2)
+        known = fact is not None and fact["bounded"] and not fact["repeated"]
+        bounds = [_bound(fact, side, f.dataType) if known else None for side in ("low", "high")]
+        entries.append((f.name, total, missing, round(100 - missing, 2), *bounds, f in unclear))
+    return spark.createDataFrame(entries, FOOTER_SCHEMA)
+
+
 def filename_stats(df: DataFrame, filename: str = "filename") -> DataFrame:
     """Statistics of the virtual file column: always filled, one value per data file.
 
@@ -128,7 +178,7 @@ def summarize(df: DataFrame, quantiles: bool = True) -> DataFrame:
     for i, f in enumerate(df.schema.fields):
         c, number = C.quoted(f.name), isinstance(f.dataType, T.NumericType)
         nested = isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))
-        first += [F.count(c).alias(f"count{i}"), _distinct_sketch(f.name).alias(f"unique{i}")]
+        first += [F.count(c).alias(f"count{i}"), distinct_sketch(f.name).alias(f"unique{i}")]
         last += [
             F.coalesce(F.sum(f"count{i}"), F.lit(0)).alias(f"count{i}"),
             F.hll_sketch_estimate(F.hll_union_agg(f"unique{i}")).alias(f"unique{i}"),

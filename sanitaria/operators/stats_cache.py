@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sanitaria.operators.profile import STATS_VERSION, column_stats
-from sanitaria.sources.store import data_files, read_or_none, scan_store
+from sanitaria.operators.profile import STATS_VERSION
+from sanitaria.operators.sketches import merged_stats, refresh_sketches
+from sanitaria.sources.store import data_files, read_or_none
 from sanitaria.systems import System, get_system
 
 
@@ -39,15 +40,15 @@ def fresh_stats(spark: SparkSession, root: str, system: str | System) -> DataFra
 
 
 def cached_stats(spark: SparkSession, root: str, system: str | System) -> DataFrame:
-    """Saved statistics when fresh, else computed over the store and saved."""
+    """Saved statistics when fresh, else merged from the sketches of the store's files, of which only new ones are read, and saved."""
     spec = get_system(system)
     fresh = fresh_stats(spark, root, spec)
     if fresh is not None:
         return fresh
     files, newest = _state(spark, root, spec)
-    stats = column_stats(scan_store(spark, root, spec, filename=False))
-    stats.select(
-        "*",
+    refresh_sketches(spark, root, spec)
+    merged_stats(spark, root, spec).select(
+        "column", "row_count", "null_pct", "fill_pct", "distinct_count",
         F.lit(spec.name).alias("system"),
         F.lit(STATS_VERSION).alias("version"),
         F.lit(files).cast("bigint").alias("files"),
