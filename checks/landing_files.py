@@ -18,6 +18,14 @@ def _csv_bytes(rows) -> bytes:
     return rows.to_csv(sep=";", index=False).encode()
 
 
+def _ragged_bytes(rows) -> bytes:
+    """Delimited text in which some lines, told by the last digit of ``idade``, do not fit the header or are no UTF-8."""
+    head, *lines = rows.to_csv(sep=";", index=False).encode().splitlines()
+    unfit = {"3": lambda x: x + b";MORE", "7": lambda x: x.split(b";")[0], "9": lambda x: b"\xff" + x}
+    marked = [unfit.get(str(mark)[-1:], bytes)(line) for line, mark in zip(lines, rows["idade"], strict=True)]
+    return b"\n".join([head, *marked, b""])
+
+
 def _dbf_bytes(rows) -> bytes:
     """Header, one text field per column, fixed-length records, end mark."""
     columns = list(rows.columns)
@@ -30,8 +38,11 @@ def _dbf_bytes(rows) -> bytes:
 
 
 def write_named_files(df: DataFrame, folder: str, kind: str) -> str:
-    """One ``<stem>.<kind>`` per source file and task below ``folder``; gives the folder."""
-    encode = {"csv": _csv_bytes, "dbf": _dbf_bytes}[kind]
+    """One ``<stem>.<kind>`` per source file and task below ``folder``; gives the folder.
+
+    ``ragged`` writes ``csv`` files with lines that are no rows.
+    """
+    encode, kind = {"csv": (_csv_bytes, "csv"), "dbf": (_dbf_bytes, "dbf"), "ragged": (_ragged_bytes, "csv")}[kind]
 
     def write(batches):
         import pandas as pd

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sanitaria.functions import columns as C
 from sanitaria.sources.store import PIECE
@@ -56,21 +59,124 @@ def _first_line(spark: SparkSession, path: str, encoding: str) -> str:
         stream.close()
 
 
-def by_header(spark: SparkSession, files: Sequence[str], encoding: str = "UTF-8") -> list[list[str]]:
+def by_header(
+    spark: SparkSession, files: Sequence[str], encoding: str = "UTF-8", failed: list[tuple[str, str]] | None = None
+) -> list[list[str]]:
     """Files grouped by their first line; the lines are fetched by the driver, several at a time.
 
     A folder as Spark writes it has one header, and a load has hundreds of files: this is the same kind of
-    work as listing them.  Files without a line have no rows either and are left out.
+    work as listing them.  Files without a line have no rows either and are left out.  With ``failed``, a file that
+    cannot be opened is noted there with the reason, and so is one without a header; otherwise the first raises.
     """
+
+    def first(path: str) -> str | tuple[str, str]:
+        try:
+            return _first_line(spark, path, encoding)
+        except Py4JJavaError as error:
+            if failed is None:
+                raise
+            return path, str(error.java_exception)
+
     with ThreadPoolExecutor(16) as pool:
-        lines = list(pool.map(lambda path: _first_line(spark, path, encoding), files))
+        lines = list(pool.map(first, files))
     groups: dict[str, list[str]] = {}
     for path, line in zip(files, lines, strict=True):
-        if line.strip():
+        if isinstance(line, tuple):
+            failed.append(line)
+        elif line.strip():
             groups.setdefault(line.strip("\ufeff\r"), []).append(path)
+        elif failed is not None:
+            failed.append((path, "no header"))
     return list(groups.values())
 
 
+#: Column of the reader that holds a line whose fields do not fit its header.
+_CORRUPT = "__corrupt"
+#: What undecodable bytes become when a file is read.
+_NO_LETTER = "\ufffd"
+REJECT_SCHEMA = "source_file string, piece string, path string, line bigint, reason string, text string"
+
+
+@dataclass(frozen=True)
+class Landing:
+    """Landing rows that fit their headers, the lines that do not, and the files that cannot be read."""
+
+    rows: DataFrame
+    rejected: DataFrame
+    files: list[str]
+    failed: list[tuple[str, str]] = field(default_factory=list)
+
+
+def _csv_rows(spark: SparkSession, group: list[str], sep: str, encoding: str) -> DataFrame:
+    """All lines of files with one header as text columns, those that do not fit it with ``_CORRUPT``."""
+    options = {"header": "true", "sep": sep, "encoding": encoding}
+    names = spark.read.options(**options).csv(group).columns
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _CORRUPT]])
+    # Without pruning every line is split whole, so that fields are counted whatever columns are asked for.
+    checked = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, "columnPruning": "false", "enforceSchema": "true"}
+    return spark.read.schema(schema).options(**options, **checked).csv(group)
+
+
+def _undecoded(rows: DataFrame) -> Column:
+    named = [C.quoted(n) for n in rows.columns if n != _CORRUPT]
+    return F.contains(F.concat_ws("", *named), F.lit(_NO_LETTER))
+
+
+def _lines(spark: SparkSession, group: list[str], encoding: str) -> DataFrame:
+    """``path, line, text`` of all lines that are not blank, numbered from the header's 1, file by file.
+
+    A file is read in blocks by many tasks; lines are numbered within each block, and blocks are counted on.
+    """
+    options = {"header": "false", "sep": "\x01", "quote": "", "encoding": encoding, "lineSep": "\n"}
+    text = spark.read.schema("text string").options(**options).csv(group).select(
+        "text", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    text = text.where(F.trim(F.rtrim(F.col("text"), F.lit("\r"))) != "")
+    blocks = text.groupBy("path", "block").agg(F.min("row").alias("first"), F.max("row").alias("last"), F.count("*").alias("n"))
+    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("path", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    own = Window.partitionBy("path", "block").orderBy("row")
+    return text.withColumn("own", F.row_number().over(own)).join(blocks, ["path", "block"]).select(
+        "path", (F.col("own") + F.col("before")).cast("bigint").alias("line"), F.rtrim(F.col("text"), F.lit("\r")).alias("text")
+    )
+
+
+def _rejected(spark: SparkSession, system: str | System, group: list[str], sep: str, encoding: str) -> DataFrame:
+    rows = _csv_rows(spark, group, sep, encoding)
+    path = F.col("_metadata.file_path")
+    # The reader gives that column only along with another one.
+    unfit = rows.select(F.rtrim(F.col(_CORRUPT), F.lit("\r")).alias("text"), path.alias("path"), C.quoted(rows.columns[0]).alias("first"))
+    unfit = unfit.where("text IS NOT NULL").distinct()
+    lines = _lines(spark, group, encoding).where("line > 1")
+    fields = lines.join(unfit, ["path", "text"], "left_semi").withColumn("reason", F.lit("fields"))
+    letters = lines.where(F.contains("text", F.lit(_NO_LETTER))).withColumn("reason", F.lit("bytes"))
+    letters = letters.join(unfit, ["path", "text"], "left_anti")
+    found = fields.unionByName(letters)
+    return with_origin(found, system, F.col("path")).select("source_file", PIECE, "path", "line", "reason", "text")
+
+
+def scan_checked(
+    spark: SparkSession, system: str | System, paths: Sequence[str], sep: str = ";", encoding: str = "UTF-8"
+) -> Landing:
+    """Delimited landing files as ``scan_landing`` reads them, and with them what could not be read.
+
+    Every line below a header is either a row or rejected: ``fields`` where it has more or fewer fields than the
+    header, ``bytes`` where bytes are none of the encoding.  Rejected lines keep file, number (blank lines do not
+    count) and text.  Files that cannot be opened or have no header are listed with the reason; the others are read.
+    """
+    files, failed = landing_files(spark, [paths] if isinstance(paths, str) else paths), []
+    groups = by_header(spark, files, encoding, failed)
+    bad = {path for path, _ in failed}
+    files = [f for f in files if f not in bad]
+    none = spark.createDataFrame([], REJECT_SCHEMA)
+    rejected = reduce(DataFrame.unionByName, [_rejected(spark, system, g, sep, encoding) for g in groups], none)
+    if not groups:
+        rows = spark.createDataFrame([], f"source_file string, {PIECE} string, uf string")
+        return Landing(rows, rejected, files, failed)
+    return Landing(scan_landing(spark, system, groups, "csv", sep, encoding), rejected, files, failed)
+
+
 def scan_landing(
     spark: SparkSession,
     system: str | System,
@@ -84,6 +190,8 @@ def scan_landing(
     Every file is read by its own header: CSV files are grouped by their first line, and the groups,
     one scan each, are united by name, so columns may come in any order and may come and go.
     Parquet files may differ freely as well.  Fixed-width files (``dbf``) bring their own field table.
+    Lines of CSV files that have more or fewer fields than their header, or bytes that are none of the encoding, are no
+    rows; ``scan_checked`` gives them as well.
     """
     from sanitaria.sources.fixed_width import scan_fixed_width
 
@@ -98,13 +206,13 @@ def scan_landing(
     def scan(group: list[str]) -> DataFrame:
         if file_format == "dbf":
             return scan_fixed_width(spark, system, group)
-        reader = spark.read.format(file_format)
         if file_format == "csv":
-            reader = reader.options(header="true", sep=sep, encoding=encoding, enforceSchema="false")
-        elif file_format == "parquet":
-            reader = reader.option("mergeSchema", "true")
-        rows = reader.load(group)
-        text = as_text(rows.select("*", F.col("_metadata.file_path").alias("__file")))
+            lines = _csv_rows(spark, group, sep, encoding)
+            rows = lines.where(C.quoted(_CORRUPT).isNull() & ~_undecoded(lines))
+        else:
+            reader = spark.read.format(file_format)
+            rows = (reader.option("mergeSchema", "true") if file_format == "parquet" else reader).load(group)
+        text = as_text(rows.select(*(C.quoted(n) for n in rows.columns if n != _CORRUPT), F.col("_metadata.file_path").alias("__file")))
         return with_origin(text, system, F.col("__file")).drop("__file")
 
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), map(scan, groups))

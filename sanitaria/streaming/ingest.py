@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sanitaria.functions import columns as C
 from sanitaria.operators.stats_cache import cached_stats
@@ -14,13 +15,13 @@ from sanitaria.operators.transform import canonicalize, clean_columns, typed_col
 from sanitaria.session import remove_folder, scratch_dir
 from sanitaria.sinks import manifest
 from sanitaria.sinks.store import WHOLE, drop_pieces, observed, write_store
-from sanitaria.sources.landing import scan_landing, with_origin
-from sanitaria.sources.store import PIECE, stored_files
+from sanitaria.sources.landing import REJECT_SCHEMA, Landing, scan_checked, scan_landing, with_origin
+from sanitaria.sources.store import PIECE, read_or_none, stored_files
 from sanitaria.systems import System, get_system
 
 REPORT_SCHEMA = (
-    "system string, batch bigint, files bigint, rows bigint, lost_values bigint, unplaced bigint, bytes bigint, "
-    "finished_at timestamp"
+    "system string, batch bigint, files bigint, rows bigint, rejected bigint, failed bigint, lost_values bigint, "
+    "unplaced bigint, bytes bigint, finished_at timestamp"
 )
 
 
@@ -28,6 +29,14 @@ def report_path(root: str) -> str:
     return f"{root.rstrip('/')}/catalog/load_report"
 
 
+def rejects_path(root: str, system: str | System) -> str:
+    return f"{root.rstrip('/')}/catalog/rejects/{get_system(system).name}"
+
+
+def failures_path(root: str) -> str:
+    return f"{root.rstrip('/')}/catalog/failed_files"
+
+
 def _landed(landing: DataFrame, system: System, files: Sequence[str] | None) -> DataFrame:
     """``source_file, piece`` of all landing files: from their paths if given, else from the rows."""
     if files is not None:
@@ -47,6 +56,8 @@ def load_batch(
     reload: bool = False,
     statistics: bool = False,
     files: Sequence[str] | None = None,
+    rejected: DataFrame | None = None,
+    failed: Sequence[tuple[str, str]] = (),
 ) -> int:
     """One load: landing files that the manifest does not list, typed, written, then listed and reported.
 
@@ -61,6 +72,8 @@ def load_batch(
     ``root/raw``.  ``audit`` also counts, within the load, values that typing turned to NULL;
     ``statistics`` renews the store's column statistics afterwards.  ``files``, the paths that the
     rows were scanned from (``landing_files``), spares reading the rows once more for the names.
+    ``rejected`` and ``failed`` (of ``scan_checked``) are kept beside the store, those lines by landing file, so a file
+    that is loaded again replaces its own, and counted in the report.
     """
     spec, spark = get_system(system), landing.sparkSession
     root = f"{root.rstrip('/')}/raw" if raw else root
@@ -76,6 +89,10 @@ def load_batch(
     fresh = spark.read.schema(f"source_file string, {PIECE} string").parquet(aside)
     if not fresh.where("source_file is null").isEmpty():
         raise ValueError("landing rows without a source_file")
+    bad_lines = 0 if rejected is None else _keep_rejects(rejected.join(F.broadcast(fresh), keys, "left_semi"), fresh, root, spec)
+    if failed:
+        lost = spark.createDataFrame([(spec.name, batch, *f) for f in failed], "system string, batch bigint, path string, reason string")
+        lost.withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(failures_path(root))
     cleaned, losses = clean_columns(landing.join(F.broadcast(fresh), keys, "left_semi")), Observation()
     if audit:
         lost = [
@@ -97,6 +114,8 @@ def load_batch(
         F.lit(batch).cast("bigint").alias("batch"),
         "files",
         F.lit(rows).cast("bigint").alias("rows"),
+        F.lit(None if rejected is None else bad_lines).cast("bigint").alias("rejected"),
+        F.lit(len(failed)).cast("bigint").alias("failed"),
         F.lit(observed(losses, "lost") if audit else None).cast("bigint").alias("lost_values"),
         "unplaced",
         F.lit(stored).cast("bigint").alias("bytes"),
@@ -109,8 +128,39 @@ def load_batch(
     return rows
 
 
+def _keep_rejects(rejected: DataFrame, files: DataFrame, root: str, system: System) -> int:
+    """Write the rejected lines of ``files`` in place of what was kept of these files before; gives their number."""
+    spark, path = rejected.sparkSession, rejects_path(root, system)
+    earlier = read_or_none(spark, path, T._parse_datatype_string(REJECT_SCHEMA))
+    if earlier is not None:
+        old = earlier.select("source_file", PIECE).distinct().join(F.broadcast(files), ["source_file", PIECE], "left_semi")
+        for row in old.collect():  # folders of files at hand
+            remove_folder(spark, f"{path}/source_file={row['source_file']}/{PIECE}={row[PIECE]}")
+    rejected.hint("rebalance", "source_file", PIECE).write.mode("append").partitionBy("source_file", PIECE).parquet(path)
+    return rejected_lines(spark, root, system).join(F.broadcast(files), ["source_file", PIECE], "left_semi").count()
+
+
+def rejected_lines(spark: SparkSession, root: str, system: str | System) -> DataFrame:
+    """``source_file, piece, path, line, reason, text`` of all lines that loads have turned away."""
+    schema = T._parse_datatype_string(REJECT_SCHEMA)
+    kept = read_or_none(spark, rejects_path(root, system), schema)
+    return spark.createDataFrame([], schema) if kept is None else kept.select(*schema.names)
+
+
+def load_files(
+    spark: SparkSession, root: str, system: str | System, paths: Sequence[str], sep: str = ";", encoding: str = "UTF-8",
+    **options,
+) -> int:
+    """Load delimited landing files whole: rows to the store, lines that are none and unreadable files to tables of their own."""
+    found: Landing = scan_checked(spark, system, paths, sep, encoding)
+    return load_batch(
+        found.rows, root, system, files=found.files, rejected=found.rejected, failed=found.failed, **options
+    )
+
+
 def load_report(spark: SparkSession, root: str) -> DataFrame:
-    """Loads so far, newest first: files, rows, values lost in typing, files whose name says no state, bytes stored."""
+    """Loads so far, newest first: files, rows, lines turned away, files not read, values lost in typing, files whose
+    name says no state, bytes stored."""
     return spark.read.schema(REPORT_SCHEMA).parquet(report_path(root)).orderBy(F.desc("finished_at"))
 
 
@@ -143,8 +193,10 @@ def start_ingest(
     def load(batch: DataFrame, number: int) -> None:
         paths = [row["path"] for row in batch.collect()]  # at most max_files names
         if paths:
-            rows = scan_landing(spark, system, paths, file_format, sep, encoding)
-            load_batch(rows, root, system, number, files=paths)
+            if file_format == "csv":
+                load_files(spark, root, system, paths, sep, encoding, batch=number)
+            else:
+                load_batch(scan_landing(spark, system, paths, file_format, sep, encoding), root, system, number, files=paths)
 
     return (
         names.writeStream.foreachBatch(load)
