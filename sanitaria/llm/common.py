@@ -31,17 +31,22 @@ class Scratch:
     """Tables that one operator writes and reads again, deleted as soon as nothing reads them any more.
 
     ``drop`` deletes some of them, the end of a ``with`` block all that are left.  Whoever returns a DataFrame that
-    still reads one leaves that table to its caller's ``Scratch``, or lets it stay.
+    still reads one leaves that table to its caller's ``Scratch``, or lets it stay.  With ``sweep`` the driver's
+    garbage is collected after each write, upon which Spark deletes the shuffle files of finished jobs; by itself
+    it does so when the driver's memory fills, which a small driver of large jobs may never see.
     """
 
-    def __init__(self) -> None:
+    def __init__(self, sweep: bool = False) -> None:
         self._held: list[tuple[DataFrame, str]] = []
+        self._sweep = sweep
 
     def written(self, df: DataFrame, purpose: str) -> DataFrame:
         path = scratch_dir(df.sparkSession, purpose)
         df.write.parquet(path)
         table = df.sparkSession.read.schema(df.schema).parquet(path)
         self._held.append((table, path))
+        if self._sweep:
+            df.sparkSession._jvm.System.gc()
         return table
 
     def drop(self, *tables: DataFrame) -> None:

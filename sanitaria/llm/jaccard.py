@@ -315,7 +315,7 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "
     """
     scratch, row = Scratch(), free_name(docs, "row_id")
     rows = scratch.written(docs.withColumn(row, F.monotonically_increasing_id()), "jaccard-rows")
-    with Scratch() as inner:
+    with Scratch(sweep=True) as inner:
         found = jaccard_join(rows.select(row, "text"), words, percent, key=row, all_links=False, scratch=inner)
         found = found.select(F.col("id").alias(row), "component")
         keyed = inner.written(rows.select(row, F.col(key).alias("key")).join(found, row), "jaccard-keyed")
