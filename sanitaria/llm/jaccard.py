@@ -199,21 +199,26 @@ def jaccard_join(
     classes = sets.filter("n > 0").groupBy(*same).agg(
         F.min("id").alias("rep"), F.first("prefix").alias("prefix"), *(F.first(b).alias(b) for b in BITS)
     )
-    classes = written(classes, "jaccard-classes")
-    members = classes.select("n", "prefix", "rep")
-    groups = classes.groupBy("n", "prefix").agg(
+    full = written(classes, "jaccard-classes")
+    # Prefixes are the bulk of these tables: what is read later on is kept without them.
+    wide, sets = sets, written(sets.select("id", *same), "jaccard-ids")
+    scratch.drop(wide)
+    groups = full.groupBy("n", "prefix").agg(
         F.min("rep").alias("group"), F.count("*").alias("size"), *(F.first(b).alias(b) for b in BITS)
     )
-    grouped = written(groups, "jaccard-groups")
-    tokens = grouped.select("n", "group", F.posexplode("prefix").alias("at", "token"))
+    indexed = written(groups, "jaccard-groups")
+    multi = indexed.filter("size > 1").select("n", "prefix", "group")
+    members = full.select("n", "prefix", "rep")
+    inside = written(members.join(multi, ["n", "prefix"]).select("group", "rep"), "jaccard-members")
+    classes = written(full.drop("prefix"), "jaccard-class-facts")
+    scratch.drop(full)
+    tokens = indexed.select("n", "group", F.posexplode("prefix").alias("at", "token"))
     first = F.min(F.struct("at", "n", "group")).alias("pivot")
     lists = tokens.groupBy("token").agg(F.count("*").alias("shared"), first).filter("shared > 1").drop("shared")
     listed = written(tokens.join(lists, "token"), "jaccard-lists")
 
-    multi = grouped.filter("size > 1")
-    inside = written(
-        members.join(multi.select("n", "prefix", "group"), ["n", "prefix"]).select("group", "rep"), "jaccard-members"
-    )
+    grouped = written(indexed.drop("prefix"), "jaccard-group-facts")
+    scratch.drop(indexed)
     star = (
         listed.select(
             F.col("pivot.group").alias("a"), F.col("group").alias("b"), F.col("pivot.n").alias("n_a"),
