@@ -197,6 +197,23 @@ register(
         "sum_l_quantity": F.round("sum_l_quantity", 2), "avg_l_discount": F.round("avg_l_discount", 6),
     })
 )
+register(
+    "agg_01_ask_distinct",
+    "SELECT l_returnflag, count(DISTINCT l_orderkey) AS count_distinct_l_orderkey, count(DISTINCT l_partkey) AS "
+    "count_distinct_l_partkey, count(DISTINCT l_extendedprice) AS count_distinct_l_extendedprice, "
+    "count(DISTINCT l_shipdate) AS count_distinct_l_shipdate, max(l_tax) AS max_l_tax FROM lineitem GROUP BY 1",
+)(
+    lambda spark, sf: ask(
+        V.table(spark, sf, "lineitem"),
+        {
+            "projections": [
+                "l_returnflag", ("l_orderkey", "count_distinct"), ("l_partkey", "count_distinct"),
+                ("l_extendedprice", "count_distinct"), ("l_shipdate", "count_distinct"), ("l_tax", "max"),
+            ],
+            "group_by": ["l_returnflag"],
+        },
+    )
+)
 register(
     "agg_01_ask_rows",
     "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' "
@@ -402,6 +419,11 @@ def _histogram_sql(with_views: str, table: str, c: str, value: str) -> str:
     )
 
 
+register(
+    "prf_07_heavy_hitters",
+    "SELECT o_custkey AS value, n AS count FROM (SELECT CAST(o_custkey AS VARCHAR) AS o_custkey, count(*) AS n "
+    "FROM orders GROUP BY 1 ORDER BY n DESC, 1 LIMIT 25)",
+)(lambda spark, sf: P.heavy_hitters(V.table(spark, sf, "orders"), "o_custkey", 25, tracked=200_000).drop("certain"))
 register("prf_07_histogram_events", _histogram_sql("", "events", "event_type", "event_type"))(
     lambda spark, sf: P.histogram(V.table(spark, sf, "events"), "event_type")
 )

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sanitaria.functions import columns as C
+from sanitaria.operators.distinct import with_distinct_counts
 from sanitaria.operators.predicates import rules_to_column
 
 _AGGREGATES = {
@@ -108,7 +109,11 @@ def _ordering(name: str, direction: str) -> Column:
 
 
 def ask(df: DataFrame, spec: Question | Mapping[str, Any]) -> DataFrame:
-    """Run a question; raises :class:`QuestionError` when it is not well formed."""
+    """Run a question; raises :class:`QuestionError` when it is not well formed.
+
+    One distinct count is an aggregate like the others; several are taken from distinct ``(column, value)``
+    pairs (:mod:`sanitaria.operators.distinct`).
+    """
     question = spec if isinstance(spec, Question) else Question.of(spec)
     found = diagnose(question, df.schema)
     if found.errors:
@@ -116,12 +121,13 @@ def ask(df: DataFrame, spec: Question | Mapping[str, Any]) -> DataFrame:
 
     rows = df.where(rules_to_column(question.where, df.schema)) if question.where else df
     names = [p.name for p in question.projections]
-    aggregates = [
-        _AGGREGATES[p.aggregation](C.quoted(p.column)).alias(p.name)
-        for p in question.projections
-        if p.aggregation != "none"
-    ]
-    if question.group_by:
+    aggregated = [p for p in question.projections if p.aggregation != "none"]
+    aggregates = [_AGGREGATES[p.aggregation](C.quoted(p.column)).alias(p.name) for p in aggregated]
+    distinct = {p.name: p.column for p in aggregated if p.aggregation == "count_distinct"}
+    if len(distinct) > 1:
+        others = [a for p, a in zip(aggregated, aggregates, strict=True) if p.name not in distinct]
+        rows = with_distinct_counts(rows, question.group_by, others, distinct)
+    elif question.group_by:
         keys = [C.quoted(c) for c in question.group_by]
         rows = rows.groupBy(*keys).agg(*aggregates) if aggregates else rows.select(*keys).distinct()
     elif aggregates:

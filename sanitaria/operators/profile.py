@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sanitaria.functions import columns as C
+from sanitaria.operators.distinct import with_distinct_counts
 from sanitaria.operators.enrich import MUNICIPALITY_COLUMNS
 from sanitaria.sources.footers import column_facts
 from sanitaria.sources.store import data_files, scan_store, store_layout
@@ -34,6 +35,37 @@ def distinct_sketch(name: str) -> Column:
     return F.hll_sketch_agg(F.when(c.isNotNull(), F.xxhash64(c)), F.lit(12))
 
 
+#: Values a top-values sketch tracks at first; its counters take about 100 bytes each.
+TRACKED = 10_000
+#: Share of all rows by which a sketch's counts may be too small, times the values it tracks: that of a map filled to 3/4.
+SKETCH_ERROR = 3.5
+
+
+def heavy_hitters(df: DataFrame, column: str, k: int = 10, tracked: int = TRACKED) -> DataFrame:
+    """The ``k`` most frequent values of a column of many values: ``value, count, certain``, largest first, ties by value.
+
+    Every task keeps a sketch of at most ``tracked`` counters; sketches merge by group of tasks, then at last, and name
+    the candidates.  A second pass counts only these, so counts are exact.  A value that no candidate stands for
+    occurs at most ``SKETCH_ERROR / tracked`` of the rows; ``certain`` says that a value occurs more often than that, so
+    no other can take its place.  Null is no value.  Values are text; :func:`histogram` groups them all.
+    """
+    value = F.when(C.quoted(column).isNotNull(), C.quoted(column).cast("string"))
+    values = df.select(value.alias("value")).where("value is not null")
+    parts = values.groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("_group")).agg(
+        F.expr(f"approx_top_k_accumulate(value, {tracked})").alias("sketch")
+    )
+    wanted = min(tracked, max(4 * k, 100))
+    found = parts.agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch")).select(
+        F.expr(f"inline(approx_top_k_estimate(sketch, {wanted}))")
+    )
+    counted = values.join(F.broadcast(found.select(F.col("item").alias("value"))), "value").groupBy("value").agg(
+        F.count(F.lit(1)).alias("count")
+    )
+    total = values.agg(F.count(F.lit(1))).scalar()
+    certain = (F.col("count") > F.ceil(total * SKETCH_ERROR / tracked)).alias("certain")
+    return counted.select("value", "count", certain).orderBy(F.desc("count"), "value").limit(k)
+
+
 def _premerged(df: DataFrame, measures: list[Column]) -> DataFrame:
     """The measures of each of ``MERGE_GROUPS`` groups of tasks: many tasks' sketches never meet in one."""
     return df.groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("_group")).agg(*measures)
@@ -43,17 +75,15 @@ def column_stats(df: DataFrame, exact: bool = False) -> DataFrame:
     """One row per column: ``row_count``, ``null_pct``, ``fill_pct``, ``distinct_count``.
 
     A single pass over the data.  Distinct counts are approximate by default:
-    fixed-size sketches are merged map-side, then by group of tasks, then at last; ``exact`` shuffles
-    every distinct value and is meant for checks.  An array counts as null when it is NULL or
+    fixed-size sketches are merged map-side, then by group of tasks, then at last; ``exact`` marks small whole
+    numbers in bitmaps and shuffles every distinct value of the other columns.  An array counts as null when it is NULL or
     empty.  An empty table has no rows in the result.
     """
     first, last = [F.count(F.lit(1)).alias("n")], [F.sum("n").alias("n")]
     for i, f in enumerate(df.schema.fields):
         first.append(F.count_if(is_empty(f.name, f.dataType)).alias(f"e{i}"))
         last.append(F.sum(f"e{i}").alias(f"e{i}"))
-        if exact:
-            first.append(F.countDistinct(C.quoted(f.name)).alias(f"d{i}"))
-        else:
+        if not exact:
             first.append(distinct_sketch(f.name).alias(f"d{i}"))
             last.append(F.hll_sketch_estimate(F.hll_union_agg(f"d{i}")).alias(f"d{i}"))
     entries = [
@@ -65,7 +95,10 @@ def column_stats(df: DataFrame, exact: bool = False) -> DataFrame:
         )
         for i, f in enumerate(df.schema.fields)
     ]
-    totals = df.agg(*first) if exact else _premerged(df, first).agg(*last)
+    if exact:
+        totals = with_distinct_counts(df, (), first, {f"d{i}": name for i, name in enumerate(df.columns)})
+    else:
+        totals = _premerged(df, first).agg(*last)
     long = totals.where("n > 0").select(F.inline(F.array(*entries)))
     return long.select(
         "column",
