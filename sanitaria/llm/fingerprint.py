@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
+from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sanitaria.llm.bytewords import chunks, encoded, mixed
@@ -23,6 +25,8 @@ FILTER_BITS, PER_FILTER, HASHES = 2_048, 160, 5
 STEPS, LOWEST = 1_000, 100
 #: Overlap below this part of the possible is taken for chance.
 CUTOFF = 0.3
+#: Bytes of filter pairs that are compared at once.
+PAIR_BYTES = 4 << 20
 _OUT = 1 << 20
 _N = np.arange(WINDOW + 1)
 #: n log2 n in whole numbers, so that sums do not depend on their order.
@@ -134,11 +138,16 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     if len(a) > len(b):
         a, b = b, a
     bits_a, bits_b = (np.bitwise_count(x).sum(axis=1).astype(float) for x in (a, b))
-    shared = np.bitwise_count(a[:, None, :] & b[None, :, :]).sum(axis=2).astype(float)
-    chance = np.outer(bits_a, bits_b) / FILTER_BITS
-    most = np.minimum(bits_a[:, None], bits_b[None, :])
-    score = np.where(most > chance, (shared - chance) / np.maximum(most - chance, 1e-9), shared == most)
-    best = score.max(axis=1)
+    best = np.zeros(len(a))
+    side = max(1, math.isqrt(PAIR_BYTES // (FILTER_BITS // 8)))
+    for i in range(0, len(a), side):
+        for j in range(0, len(b), side):
+            own, other = bits_a[i : i + side], bits_b[j : j + side]
+            shared = np.bitwise_count(a[i : i + side, None, :] & b[None, j : j + side, :]).sum(axis=2).astype(float)
+            chance = np.outer(own, other) / FILTER_BITS
+            most = np.minimum(own[:, None], other[None, :])
+            score = np.where(most > chance, (shared - chance) / np.maximum(most - chance, 1e-9), shared == most)
+            best[i : i + side] = np.maximum(best[i : i + side], score.max(axis=1))
     best[best < CUTOFF] = 0.0
     return float(np.clip((best * bits_a).sum() / bits_a.sum(), 0.0, 1.0))
 
@@ -163,20 +172,38 @@ def corpus_ranks(docs: DataFrame, text: str = "text") -> np.ndarray:
     return ranks(counts)
 
 
-def _blocks(docs: DataFrame, block_bytes: int, most_blocks: int) -> DataFrame:
-    """``key, text, block, ahead``: ranges of keys, and of each range's first document a copy for the range before."""
+def _cuts(docs: DataFrame, block_bytes: int, most_blocks: int) -> list[tuple[int, int]]:
+    """``key, hash`` of the first document of each block; a key of many rows gives several blocks, cut by hash."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, min(most_blocks, -(-size // block_bytes)))
     points = F.array(*(F.lit(i / n) for i in range(n)))
-    found = docs.agg(F.percentile_approx("key", points, F.lit(100 * n)).alias("cuts")).first()[0] or [0]
-    starts = sorted(set(found))
-    cuts = F.array(*(F.lit(c).cast("long") for c in starts))
-    block = F.size(F.filter(cuts, lambda c: c <= F.col("key"))) - 1
-    first = F.array_contains(cuts, F.col("key"))
+    found = Counter(docs.agg(F.percentile_approx("key", points, F.lit(100 * n)).alias("cuts")).first()[0] or [0])
+    cut = [(key, -(2**63) + (i << 64) // parts) for key, parts in sorted(found.items()) for i in range(parts)]
+    rough = F.size(F.filter(_places(cut), lambda c: c <= _place())) - 1
+    first = docs.groupBy(rough.alias("block")).agg(F.min(_place()).alias("first")).collect()  # at most one row a block
+    return sorted((r["first"]["key"], r["first"]["hash"]) for r in first) or [(0, 0)]
+
+
+def _place() -> Column:
+    return F.struct("key", "hash")
+
+
+def _places(cuts: list[tuple[int, int]]) -> Column:
+    keys, hashes = (F.array(*(F.lit(c[i]).cast("long") for c in cuts)) for i in (0, 1))
+    pair = F.arrays_zip(keys.alias("key"), hashes.alias("hash"))
+    return pair.cast("array<struct<key:bigint,hash:bigint>>")
+
+
+def _blocks(docs: DataFrame, block_bytes: int, most_blocks: int) -> DataFrame:
+    """``key, hash, text, block, ahead``: ranges of keys, and of each range's first document a copy for the range before."""
+    starts = _cuts(docs, block_bytes, most_blocks)
+    cuts = _places(starts)
+    block = F.size(F.filter(cuts, lambda c: c <= _place())) - 1
+    first = F.array_contains(cuts, _place())
     own = F.struct(F.col("block").alias("block"), F.lit(0).alias("ahead"))
     before = F.struct(F.pmod(F.col("block") - 1, F.lit(len(starts))).alias("block"), F.lit(1).alias("ahead"))
     places = F.explode(F.when(first, F.array(own, before)).otherwise(F.array(own))).alias("place")
-    return docs.withColumn("block", block).select("key", "text", places).select("key", "text", "place.*")
+    return docs.withColumn("block", block).select("key", "hash", "text", places).select("key", "hash", "text", "place.*")
 
 
 def fingerprint_edits(
@@ -186,8 +213,8 @@ def fingerprint_edits(
 
     The edited text has its last half (rounded down, in code points) replaced by as much
     of the start of the next document by ``doc_id``; the last one's next is the first.
-    Documents are dealt out in ranges of keys of about ``block_bytes`` and read as sorted
-    streams; of each range the first document is also sent to the range before, so texts
+    Documents are dealt out in ranges of keys, and of text hashes within a key of many rows, of about
+    ``block_bytes`` and read as sorted streams; of each range the first document is also sent to the range before, so texts
     are shuffled once.
 
     Returns ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
@@ -199,10 +226,11 @@ def fingerprint_edits(
     rank = corpus_ranks(docs) if rank is None else rank
     empty = F.coalesce(F.col("text").cast("string"), F.lit(""))
     keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("key"), empty.alias("text"))
+    keyed = keyed.withColumn("hash", F.xxhash64("text"))
     placed = _blocks(keyed, block_bytes, most_blocks)
     ordered = (
         placed.repartition("block")
-        .sortWithinPartitions("block", "ahead", "key", F.xxhash64("text"))
+        .sortWithinPartitions("block", "ahead", "key", "hash")
         .select("block", "ahead", "key", "text")
     )
 

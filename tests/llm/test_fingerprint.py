@@ -4,6 +4,8 @@ from collections import Counter
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from sanitaria.llm import fingerprint as fp
 from tests.llm.data import documents, prose, texts
 
@@ -74,3 +76,31 @@ def test_rows_with_null_and_repeated_ids_and_empty_table(spark):
     assert fp.fingerprint_edits(documents(spark, [])).count() == 0
     one = fp.fingerprint_edits(documents(spark, [(5, "alone " * 30)])).first()
     assert one["near_next"] == 1.0
+
+
+def test_likeness_in_blocks_is_the_same(monkeypatch):
+    rank = fp.ranks(fp.entropy_counts([prose(k, 900).encode() for k in range(5)]))
+    a, b = fp.digests([prose(1, 9_000).encode(), (prose(1, 3_000) + prose(2, 7_000)).encode()], rank)
+    assert len(a) > 5
+    whole = fp.likeness(a, b)
+    for size in (256, 5 * 256, 40 * 256):
+        monkeypatch.setattr(fp, "PAIR_BYTES", size)
+        assert fp.likeness(a, b) == whole
+
+
+def test_one_key_of_many_rows_is_cut_into_blocks(spark):
+    rows = [(7, f"{k} " * 40) for k in range(300)] + [(None, f"n{k} " * 40) for k in range(300)] + [(9, "last " * 40)]
+    docs = documents(spark, rows)
+    keyed = docs.selectExpr("coalesce(doc_id, -9223372036854775808) as key", "text").withColumn("hash", F.xxhash64("text"))
+    sizes = [r["count"] for r in fp._blocks(keyed, 2_000, 4_096).where("ahead = 0").groupBy("block").count().collect()]
+    assert len(sizes) > 20 and max(sizes) < 60 and sum(sizes) == len(rows)
+    assert fp._blocks(keyed, 2_000, 4_096).where("ahead = 1").count() == len(sizes)
+    # The next document goes by key, then by the hash of the text, whatever the blocks are.
+    order = [r.text for r in keyed.orderBy("key", "hash").collect()]
+    after = dict(zip(order, [*order[1:], order[0]], strict=True))
+    want = {}
+    for text in order:
+        half = len(text) // 2
+        want[hashlib.sha256((text[: len(text) - half] + after[text][:half]).encode()).hexdigest()] = text
+    got = fp.fingerprint_edits(docs, block_bytes=2_000).collect()
+    assert sorted(r.edited_sha256 for r in got) == sorted(want)
