@@ -130,7 +130,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """The model from at most ``sample`` labelled documents of each class.
 
     Texts stay on the executors; the driver gets at most ``2 * sample`` hashed vectors of
-    ``SLOTS`` entries at most.  Rows with a null label or id are no labels; no labels at all give
+    ``SLOTS`` entries at most: of several rows with one id the smallest vector, chosen where the rows are.  Rows with a null label or id are no labels; no labels at all give
     a model that rejects nothing.
     """
     usable = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "quality")
@@ -147,6 +147,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     schema = "doc_id bigint, quality int, slots binary, shares binary"
     found = rows.select(F.col("doc_id").cast("long"), F.col("quality").cast("int"), "text").mapInPandas(vectorise, schema)
+    one = F.min(F.struct("slots", "shares")).alias("vector")
+    found = found.groupBy("doc_id", "quality").agg(one).select("doc_id", "quality", "vector.*")
     found = found.orderBy(F.xxhash64("doc_id"), "doc_id", "slots").collect()
     pairs = [(np.frombuffer(r["slots"], np.int32), np.frombuffer(r["shares"], np.float32)) for r in found]
     return fit(pairs, [r["quality"] for r in found])

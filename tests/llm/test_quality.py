@@ -74,3 +74,11 @@ def test_no_labels_reject_nothing(spark):
     model = q.train(docs, none)
     assert all(r["quality_kept"] != r["quality_base_failed"] for r in q.quality(docs, model).collect())
     assert q.quality(documents(spark, []), model).count() == 0
+
+
+def test_a_labelled_id_of_many_rows_counts_once(spark):
+    rows = [(k, prose(k, 60) if k % 2 else junk(k)) for k in range(60)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id bigint, quality int")
+    once = q.train(documents(spark, rows), labels)
+    again = q.train(documents(spark, rows + [rows[3]] * 500), labels)
+    assert np.allclose(once.weights, again.weights) and once.slope == again.slope
