@@ -350,7 +350,6 @@ def report(spark, sf):
 
 # -- exports -----------------------------------------------------------------
 
-_EXPORT = ("uf", "source_file", "dt_inter", "diag_princ", "val_tot", "dias_perm")
 _EXPORT_SQL = f"""WITH {R.ADMISSIONS} SELECT uf, count(*) AS n, count(dt_inter) AS dt_inter,
   CAST(sum(dias_perm) AS BIGINT) AS days FROM adm GROUP BY uf"""
 _EXPORT_SCHEMA = "uf string, source_file string, dt_inter date, diag_princ string, val_tot float, dias_perm smallint"
@@ -363,14 +362,14 @@ def _totals(df):
 @register("snk_05_export_csv", _EXPORT_SQL)
 def export_csv(spark, sf):
     path = scratch_dir(spark, "snk05")
-    E.export_csv(R.admissions(spark, sf).select(*_EXPORT), path)
-    return _totals(spark.read.csv(path, sep=";", header=True, schema=_EXPORT_SCHEMA))
+    E.export_csv(R.admissions(spark, sf), path)
+    return _totals(spark.read.csv(path, sep=";", header=True).withColumn("dias_perm", F.col("dias_perm").cast("smallint")))
 
 
 @register("snk_06_export_json", _EXPORT_SQL)
 def export_json(spark, sf):
     path = scratch_dir(spark, "snk06")
-    E.export_json(R.admissions(spark, sf).select(*_EXPORT), path)
+    E.export_json(R.admissions(spark, sf), path)
     return _totals(spark.read.schema(_EXPORT_SCHEMA).json(path))
 
 
@@ -383,30 +382,35 @@ _RANGE_SQL = """ FROM adm WHERE dt_inter BETWEEN DATE '2016-01-01' AND DATE '201
 )
 def export_by_file(spark, sf):
     path = scratch_dir(spark, "snk07")
-    rows_ = R.admissions(spark, sf).select(*_EXPORT)
-    E.export_by_partition(rows_, "sihsus", date(2016, 1, 1), date(2017, 12, 31), path, file_format="parquet")
+    E.export_by_partition(R.admissions(spark, sf), "sihsus", date(2016, 1, 1), date(2017, 12, 31), path, file_format="parquet")
     return spark.read.parquet(path).groupBy("source_file", "by_source_file").agg(rows().alias("n"))
 
 
 @register("snk_07_export_by_state_csv", f"WITH {R.ADMISSIONS} SELECT uf, uf AS by_uf, count(*) AS n{_RANGE_SQL}uf")
 def export_by_state(spark, sf):
     path = scratch_dir(spark, "snk07c")
-    rows_ = R.admissions(spark, sf).select(*_EXPORT)
-    E.export_by_partition(rows_, "sihsus", "2016-01-01", "2017-12-31", path, partition_column="uf")
+    E.export_by_partition(R.admissions(spark, sf), "sihsus", "2016-01-01", "2017-12-31", path, partition_column="uf")
     return spark.read.csv(path, sep=";", header=True).groupBy("uf", "by_uf").agg(rows().alias("n"))
 
 
-_STATEMENT = (
-    "concat('INSERT INTO orders (o_orderkey, o_orderstatus, o_orderpriority) VALUES (', o_orderkey, ', ''', "
-    "o_orderstatus, ''', ''', replace(o_orderpriority, '''', ''''''), ''');')"
-)
+_ORDERS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+
+
+def _literal_sql(name):
+    text = f"CAST({name} AS VARCHAR)"
+    if name in ("o_orderstatus", "o_orderdate", "o_orderpriority"):
+        text = f"chr(39) || replace({text}, chr(39), repeat(chr(39), 2)) || chr(39)"
+    return f"coalesce({text}, 'NULL')"
 
 
-@register("snk_08_export_inserts", f"SELECT {_STATEMENT} AS statement FROM orders")
+@register(
+    "snk_08_export_inserts",
+    f"SELECT 'INSERT INTO orders ({', '.join(_ORDERS)}) VALUES (' || "
+    f"concat_ws(', ', {', '.join(map(_literal_sql, _ORDERS))}) || ');' AS statement FROM orders",
+)
 def export_inserts(spark, sf):
     path = scratch_dir(spark, "snk08")
-    rows_ = V.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
-    E.export_inserts(rows_, "orders", path)
+    E.export_inserts(V.table(spark, sf, "orders"), "orders", path)
     return spark.read.text(path).select(F.col("value").alias("statement"))
 
 
@@ -435,15 +439,21 @@ def export_sample(spark, sf):
     return spark.read.csv(path, sep=";", header=True).agg(rows().alias("n"))
 
 
-@register(
-    "snk_11_export_summary",
-    "SELECT 'o_orderkey' AS column_name, CAST(count(*) AS VARCHAR) AS count, CAST(max(o_orderkey) AS VARCHAR) AS max "
-    "FROM orders UNION ALL SELECT 'o_orderstatus', CAST(count(*) AS VARCHAR), max(o_orderstatus) FROM orders",
-)
+def _summary_sql(name):
+    return (
+        f"SELECT '{name}' AS column_name, CAST(count(*) AS VARCHAR) AS count, CAST(min({name}) AS VARCHAR) AS min, "
+        f"CAST(max({name}) AS VARCHAR) AS max, CAST(round((count(*) - count({name})) * 100.0 / count(*), 2) AS DOUBLE) "
+        "AS null_percentage FROM orders"
+    )
+
+
+@register("snk_11_export_summary", " UNION ALL ".join(map(_summary_sql, _ORDERS)))
 def export_summary(spark, sf):
+    """Of the figures those that are exact; estimates and quartiles have queries of their own."""
     path = scratch_dir(spark, "snk11")
-    E.export_summary(V.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus"), path)
-    return spark.read.csv(path, sep=";", header=True).select("column_name", "count", "max")
+    E.export_summary(V.table(spark, sf, "orders"), path)
+    found = spark.read.csv(path, sep=";", header=True)
+    return found.select("column_name", "count", "min", "max", F.col("null_percentage").cast("double"))
 
 
 # -- dimensions --------------------------------------------------------------
@@ -492,7 +502,7 @@ def dimension_status(spark, sf):
 def copy_range(spark, sf):
     location = scratch_dir(spark, "snk12")
     E.copy_range(
-        R.admissions(spark, sf).select(*_EXPORT), "sihsus", "2016-01-01", "2017-12-31", "check_copy", path=location
+        R.admissions(spark, sf), "sihsus", "2016-01-01", "2017-12-31", "check_copy", path=location
     )
     spark.sql("DROP TABLE check_copy")
     return spark.read.parquet(location).groupBy("uf").agg(rows().alias("n"))
