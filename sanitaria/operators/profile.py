@@ -37,8 +37,8 @@ def distinct_sketch(name: str) -> Column:
 
 #: Values a top-values sketch tracks at first; its counters take about 100 bytes each.
 TRACKED = 10_000
-#: Share of all rows by which a sketch's counts may be too small, times the values it tracks: that of a map filled to 3/4.
-SKETCH_ERROR = 3.5
+#: Share of all rows up to which a value may occur and not be named by a sketch, times the values it tracks.
+SKETCH_ERROR = 7.0
 
 
 def heavy_hitters(df: DataFrame, column: str, k: int = 10, tracked: int = TRACKED) -> DataFrame:
@@ -54,9 +54,8 @@ def heavy_hitters(df: DataFrame, column: str, k: int = 10, tracked: int = TRACKE
     parts = values.groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("_group")).agg(
         F.expr(f"approx_top_k_accumulate(value, {tracked})").alias("sketch")
     )
-    wanted = min(tracked, max(4 * k, 100))
     found = parts.agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch")).select(
-        F.expr(f"inline(approx_top_k_estimate(sketch, {wanted}))")
+        F.expr(f"inline(approx_top_k_estimate(sketch, {tracked}))")
     )
     counted = values.join(F.broadcast(found.select(F.col("item").alias("value"))), "value").groupBy("value").agg(
         F.count(F.lit(1)).alias("count")
