@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
@@ -41,11 +42,20 @@ BESIDE = frozenset(
 #: Words of a class that tell a state of the element and not what it is: has-sidebar, comments-open.
 STATES = frozenset("has with without no is are open opened closed enabled disabled on off".split())
 ARTICLE_WORDS = frozenset("articlebody article-body main".split())
+LISTS = frozenset("ul ol dl".split())
+#: Elements that are regions: what clusters and marks choose between.
+REGIONS = LISTS | frozenset("article main section div table blockquote".split())
+#: Markup that the end of a page leaves open: a tag, a comment, a declaration.
+_OPEN_MARKUP = re.compile(r"<[A-Za-z/!?]")
 _SPACE = re.compile(r"\s+")
 _WORD = re.compile(r"[a-z]+")
 
 #: Lines on each side that smoothing reaches, and its deviation in lines.
 RADIUS, SIGMA = 4, 1.5
+#: Marks are a prior only: ratios of lines within article or main count this much more.
+PRIOR = 2.0
+#: The marks are believed while they hold this share of the content; an element that holds INNER of it is gone into.
+BELIEVED, INNER = 0.5, 0.9
 
 
 #: How surely an element stands beside the article: its name has a word of BESIDE, or consists of such words.
@@ -69,6 +79,7 @@ class Region:
     parent: int
     main: bool = False
     beside: int = 0
+    is_list: bool = False
 
 
 @dataclass
@@ -76,6 +87,7 @@ class Line:
     region: int
     text: str
     tags: int
+    linked: int = 0
 
 
 @dataclass
@@ -87,68 +99,79 @@ class Page(HTMLParser):
 
     def __post_init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self._stack: list[tuple[str, int, bool]] = []
-        self._region, self._dropped = 0, False
+        self._stack: list[tuple[str, int, bool, int]] = []
+        self._open: Counter[str] = Counter()
+        self._region, self._dropped, self._marks = 0, False, 0
         self._text: list[str] = []
-        self._tags = 0
+        self._tags, self._linked, self._in_link = 0, 0, False
 
     def flush(self) -> None:
         text = _SPACE.sub(" ", "".join(self._text)).strip()
         if text:
-            self.lines.append(Line(self._region, text, self._tags))
+            self.lines.append(Line(self._region, text, self._tags, min(self._linked, len(text))))
             self._tags = 0
         self._text.clear()
+        self._linked = 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self._tags += 1
         if tag == "br":
             self._text.append(" ")
+        if tag == "a":
+            self._in_link = True
         if tag in BLOCK:
             self.flush()
         if tag not in CONTAINER:
             return
         if tag not in BLOCK and tag in DROPPED:
             self._text.append(" ")
-        self._stack.append((tag, self._region, self._dropped))
+        inside = self._marks > 0
+        self._stack.append((tag, self._region, self._dropped, self._marks))
+        self._open[tag] += 1
+        self._marks += tag in ("article", "main")
         if self._dropped:
             return
         named = " ".join(v for k, v in attrs if v and k in ("class", "id", "role", "itemprop")).lower()
-        inside = any(t in ("article", "main") for t, _, _ in self._stack[:-1])
         level = beside(named) if tag not in ("body", "html", "main") else 0
         if tag == "article" and level == LOOSE:
             level = 0
         if tag in DROPPED or tag == "header" and not inside or level and tag not in BLOCK:
             self._dropped = True
-        elif level or tag in ("article", "main", "section", "div", "table", "blockquote"):
+        elif level or tag in REGIONS:
             main = tag in ("article", "main") or bool(ARTICLE_WORDS.intersection(named.split()))
-            self.regions.append(Region(self._region, main, level))
+            self.regions.append(Region(self._region, main, level, tag in LISTS))
             self._region = len(self.regions) - 1
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if tag in VOID or tag not in CONTAINER:
-            self.handle_starttag(tag, attrs)
-        else:  # HTML ignores the slash
-            self.handle_starttag(tag, attrs)
+        self.handle_starttag(tag, attrs)  # HTML ignores the slash
 
     def handle_endtag(self, tag: str) -> None:
         self._tags += 1
+        if tag == "a":
+            self._in_link = False
         if tag in BLOCK:
             self.flush()
-        if tag in CONTAINER:
-            for depth in range(len(self._stack) - 1, -1, -1):
-                if self._stack[depth][0] == tag:
-                    if any(t in BLOCK for t, _, _ in self._stack[depth:]):
-                        self.flush()
-                    _, self._region, self._dropped = self._stack[depth]
-                    del self._stack[depth:]
-                    break
+        if not self._open[tag]:  # nothing to close: the stack is not searched
+            return
+        above = []
+        while not above or above[-1] != tag:
+            name, region, dropped, marks = self._stack.pop()
+            self._open[name] -= 1
+            above.append(name)
+        if any(name in BLOCK for name in above):
+            self.flush()
+        self._region, self._dropped, self._marks = region, dropped, marks
 
     def handle_data(self, data: str) -> None:
         if not self._dropped:
             self._text.append(data)
+            if self._in_link:
+                self._linked += len(data)
 
     def close(self) -> None:
-        super().close()
+        """The end of the page; a tag or comment that it leaves open is no text, and is not searched again."""
+        if not _OPEN_MARKUP.match(self.rawdata):
+            super().close()
         self.flush()
 
 
@@ -159,9 +182,9 @@ def smoothed(ratios: np.ndarray) -> np.ndarray:
     return padded / np.convolve(np.ones(len(ratios)), kernel)[RADIUS : RADIUS + len(ratios)]
 
 
-def content_lines(lines: list[Line]) -> np.ndarray:
-    """Lines whose smoothed text-to-tag ratio is in the upper of two clusters, split where they balance."""
-    ratio = smoothed(np.array([len(line.text) / max(line.tags, 1) for line in lines], dtype=float))
+def content_lines(lines: list[Line], prior: np.ndarray | float = 1.0) -> np.ndarray:
+    """Lines whose smoothed text-to-tag ratio, times its prior, is in the upper of two clusters, split where they balance."""
+    ratio = smoothed(np.array([len(line.text) / max(line.tags, 1) for line in lines], dtype=float) * prior)
     cut = ratio.mean()
     for _ in range(20):
         low, high = ratio[ratio < cut], ratio[ratio >= cut]
@@ -174,96 +197,119 @@ def content_lines(lines: list[Line]) -> np.ndarray:
     return ratio >= min(cut, ratio.max())
 
 
-def _roots(regions: list[Region]) -> list[int]:
-    """For each region the outermost one around it that stands beside the article, or -1."""
+def _within(regions: list[Region], sums: list[int]) -> list[int]:
+    """Sums over each region and all regions in it; those follow it in the list."""
+    sums = list(sums)
+    for at in range(len(regions) - 1, 0, -1):
+        sums[regions[at].parent] += sums[at]
+    return sums
+
+
+def _outermost(regions: list[Region], here: list[bool]) -> list[int]:
+    """For each region the outermost one around it, or it itself, that is ``here``; -1 if none is."""
     found: list[int] = []
     for at, region in enumerate(regions):
         above = found[region.parent] if region.parent >= 0 else -1
-        found.append(above if above >= 0 else (at if region.beside else -1))
+        found.append(above if above >= 0 else (at if here[at] else -1))
     return found
 
 
-def _without_beside(page: Page) -> list[Line]:
-    """Lines outside of what by its name stands beside the article; their tags count for the line after them.
+def _free_heavy(page: Page, in_article: list[bool]) -> None:
+    """Where no article or main is left outside of what stands beside, names of heavy elements stop to count.
 
-    Where no article or main is left, a name does not count for an element that has more than half
-    of the text, if the name is loose or the element holds an article or main of its own.
+    Such an element has more than half of the text, and its name is loose or it holds an article or main of its
+    own.  Elements that heavy lie in each other, so they are freed from the outermost on until an article shows.
     """
     regions = page.regions
+    nearest: list[int] = []
+    for at, region in enumerate(regions):
+        nearest.append(at if region.beside else (nearest[region.parent] if region.parent >= 0 else -1))
+    size, marked = [0] * len(regions), [0] * len(regions)
+    shows: set[int] = set()
+    for line in page.lines:
+        size[line.region] += len(line.text)
+        if in_article[line.region]:
+            marked[line.region] += 1
+            shows.add(nearest[line.region])
+    size, marked = _within(regions, size), _within(regions, marked)
+    if -1 in shows:
+        return
+    for at, region in enumerate(regions):
+        if region.beside and 2 * size[at] > size[0]:
+            if not marked[at] and region.beside != LOOSE:
+                return
+            region.beside = 0
+            if at in shows:
+                return
+
+
+def _without_beside(page: Page) -> list[Line]:
+    """Lines outside of what by its name stands beside the article; their tags count for the line after them."""
+    regions = page.regions
     in_article: list[bool] = []
     for region in regions:
         own = region.main and region.beside != EXACT
         in_article.append(own or region.parent >= 0 and in_article[region.parent])
-    while True:
-        root = _roots(regions)
-        if any(in_article[line.region] and root[line.region] < 0 for line in page.lines):
-            break
-        size = np.zeros(len(regions), dtype=np.int64)
-        holds = np.zeros(len(regions), dtype=bool)
-        for line in page.lines:
-            if root[line.region] >= 0:
-                size[root[line.region]] += len(line.text)
-                holds[root[line.region]] |= in_article[line.region]
-        total = sum(len(line.text) for line in page.lines)
-        heavy = [at for at in np.flatnonzero(size * 2 > total).tolist() if holds[at] or regions[at].beside == LOOSE]
-        if not heavy:
-            break
-        regions[heavy[0]].beside = 0
+    _free_heavy(page, in_article)
+    root = _outermost(regions, [bool(r.beside) for r in regions])
     kept, tags = [], 0
     for line in page.lines:
         tags += line.tags
         if root[line.region] < 0:
-            kept.append(Line(line.region, line.text, tags))
+            kept.append(Line(line.region, line.text, tags, line.linked))
             tags = 0
     return kept
 
 
+def _chosen(regions: list[Region], marked: list[int], content: list[int], links: list[bool]) -> tuple[set[int], set[int]]:
+    """Regions whose lines are the article, and those around them whose own lines are as well.
+
+    ``content`` counts the letters of content lines in each region.  Marked regions, but for those of links, are chosen
+    while they hold ``BELIEVED`` of it together; otherwise, and without marks, the innermost region with ``INNER`` of it.
+    """
+    roots = {at for at, root in enumerate(marked) if root == at and not links[at]}
+    if roots and sum(content[at] for at in roots) >= BELIEVED * content[0]:
+        return roots, set()
+    # Each of these holds more than half, so they lie in each other.
+    chain = [at for at, region in enumerate(regions) if content[at] >= INNER * content[0] and not region.is_list]
+    return {chain[-1]}, set(chain[:-1])
+
+
 def main_text(html: str | None) -> str:
     """The article of a page: lines of the regions that the content clusters lie in, joined by empty lines.
 
-    The clusters choose regions, not lines: all marked regions (article, main); without marks the innermost element
-    that holds nine tenths of the content, and what stands directly in the elements around it, such as a
-    headline.  All lines of a chosen region are kept, short ones as well.
+    The clusters of smoothed ratios, to which marks (article, main) are a prior, say which lines are content.  They
+    choose the regions (``_chosen``) and, within these, leave out regions of links: such as have more than
+    half of their text in links and less than half of it in content lines.  All other lines of a chosen region are kept, short ones as well,
+    and so is what stands directly in the elements around it, such as a headline.  The time taken grows with the
+    length of the page, however deep its elements nest.
     """
     page = Page()
     page.feed(html or "")
     page.close()
-    page.lines = _without_beside(page)
-    if not page.lines:
+    lines = _without_beside(page)
+    if not lines:
         return ""
-    content = content_lines(page.lines)
-    weight = np.zeros(len(page.regions))
-    outer = np.full(len(page.regions), -1)
-    for at, region in enumerate(page.regions):
-        above = outer[region.parent] if region.parent >= 0 else -1
-        outer[at] = above if above >= 0 else (at if region.main else -1)
-    for line, is_content in zip(page.lines, content, strict=True):
-        at = line.region
-        while at >= 0:
-            weight[at] += len(line.text) * bool(is_content)
-            at = page.regions[at].parent
-    chosen = {int(outer[line.region]) for line in page.lines if outer[line.region] >= 0}
-    around: set[int] = set()
-    if not chosen:
-        at = 0
-        while True:
-            inner = [k for k, r in enumerate(page.regions) if r.parent == at and weight[k] >= 0.9 * weight[0] > 0]
-            if not inner:
-                break
-            around.add(at)
-            at = inner[0]
-        chosen = {at}
-
-    def kept(at: int) -> bool:
-        if at in around:
-            return True
-        while at >= 0:
-            if at in chosen:
-                return True
-            at = page.regions[at].parent
-        return False
-
-    return "\n\n".join(line.text for line in page.lines if kept(line.region))
+    regions = page.regions
+    marked = _outermost(regions, [r.main for r in regions])
+    prior = np.array([PRIOR if marked[line.region] >= 0 else 1.0 for line in lines])
+    own, text, linked = [0] * len(regions), [0] * len(regions), [0] * len(regions)
+    for line, is_content in zip(lines, content_lines(lines, prior), strict=True):
+        own[line.region] += len(line.text) * bool(is_content)
+        text[line.region] += len(line.text)
+        linked[line.region] += line.linked
+    content, text, linked = _within(regions, own), _within(regions, text), _within(regions, linked)
+    if not content[0]:
+        return ""
+    links = [2 * n > t and 2 * c < t for c, n, t in zip(content, linked, text, strict=True)]
+    chosen, around = _chosen(regions, marked, content, links)
+    kept: list[bool] = []
+    inside: list[bool] = []
+    for at, region in enumerate(regions):
+        within = region.parent >= 0 and inside[region.parent] and not links[at]
+        inside.append(at in chosen or within)
+        kept.append(inside[at] or at in around)
+    return "\n\n".join(line.text for line in lines if kept[line.region])
 
 
 def extract(pages: DataFrame) -> DataFrame:

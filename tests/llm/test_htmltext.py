@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 
 from sanitaria.llm.htmltext import extract, main_text, smoothed
@@ -75,3 +77,32 @@ def test_table(spark):
     assert [(r["page_id"], r["text"], r["n_chars"]) for r in got[:1]] == [(1, CLEAN, len(CLEAN))]
     assert [r["text"] for r in got[1:]] == ["", ""] and len(got) == 3
     assert extract(spark.createDataFrame([], schema)).count() == 0
+
+
+LONG = "long text of the article that goes on and on " * 10
+LINKS = "".join(f"<li><a href=x{k}>Other story {k}</a></li>" for k in range(12))
+
+
+def test_ratios_decide_over_marks(monkeypatch):
+    cards = "".join(f"<article class=card><a href=x><b>Card</b> <i>{k}</i></a></article>" for k in range(12))
+    body = "".join(f"<p>{k} {LONG}</p>" for k in range(4))
+    text = "\n\n".join(f"{k} {LONG.strip()}" for k in range(4))
+    assert main_text(page(f"{cards}<div class=story>{body}</div>")) == text
+    assert main_text(page(f"<div>{cards}</div><div><h1>Head</h1>{body}</div><div>{cards}</div>")) == f"Head\n\n{text}"
+    with_links = page(f"<article>{body}<ul>{LINKS}</ul></article>")
+    assert main_text(with_links) == text
+    plain_list = "".join(f"<li>Point {k}</li>" for k in range(12))
+    points = "\n\n".join(f"Point {k}" for k in range(12))
+    assert main_text(page(f"<article>{body}<ul>{plain_list}</ul></article>")) == f"{text}\n\n{points}"
+    assert main_text(page(f"<article><ul>{LINKS}</ul></article>")).count("Other story") == 12
+    monkeypatch.setattr("sanitaria.llm.htmltext.content_lines", lambda lines, prior: np.ones(len(lines), dtype=bool))
+    assert main_text(with_links) != text
+
+
+def test_odd_pages_take_linear_time():
+    begun = time.process_time()
+    for piece in ('<a b="', "<!--", "<div>x", "<div class=menu>x", "</section><div>y", "<article>", "<![CDATA[", "<!x "):
+        main_text(page(f"<article><p>{LONG}</p></article>") + piece * 20_000)
+        main_text(piece * 20_000 + f"<p>{LONG}</p>" + "</div>" * 20_000)
+    assert time.process_time() - begun < 40
+    assert main_text("<article><p>Whole.</p></article><p>cut <a href='") == "Whole."
