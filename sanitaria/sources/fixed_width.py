@@ -1,14 +1,15 @@
 """Fixed-width record files (DBF) as a splittable Spark data source.
 
 Records have one length, so a file is cut at record boundaries and every task
-reads its own byte range.  Files are opened through Arrow file systems: a shared
+reads its own records.  The driver lists files and cuts them by their sizes alone; headers are
+opened by the tasks.  Files are opened through Arrow file systems: a shared
 mount or any storage Arrow has a driver for.
 """
 
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -76,11 +77,14 @@ def read_layout(path: str) -> Layout:
 
 @dataclass(frozen=True)
 class RecordRange:
-    """Records of one file; ``count`` is None for the whole file."""
+    """Share ``part`` of ``parts`` nearly equal ones of a file's records; which these are its header tells the task."""
 
     path: str
-    first: int = 0
-    count: int | None = None
+    part: int = 0
+    parts: int = 1
+
+    def records(self, layout: Layout) -> range:
+        return range(layout.records * self.part // self.parts, layout.records * (self.part + 1) // self.parts)
 
 
 @dataclass
@@ -97,15 +101,13 @@ class RecordReader(DataSourceReader):
         self.batch = int(options.get("batchrecords", 65_536))
 
     def partitions(self) -> list[RecordRanges]:
-        """Large files are cut, small ones packed together; only large ones are opened here."""
+        """Large files are cut, small ones packed together, by their sizes; no file is opened."""
         tasks: list[RecordRanges] = []
         room = 0
         for path, size in record_files(self.path):
             if size > self.split_bytes:
-                layout = read_layout(path)
-                step = max(1, self.split_bytes // layout.width)
-                for at in range(0, layout.records, step):
-                    tasks.append(RecordRanges([RecordRange(path, at, min(step, layout.records - at))]))
+                parts = -(-size // self.split_bytes)
+                tasks += [RecordRanges([RecordRange(path, part, parts)]) for part in range(parts)]
                 room = 0
             elif size > room:
                 tasks.append(RecordRanges([RecordRange(path)]))
@@ -124,13 +126,13 @@ class RecordReader(DataSourceReader):
         import pyarrow as pa
 
         layout = read_layout(part.path)
-        count = layout.records if part.count is None else part.count
+        own = part.records(layout)
         place = {name: (offset, length) for name, offset, length in layout.fields}
         system, location = _file_system(part.path)
         with system.open_input_file(location) as file:
-            file.seek(layout.header + part.first * layout.width)
-            for start in range(0, count, self.batch):
-                n = min(self.batch, count - start)
+            file.seek(layout.header + own.start * layout.width)
+            for start in range(0, len(own), self.batch):
+                n = min(self.batch, len(own) - start)
                 records = np.frombuffer(file.read(n * layout.width), dtype=np.uint8).reshape(-1, layout.width)
                 records = records[records[:, 0] != DELETED]
                 columns = [
@@ -158,6 +160,31 @@ class RecordReader(DataSourceReader):
         return pc.utf8_trim(text, characters=" \x00")
 
 
+def field_names(path: str) -> list[str]:
+    return [name for name, _, _ in read_layout(path).fields]
+
+
+def record_schema(names: Iterable[str]) -> StructType:
+    return StructType([StructField(name, StringType()) for name in [*dict.fromkeys(names), FILE_COLUMN]])
+
+
+def layouts(spark: SparkSession, path: str) -> DataFrame:
+    """``names, first, files``: the distinct field lists of all files, the first file of each and how many have it.
+
+    Headers are opened by tasks, some hundred files each; files are told apart only by their names in order.
+    """
+    files = [(found,) for found, _ in record_files(path)]
+    tasks = max(1, min(len(files), spark.sparkContext.defaultParallelism, -(-len(files) // 100)))
+
+    def opened(batches):
+        for batch in batches:
+            yield batch.assign(names=[field_names(p) for p in batch["path"]])
+
+    listed = spark.createDataFrame(files, "path string").repartition(tasks)
+    found = listed.mapInPandas(opened, "path string, names array<string>")
+    return found.groupBy("names").agg(F.min("path").alias("first"), F.count("*").alias("files"))
+
+
 class FixedWidthRecords(DataSource):
     """``spark.read.format("fixed_width_records").load(path)``; all columns are text."""
 
@@ -166,11 +193,8 @@ class FixedWidthRecords(DataSource):
         return FORMAT
 
     def schema(self) -> StructType:
-        """Field names of all files, in order of first appearance."""
-        names: dict[str, None] = {}
-        for path, _ in record_files(self.options["path"]):
-            names.update({name: None for name, _, _ in read_layout(path).fields})
-        return StructType([StructField(name, StringType()) for name in [*names, FILE_COLUMN]])
+        """Field names of all files, in order of first appearance; ``scan_fixed_width`` has tasks read the headers."""
+        return record_schema(name for path, _ in record_files(self.options["path"]) for name in field_names(path))
 
     def reader(self, schema: StructType) -> RecordReader:
         return RecordReader(schema, dict(self.options))
@@ -181,10 +205,13 @@ def scan_fixed_width(
 ) -> DataFrame:
     """Record files as landing rows: text columns plus ``uf``, ``source_file`` and ``piece``.
 
-    Give ``schema`` for folders of many files: it spares reading every header
-    to learn the field names.
+    Without ``schema`` a job reads the headers for the field names; the driver gets one row for each distinct
+    layout, of which a published series has a few.  Files themselves are opened by tasks only.
     """
     spark.dataSource.register(FixedWidthRecords)
-    reader = spark.read.format(FORMAT).options(**options)
-    rows = (reader.schema(schema) if schema is not None else reader).load(path if isinstance(path, str) else "\n".join(path))
+    where = path if isinstance(path, str) else "\n".join(path)
+    if schema is None:
+        known = sorted(layouts(spark, where).collect(), key=lambda r: r["first"])
+        schema = record_schema(name for layout in known for name in layout["names"])
+    rows = spark.read.format(FORMAT).options(**options).schema(schema).load(where)
     return with_origin(as_text(rows), system, F.col(FILE_COLUMN)).drop(FILE_COLUMN)

@@ -3,11 +3,12 @@ import struct
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from sanitaria.operators.transform import transform
 from sanitaria.sinks import manifest as M
 from sanitaria.sources import dimensions as D
-from sanitaria.sources.fixed_width import RecordReader, read_layout, scan_fixed_width
+from sanitaria.sources.fixed_width import RecordReader, layouts, read_layout, scan_fixed_width
 from sanitaria.sources.landing import header_name, scan_landing
 from sanitaria.sources.store import scan_store
 from sanitaria.operators import stats_cache as S
@@ -39,19 +40,36 @@ def test_fixed_width_records(spark, root):
     assert set(by_code) == {r[0] for i, r in enumerate(rows) if i not in (3, 500)}
 
 
-def test_fixed_width_splits_cover_every_record(spark, root):
-    from pyspark.sql.types import StringType, StructField, StructType
-
+def test_fixed_width_splits_cover_every_record(spark, root, monkeypatch):
     path = f"{root}/DOSP2020.dbf"
     write_dbf(path, ["A"], [(f"{i:05d}",) for i in range(777)])
     reader = RecordReader(StructType([StructField("a", StringType())]), {"path": root, "splitbytes": "100"})
-    parts = reader.partitions()
-    width = read_layout(path).width
-    assert len(parts) > 10 and sum(p.ranges[0].count for p in parts) == 777 and width == 6
+    layout = read_layout(path)
+    with monkeypatch.context() as closed:
+        closed.setattr("sanitaria.sources.fixed_width.read_layout", lambda path: pytest.fail("opened while planning"))
+        parts = reader.partitions()
+    shares = [p.ranges[0].records(layout) for p in parts]
+    assert len(parts) > 10 and [k for share in shares for k in share] == list(range(777)) and layout.width == 6
+    assert max(map(len, shares)) - min(map(len, shares)) <= 1
     read = [v for p in parts for batch in reader.read(p) for v in batch.column(0).to_pylist()]
     assert read == [f"{i:05d}" for i in range(777)]
     packed = RecordReader(StructType([StructField("a", StringType())]), {"path": root}).partitions()
-    assert len(packed) == 1 and packed[0].ranges[0].count is None
+    assert len(packed) == 1 and packed[0].ranges[0].parts == 1
+
+
+def test_fixed_width_headers_are_read_by_tasks(spark, root, monkeypatch):
+    rows = [("1", "2")]
+    for year in range(2000, 2006):
+        write_dbf(f"{root}/DOSP{year}.dbf", ["A", "B"] if year < 2004 else ["B", "C"], rows)
+    found = {tuple(r.names): (r.first.rsplit("/", 1)[1], r.files) for r in layouts(spark, root).collect()}
+    assert found == {("a", "b"): ("DOSP2000.dbf", 4), ("b", "c"): ("DOSP2004.dbf", 2)}
+    monkeypatch.setattr("sanitaria.sources.fixed_width.field_names", lambda path: pytest.fail("opened by the driver"))
+    scanned = scan_fixed_width(spark, "sim", root, StructType([StructField(n, StringType()) for n in ("b", "__file")]))
+    assert sorted(r.b for r in scanned.collect()) == ["1"] * 2 + ["2"] * 4
+    monkeypatch.undo()
+    assert scan_fixed_width(spark, "sim", root).columns[:3] == ["a", "b", "c"]
+    os.makedirs(f"{root}-none")
+    assert scan_fixed_width(spark, "sim", f"{root}-none").count() == 0
 
 
 def test_header_names():
