@@ -30,6 +30,17 @@ def chunks(texts: Sequence[bytes], size: int = CHUNK) -> Iterator[tuple[int, int
         yield start, len(texts)
 
 
+def slices(batch, at: int, size: int = CHUNK) -> Iterator:
+    """A record batch in parts of about ``size`` bytes of its text column ``at``, so that few texts become objects at once."""
+    import pyarrow.compute as pc
+
+    lengths = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = np.cumsum(lengths) // size
+    edges = [*np.flatnonzero(np.diff(part, prepend=-1)).tolist(), len(part)]
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        yield batch.slice(a, b - a)
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     """Bits spread over 64, in place."""
     h ^= h >> np.uint64(32)

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sanitaria.llm.bytewords import ByteWords, chunks, encoded, mixed
+from sanitaria.llm.bytewords import ByteWords, encoded, mixed, slices
 from sanitaria.llm.common import Scratch, free_name, head_words, lower_words_of, word_counts
 from sanitaria.llm.components import connected_components
 
@@ -18,6 +18,8 @@ HEAD = 131_072
 #: Ids that are sent to every executor at most, to pick out texts; more are joined.
 BROADCAST_IDS = 1_000_000
 NULL_ID = -(2**63)
+#: Shingles of texts that a verifying task keeps for the next pairs, about.
+CACHED = 200_000
 
 
 def shingle_sets(texts: Sequence[bytes], words: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -65,12 +67,14 @@ def prefixes(docs: DataFrame, head: tuple[np.ndarray, np.ndarray], words: int, p
     """
     hashes, counts = head
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    fields = {"n": pa.int32(), "sig": pa.int64(), "sig2": pa.int64(), "prefix": pa.list_(pa.int64())}
+    fields |= {b: pa.int64() for b in BITS}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [encoded(t) for t in batch["text"]]
-            rows = []
-            for a, b in chunks(texts):
-                for value, parts in shingle_sets(texts[a:b], words):
+            for own in slices(batch, 1):
+                rows = []
+                for value, parts in shingle_sets([encoded(t) for t in own.column(1).to_pylist()], words):
                     n = len(value)
                     if not n:
                         rows.append((0, 0, 0, np.zeros(0, np.int64), 0, 0, 0, 0))
@@ -84,11 +88,12 @@ def prefixes(docs: DataFrame, head: tuple[np.ndarray, np.ndarray], words: int, p
                     order = np.lexsort((value, rarity))[:kept]
                     sig = int(mixed(value.copy()).sum(dtype=np.uint64).astype(np.int64))
                     rows.append((n, sig, _signatures(value), value[order].astype(np.int64), *_parities(value)))
-            found = pd.DataFrame(rows, columns=["n", "sig", "sig2", "prefix", *BITS])
-            yield pd.concat([batch[["id"]].reset_index(drop=True), found], axis=1)
+                found = [pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), fields.values(), strict=True)]
+                yield pa.RecordBatch.from_arrays([own.column(0), *found], names=["id", *fields])
 
     bits = ", ".join(f"{b} bigint" for b in BITS)
-    return docs.mapInPandas(run, f"id bigint, n int, sig bigint, sig2 bigint, prefix array<bigint>, {bits}")
+    schema = f"id bigint, n int, sig bigint, sig2 bigint, prefix array<bigint>, {bits}"
+    return docs.select("id", "text").mapInArrow(run, schema)
 
 
 def _shingles(text: str, words: int) -> frozenset[tuple[bytes, ...]]:
@@ -106,22 +111,28 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
         .select("a", "b", "text_a", "text_b")
     )
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sets: dict[str, frozenset] = {}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets: dict[str, frozenset] = {}
+        held = 0
+        for own in (part for batch in batches for part in slices(batch, 2)):
             keep = []
-            for left, right in zip(batch["text_a"], batch["text_b"], strict=True):
+            for left, right in zip(own.column(2).to_pylist(), own.column(3).to_pylist(), strict=True):
+                both = []
                 for text in (left, right):
-                    if text not in sets:
-                        if len(sets) >= 128:
+                    found = sets.get(text)
+                    if found is None:
+                        if held >= CACHED:
                             sets.clear()
-                        sets[text] = _shingles(text, words)
-                x, y = (sets.get(t) or _shingles(t, words) for t in (left, right))
-                both = len(x & y)
-                keep.append(bool(both) and 100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.loc[keep, ["a", "b"]]
-
-    return joined.mapInPandas(run, "a bigint, b bigint")
+                            held = 0
+                        found = sets[text] = _shingles(text, words)
+                        held += len(found)
+                    both.append(found)
+                x, y = both
+                shared = len(x & y)
+                keep.append(bool(shared) and 100 * shared >= percent * (len(x) + len(y) - shared))
+            yield own.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return joined.mapInArrow(run, "a bigint, b bigint")
 
 
 def _needed(n_a: Column, n_b: Column, percent: int) -> Column:

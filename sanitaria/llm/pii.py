@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sanitaria.llm.bytewords import ByteWords, chunks, encoded
+from sanitaria.llm.bytewords import ByteWords, chunks, encoded, slices
 
 # The patterns of the base kinds, in the order of the kinds.
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -501,13 +501,13 @@ def mask_private(docs: DataFrame, field: Field | None = None) -> DataFrame:
     def in_arrow(batches):
         import pyarrow as pa
 
-        for batch in batches:
-            texts = batch.column(at).to_pylist()
+        for own in (part for batch in batches for part in slices(batch, at)):
+            texts = own.column(at).to_pylist()
             found = all_spans([t or "" for t in texts], field)
             new = [None if t is None else masked(t, spans) for t, (_, spans) in zip(texts, found, strict=True)]
-            columns = [*batch.columns]
-            columns[at] = pa.array(new, batch.schema.field(at).type)
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+            columns = [*own.columns]
+            columns[at] = pa.array(new, own.schema.field(at).type)
+            yield pa.RecordBatch.from_arrays(columns, names=own.schema.names)
 
     out = docs.mapInArrow(in_arrow, docs.schema)
     if "n_chars" in docs.columns:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sanitaria.llm.bytewords import ByteWords, chunks, encoded
+from sanitaria.llm.bytewords import ByteWords, encoded, slices
 
 #: Hash slots of word features (single words and pairs) and of character features (three bytes).
 WORD_SLOTS = CHAR_SLOTS = 1 << 13
@@ -130,8 +130,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """The model from at most ``sample`` labelled documents of each class.
 
     Texts stay on the executors; the driver gets at most ``2 * sample`` hashed vectors of
-    ``SLOTS`` entries at most: of several rows with one id the smallest vector, chosen where the rows are.  Rows with a null label or id are no labels; no labels at all give
-    a model that rejects nothing.
+    ``SLOTS`` entries at most: of several rows with one id the smallest vector, chosen where the rows are.  Rows
+    with a null label or id are no labels; no labels at all give a model that rejects nothing.
     """
     usable = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "quality")
     chosen = [
@@ -194,15 +194,13 @@ def quality(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Data
         import pyarrow as pa
 
         for batch in batches:
-            texts = [encoded(t) for t in batch.column(at).to_pylist()]
-            for a, b in chunks(texts):
-                part = texts[a:b]
+            for own in slices(batch, at):
+                part = [encoded(t) for t in own.column(at).to_pylist()]
                 probability = model.probabilities(part)
                 rows = np.array([(len(t.split()), *counts(t)) for t in part], dtype=np.int64)
                 failed = (rows[:, 0] < MIN_WORDS) | (100 * rows[:, 4] > MAX_REPEAT_PERCENT * rows[:, 0])
                 kept = ~failed & (probability >= threshold)
                 more = [pa.array(rows[:, k]) for k in range(5)] + [pa.array(failed), pa.array(probability), pa.array(kept)]
-                own = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*own.columns, *more], names=[*own.schema.names, *names])
 
     return plain.mapInArrow(judge, schema)
@@ -219,10 +217,10 @@ def good_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD)
         import pyarrow as pa
 
         for batch in batches:
-            texts = [encoded(t) for t in batch.column(at).to_pylist()]
             kept: list[bool] = []
-            for a, b in chunks(texts):
-                for text, probability in zip(texts[a:b], model.probabilities(texts[a:b]), strict=True):
+            for own in slices(batch, at):
+                texts = [encoded(t) for t in own.column(at).to_pylist()]
+                for text, probability in zip(texts, model.probabilities(texts), strict=True):
                     n = len(text.split())
                     passed = n >= MIN_WORDS and probability >= threshold
                     kept.append(bool(passed and 100 * counts(text)[3] <= MAX_REPEAT_PERCENT * n))

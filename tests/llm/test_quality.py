@@ -82,3 +82,17 @@ def test_a_labelled_id_of_many_rows_counts_once(spark):
     once = q.train(documents(spark, rows), labels)
     again = q.train(documents(spark, rows + [rows[3]] * 500), labels)
     assert np.allclose(once.weights, again.weights) and once.slope == again.slope
+
+
+def test_slices_cover_a_batch():
+    import pyarrow as pa
+
+    from sanitaria.llm.bytewords import slices
+
+    texts = ["é" * 40, None, "", "x" * 300, "y", "z" * 99, None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(texts)], names=["k", "text"])
+    for size in (1, 50, 100, 10_000):
+        parts = list(slices(batch, 1, size))
+        assert [t for p in parts for t in p.column(1).to_pylist()] == texts and all(p.num_rows for p in parts)
+        assert all(sum(len((t or "").encode()) for t in p.column(1).to_pylist()[1:]) < size for p in parts)
+    assert list(slices(batch.slice(0, 0), 1)) == [] and len(list(slices(batch.slice(1, 2), 1))) == 1
