@@ -117,8 +117,9 @@ class RecordReader(DataSourceReader):
                 room -= size
         return tasks
 
-    def read(self, partition: RecordRanges) -> Iterator:
-        for part in partition.ranges:
+    def read(self, partition: RecordRanges | None) -> Iterator:
+        """Without any file Spark runs one task, which has no ranges."""
+        for part in partition.ranges if partition else ():
             yield from self._records(part)
 
     def _records(self, part: RecordRange) -> Iterator:
