@@ -6,9 +6,11 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sanitaria.llm.bytewords import slices
 from sanitaria.session import remove_folder, scratch_dir
 
 #: Entries of a task's partial word counts before they are sent on.
@@ -87,17 +89,23 @@ def word_counts(docs: DataFrame, lower: bool = True, text: str = "text") -> Data
     """
     split = lower_words_of if lower else words_of
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sent(counts: Counter[bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(counts, pa.binary(), size=len(counts)), pa.array(counts.values(), pa.int64(), size=len(counts))],
+            names=["word", "n"],
+        )
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[bytes] = Counter()
-        for batch in batches:
-            for value in batch["text"]:
+        for own in (part for batch in batches for part in slices(batch, 0)):
+            for value in own.column(0).to_pylist():
                 counts.update(split(value))
                 if len(counts) >= FLUSH_WORDS:
-                    yield pd.DataFrame({"word": list(counts), "n": list(counts.values())})
+                    yield sent(counts)
                     counts.clear()
-        yield pd.DataFrame({"word": list(counts), "n": list(counts.values())})
+        yield sent(counts)
 
-    parts = docs.select(F.col(text).alias("text")).mapInPandas(count, "word binary, n bigint")
+    parts = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(count, "word binary, n bigint")
     return parts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
