@@ -152,8 +152,8 @@ def store(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STORES:
         root = scratch_dir(spark, "store")
-        write_store(transform(views.admissions(spark, sf_dir), "sihsus"), root, "sihsus", rebalance=True)
-        write_store(transform(views.deaths(spark, sf_dir), "sim"), root, "sim", rebalance=True)
+        write_store(transform(views.admissions(spark, sf_dir), "sihsus", fill=False), root, "sihsus", rebalance=True, fill=True)
+        write_store(transform(views.deaths(spark, sf_dir), "sim", fill=False), root, "sim", rebalance=True, fill=True)
         views.municipalities(spark, sf_dir).coalesce(1).write.parquet(municipality_path(root))
         _STORES[key] = root
     return _STORES[key]

@@ -41,14 +41,15 @@ def _counts(df, *columns, by=("uf",)):
 def write_and_read(spark, sf):
     """Load all raw admissions into a fresh state-partitioned store."""
     root = scratch_dir(spark, "snk01")
-    write_store(transform(V.admissions(spark, sf), "sihsus"), root, "sihsus", rebalance=True)
+    write_store(transform(V.admissions(spark, sf), "sihsus", fill=False), root, "sihsus", rebalance=True, fill=True)
     return _counts(scan_store(spark, root, "sihsus"), "munic_res", "dt_inter")
 
 
 @register("snk_01_write_deaths", f"WITH {R.DEATHS} SELECT uf, {_DEATH_COUNTS} FROM dth GROUP BY uf")
 def write_and_read_deaths(spark, sf):
     root = scratch_dir(spark, "snk01d")
-    write_store(transform(V.deaths(spark, sf), "sim"), root, "sim", compression="snappy", rebalance=True)
+    typed = transform(V.deaths(spark, sf), "sim", fill=False)
+    write_store(typed, root, "sim", compression="snappy", rebalance=True, fill=True)
     return _counts(scan_store(spark, root, "sim"), "codmunres", "dtobito")
 
 

@@ -18,9 +18,18 @@ RACE_COLUMNS = ("raca_cor", "racacor")
 
 
 def clean_columns(df: DataFrame, upper: bool = False) -> DataFrame:
-    """Every column as clean text under its lower-case name."""
-    rule = C.clean_upper if upper else C.clean
-    return df.select([rule(C.quoted(name)).alias(name.lower()) for name in df.columns])
+    """Every column as clean text under its lower-case name.
+
+    ``C.clean`` in its three steps, one projection each: every step uses its value several times and would
+    otherwise compute all steps before it as often.
+    """
+    if upper:
+        return df.select([C.clean_upper(C.quoted(name)).alias(name.lower()) for name in df.columns])
+    rows = df
+    for step in (C.visible, C.trim_spaces, C.not_empty):
+        made = [step(C.quoted(name)) for name in rows.columns]
+        rows = rows.select([c.alias(name.lower()) for c, name in zip([*map(C.apart, made[:1]), *made[1:]], rows.columns)])
+    return rows
 
 
 def typed_column(system: System, name: str) -> Column:
@@ -48,12 +57,13 @@ def typed_column(system: System, name: str) -> Column:
 
 
 def canonicalize(
-    cleaned: DataFrame, system: str | System, raw: bool = False, keep: Sequence[str] = ()
+    cleaned: DataFrame, system: str | System, raw: bool = False, keep: Sequence[str] = (), fill: bool = True
 ) -> DataFrame:
     """All columns of the system's schema, in order.
 
     Columns the source lacks become typed NULLs, columns the schema lacks are
-    dropped, but for text columns in ``keep``.  ``raw`` keeps the clean text instead of typing it.
+    dropped, but for text columns in ``keep``.  ``raw`` keeps the clean text instead of typing it.  Without ``fill``
+    columns the source lacks are left out, for ``write_store`` to add (``fill``) when rows have been moved and sorted.
     """
     spec = get_system(system)
     present = [name for name in spec.fields if name in cleaned.columns]
@@ -61,14 +71,18 @@ def canonicalize(
     if raw:
         kinds = {name: T.StringType() for name in present}
         fields = [T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in spec.schema.fields]
+        fields = fields if fill else [f for f in fields if f.name in present]
         return cleaned.select([C.quoted(name) for name in (*present, *keep)]).to(T.StructType([*fields, *kept]))
     columns = {name: typed_column(spec, name) for name in present}
     if spec.encoded_age in present:
         age = C.quoted(spec.encoded_age)
         columns[f"{spec.encoded_age}_valor"] = C.age_value(age)
         columns[f"{spec.encoded_age}_unidade"] = C.age_unit(age)
+    for name in present[:1]:
+        columns[name] = C.apart(columns[name])
     typed = cleaned.select([column.alias(name) for name, column in columns.items()] + [C.quoted(name) for name in keep])
-    return typed.to(T.StructType([*spec.schema.fields, *kept]))
+    fields = [f for f in spec.schema.fields if fill or f.name in columns]
+    return typed.to(T.StructType([*fields, *kept]))
 
 
 def transform(
@@ -80,17 +94,18 @@ def transform(
     with_year: bool = False,
     drop_undated: bool = False,
     municipalities: DataFrame | None = None,
+    fill: bool = True,
 ) -> DataFrame:
     """Clean, type and decode raw rows into the canonical table; one projection, no shuffle.
 
     Every row is kept unless ``drop_undated`` asks to lose those with neither an
     admission nor a discharge date.  ``with_year`` adds ``ano_inter``;
-    ``municipalities`` adds the residence columns right away.
+    ``municipalities`` adds the residence columns right away; ``fill`` is that of ``canonicalize``.
     """
     spec = get_system(system)
     if (drop_undated or with_year) and not {"dt_inter", "dt_saida"} <= set(spec.fields):
         raise ValueError(f"{spec.name} has no admission and discharge dates")
-    result = canonicalize(clean_columns(df, upper), spec, raw)
+    result = canonicalize(clean_columns(df, upper), spec, raw, fill=fill)
     if drop_undated:
         result = _without_undated(result)
     if with_year:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sanitaria.functions import columns as C
 from sanitaria.sources.store import PIECE, read_or_none, store_layout, store_path, stored_files
@@ -16,6 +17,8 @@ CODECS = ("zstd", "snappy", "gzip")
 LEVELS = {"state": ["uf"], "file": ["uf", "source_file", PIECE]}
 #: The piece of rows that do not say which landing file they come from.
 WHOLE = "0"
+#: The folder of rows without a value of a level.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def write_store(
@@ -26,6 +29,7 @@ def write_store(
     compression: str = "zstd",
     rebalance: bool = False,
     by_file: bool = False,
+    fill: bool = False,
 ) -> int:
     """Write rows into the store of a system; gives the number of rows written.
 
@@ -36,6 +40,9 @@ def write_store(
     Landing files already belong to one state, and rows are written where they are.
     ``rebalance`` shuffles rows that do not: it gathers each folder into files of AQE's advisory
     size and splits one that outgrows it, so the largest state does not end in a single task.
+
+    ``fill`` adds the columns of the system's schema that the rows lack, typed NULLs, after rows were moved and sorted:
+    most sources have few of them, and sorting is what takes the memory of a writing task.
     """
     spec, layout = get_system(system), "file" if by_file else "state"
     if mode not in MODES:
@@ -49,10 +56,17 @@ def write_store(
         df = df.withColumn(PIECE, F.lit(WHOLE))
     levels, written = LEVELS[layout], Observation()
     rows = (df if by_file else df.drop(PIECE)).observe(written, F.count(F.lit(1)).alias("rows"))
+    # Levels without NULL, which are the same folders, spare the writer a sort of its own above the one below.
+    folder = lambda name: F.coalesce(F.nullif(C.quoted(name).cast("string"), F.lit("")), F.lit(NO_VALUE))
+    rows = rows.withColumns({name: folder(name) for name in levels})
     if rebalance:
         rows = rows.hint("rebalance", *levels)
-    if spec.order_by in df.columns:
-        rows = rows.sortWithinPartitions(*levels, C.quoted(spec.order_by).asc_nulls_last())
+    last = [C.quoted(spec.order_by).asc_nulls_last()] if spec.order_by in df.columns else []
+    rows = rows.sortWithinPartitions(*levels, *last)
+    if fill:
+        there = {f.name: f for f in rows.schema.fields}
+        fields = [there.pop(f.name, f) for f in spec.schema.fields]
+        rows = rows.to(T.StructType([*fields, *there.values()]))
     (
         rows.write.mode(MODES[mode])
         .option("partitionOverwriteMode", "dynamic")

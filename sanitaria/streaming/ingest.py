@@ -101,8 +101,8 @@ def load_batch(
             if n in cleaned.columns
         ]
         cleaned = cleaned.observe(losses, reduce(lambda a, b: a + b, lost).alias("lost"))
-    typed = canonicalize(cleaned, spec, raw, keep=[PIECE])
-    rows = write_store(typed, root, spec, "replace", rebalance=rebalance, by_file=True)
+    typed = canonicalize(cleaned, spec, raw, keep=[PIECE], fill=False)
+    rows = write_store(typed, root, spec, "replace", rebalance=rebalance, by_file=True, fill=True)
     if reload:
         drop_pieces(spark, root, spec, fresh, fresh)
         manifest.remove_files(fresh.select("source_file"), root, spec)
