@@ -116,9 +116,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows that one task of costly work gets at most, so that it takes the same memory however long the table is.
+DEALT_ROWS = 500_000
+
+
 def dealt(df: DataFrame) -> DataFrame:
-    """Narrow rows of one small file, dealt out before costly work on each."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    """Narrow rows of one small file, dealt out before costly work on each; the file's footer says how many there are."""
+    tasks = -(-df.count() // DEALT_ROWS)
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, tasks))
 
 
 def _view(spark: SparkSession, sf_dir: str, text: str, source: str, costly: bool = False) -> DataFrame:
