@@ -40,7 +40,8 @@ def _dbf_bytes(rows) -> bytes:
 def write_named_files(df: DataFrame, folder: str, kind: str) -> str:
     """One ``<stem>.<kind>`` per source file and task below ``folder``; gives the folder.
 
-    ``ragged`` writes ``csv`` files with lines that are no rows.
+    ``ragged`` writes ``csv`` files with lines that are no rows.  Rows of a task come file by file, so a delimited file is
+    written batch after batch; records of fixed width need the widths first, so each batch has files of its own.
     """
     encode, kind = {"csv": (_csv_bytes, "csv"), "dbf": (_dbf_bytes, "dbf"), "ragged": (_ragged_bytes, "csv")}[kind]
 
@@ -49,14 +50,23 @@ def write_named_files(df: DataFrame, folder: str, kind: str) -> str:
         from pyarrow.fs import FileSystem
 
         system, location = FileSystem.from_uri(folder)
-        task = TaskContext.get().partitionId()
+        task, current, file = TaskContext.get().partitionId(), None, None
         for number, batch in enumerate(batches):
-            place = f"{location}/t{task:05d}-{number:05d}"
+            place = f"{location}/t{task:05d}" + (f"-{number:05d}" if kind == "dbf" else "")
             system.create_dir(place, recursive=True)
             for name, rows in batch.groupby("source_file"):
-                with system.open_output_stream(f"{place}/{name.replace('.dbc', '.' + kind)}") as file:
-                    file.write(encode(rows.drop(columns=["uf", "source_file"])))
+                content, path = encode(rows.drop(columns=["uf", "source_file"])), f"{place}/{name.replace('.dbc', '.' + kind)}"
+                if path == current:
+                    file.write(content.split(b"\n", 1)[1])  # has its header
+                    continue
+                if file:
+                    file.close()
+                current, file = path, system.open_output_stream(path)
+                file.write(content)
             yield pd.DataFrame({"n": [len(batch)]})
+        if file:
+            file.close()
 
-    df.hint("rebalance", "source_file").mapInPandas(write, "n bigint").agg({"n": "sum"}).collect()
+    rows = df.hint("rebalance", "source_file").sortWithinPartitions("source_file")
+    rows.mapInPandas(write, "n bigint").agg({"n": "sum"}).collect()
     return folder

@@ -125,20 +125,19 @@ def _undecoded(rows: DataFrame) -> Column:
 def _lines(spark: SparkSession, group: list[str], encoding: str) -> DataFrame:
     """``path, line, text`` of all lines that are not blank, numbered from the header's 1, file by file.
 
-    A file is read in blocks by many tasks; lines are numbered within each block, and blocks are counted on.
+    A file is read in blocks by many tasks; lines are numbered within each block, and blocks are counted on.  Rows are
+    numbered as they are read and a block's first number is taken off, so no text is moved.
     """
     options = {"header": "false", "sep": "\x01", "quote": "", "encoding": encoding, "lineSep": "\n"}
     text = spark.read.schema("text string").options(**options).csv(group).select(
         "text", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
     )
-    text = text.where(F.trim(F.rtrim(F.col("text"), F.lit("\r"))) != "")
-    blocks = text.groupBy("path", "block").agg(F.min("row").alias("first"), F.max("row").alias("last"), F.count("*").alias("n"))
+    text = text.where(F.trim(F.rtrim(F.col("text"), F.lit("\r"))) != "").withColumn("row", F.monotonically_increasing_id())
+    blocks = text.groupBy("path", "block").agg(F.min("row").alias("first"), F.count("*").alias("n"))
     before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select("path", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    own = Window.partitionBy("path", "block").orderBy("row")
-    return text.withColumn("own", F.row_number().over(own)).join(blocks, ["path", "block"]).select(
-        "path", (F.col("own") + F.col("before")).cast("bigint").alias("line"), F.rtrim(F.col("text"), F.lit("\r")).alias("text")
+    blocks = blocks.select("path", "block", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"))
+    return text.join(F.broadcast(blocks), ["path", "block"]).select(
+        "path", (F.col("row") + F.col("shift") + 1).cast("bigint").alias("line"), F.rtrim(F.col("text"), F.lit("\r")).alias("text")
     )
 
 
@@ -149,10 +148,9 @@ def _rejected(spark: SparkSession, system: str | System, group: list[str], sep:
     unfit = rows.select(F.rtrim(F.col(_CORRUPT), F.lit("\r")).alias("text"), path.alias("path"), C.quoted(rows.columns[0]).alias("first"))
     unfit = unfit.where("text IS NOT NULL").distinct()
     lines = _lines(spark, group, encoding).where("line > 1")
-    fields = lines.join(unfit, ["path", "text"], "left_semi").withColumn("reason", F.lit("fields"))
-    letters = lines.where(F.contains("text", F.lit(_NO_LETTER))).withColumn("reason", F.lit("bytes"))
-    letters = letters.join(unfit, ["path", "text"], "left_anti")
-    found = fields.unionByName(letters)
+    found = lines.join(unfit.withColumn("reason", F.lit("fields")), ["path", "text"], "left")
+    letters = F.when(F.contains("text", F.lit(_NO_LETTER)), F.lit("bytes"))
+    found = found.withColumn("reason", F.coalesce("reason", letters)).where("reason IS NOT NULL")
     return with_origin(found, system, F.col("path")).select("source_file", PIECE, "path", "line", "reason", "text")
 
 

@@ -108,10 +108,19 @@ def stored_files(spark: SparkSession, root: str, system: str | System) -> DataFr
 
 
 def store_layout(spark: SparkSession, root: str, system: str | System) -> str | None:
-    """``state`` or ``file``, from the name of one data file; None without any."""
-    files = stored_files(spark, root, system)
-    first = None if files is None else files.select("source_file").first()
-    return None if first is None else ("file" if first[0] else "state")
+    """``state`` or ``file``, from the name of the first data file found; None without any.  Other files are not listed."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(store_path(root, system))
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    open_folders = [place] if files.exists(place) else []
+    while open_folders:
+        entries = [e for e in files.listStatus(open_folders.pop()) if e.getPath().getName()[0] not in "_."]
+        for entry in entries:
+            path = entry.getPath()
+            if entry.isDirectory():
+                open_folders.append(path)
+            elif path.getName().endswith(".parquet"):
+                return "file" if "/source_file=" in path.toString() else "state"
+    return None
 
 
 def enriched(rows: DataFrame, system: str | System, municipalities: DataFrame | None) -> DataFrame:
