@@ -157,7 +157,8 @@ def diagnosis_list(c: Column) -> Column:
     """Valid codes of a ``*`` or ``/`` separated list; NULL when none is valid."""
     tokens = F.split(F.translate(trim_spaces(F.upper(c)), "/", "*"), r"\*")
     codes = F.filter(tokens, lambda token: token.rlike(CODE_PATTERN))
-    return F.when(F.size(codes) > 0, codes)
+    # Bound by the outer function, so that the list is split and searched once, not for the test and the value.
+    return F.transform(F.array(codes), lambda found: F.when(F.size(found) > 0, found))[0]
 
 
 def recode(c: Column, mapping: Mapping[str, str], default: str | None = None) -> Column:

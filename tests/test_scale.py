@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from checks import views
 from checks.landing_files import write_named_files
+from sanitaria.functions import columns as C
 from sanitaria.operators.transform import clean_columns, transform
 from sanitaria.sinks.store import write_store
 from sanitaria.sources.store import scan_store, store_layout
@@ -52,3 +53,10 @@ def test_a_task_writes_one_landing_file_of_a_name(spark, tmp_path):
 def test_dealt_tasks_stay_bounded(spark, monkeypatch):
     monkeypatch.setattr(views, "DEALT_ROWS", 100)
     assert views.dealt(spark.range(5_000)).rdd.getNumPartitions() == 50
+
+
+def test_a_code_list_is_split_once(spark):
+    rows = spark.createDataFrame([("*a01/b342*bad",), ("x",), (None,)], "c string")
+    found = rows.select(C.diagnosis_list(F.col("c")).alias("c"))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    assert [r.c for r in found.collect()] == [["A01", "B342"], None, None]
