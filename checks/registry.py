@@ -135,28 +135,36 @@ DEATH_FILES = f"""files AS (SELECT name, size_bytes, substr(name, 3, 2) AS uf,
   CAST(substr(name, 5, 4) AS INTEGER) AS year, CAST(NULL AS INTEGER) AS month FROM ({views.DEATH_INVENTORY}))"""
 
 
-_STORES: dict[tuple[str, str], str] = {}
+_STORES: dict[tuple[str, str], tuple[str, set[str]]] = {}
 
 
-def store(spark: SparkSession, sf_dir: str) -> str:
-    """Folder of a store loaded from the derived raw rows, written once per application.
+def store(spark: SparkSession, sf_dir: str, *parts: str) -> str:
+    """Folder of a store loaded from the derived raw rows, each part written once per application.
 
     The library queries run where users run them: over loaded, state-partitioned
-    Parquet.  The load itself is registered as queries of its own.
+    Parquet.  The load itself is registered as queries of its own.  ``parts`` are the systems and
+    the municipality table that the caller reads; without any, all are there.
     """
     from sanitaria.operators.transform import transform
     from sanitaria.session import scratch_dir
     from sanitaria.sinks.store import write_store
-    from sanitaria.sources.store import municipality_path
+    from sanitaria.sources.store import MUNICIPALITY_VIEW, municipality_path
 
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STORES:
-        root = scratch_dir(spark, "store")
-        write_store(transform(views.admissions(spark, sf_dir), "sihsus", fill=False), root, "sihsus", rebalance=True, fill=True)
-        write_store(transform(views.deaths(spark, sf_dir), "sim", fill=False), root, "sim", rebalance=True, fill=True)
-        views.municipalities(spark, sf_dir).coalesce(1).write.parquet(municipality_path(root))
-        _STORES[key] = root
-    return _STORES[key]
+        _STORES[key] = scratch_dir(spark, "store"), set()
+    root, there = _STORES[key]
+    raw = {"sihsus": views.admissions, "sim": views.deaths}
+    for part in parts or (*raw, MUNICIPALITY_VIEW):
+        if part in there:
+            continue
+        if part == MUNICIPALITY_VIEW:
+            views.municipalities(spark, sf_dir).coalesce(1).write.mode("overwrite").parquet(municipality_path(root))
+        else:
+            typed = transform(raw[part](spark, sf_dir), part, fill=False)
+            write_store(typed, root, part, mode="replace", rebalance=True, fill=True)
+        there.add(part)
+    return root
 
 
 def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,12 +176,12 @@ def deaths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def municipalities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from sanitaria.sources.store import municipality_path
+    from sanitaria.sources.store import MUNICIPALITY_VIEW, municipality_path
 
-    return spark.read.parquet(municipality_path(store(spark, sf_dir)))
+    return spark.read.parquet(municipality_path(store(spark, sf_dir, MUNICIPALITY_VIEW)))
 
 
 def _stored(spark: SparkSession, sf_dir: str, system: str) -> DataFrame:
     from sanitaria.sources.store import scan_store
 
-    return scan_store(spark, store(spark, sf_dir), system, filename=False)
+    return scan_store(spark, store(spark, sf_dir, system), system, filename=False)

@@ -109,13 +109,13 @@ def manifest_events(spark, sf):
 register(
     "cov_08_processed_files",
     f"WITH {R.ADMISSIONS_RAW} SELECT DISTINCT source_file FROM adm_raw",
-)(lambda spark, sf: M.processed_files(spark, R.store(spark, sf), "sihsus"))
+)(lambda spark, sf: M.processed_files(spark, R.store(spark, sf, "sihsus"), "sihsus"))
 
 register(
     "src_01_scan_store",
     f"WITH {R.ADMISSIONS} SELECT uf, {_COUNTS}, TRUE AS has_filename FROM adm GROUP BY uf",
 )(
-    lambda spark, sf: scan_store(spark, R.store(spark, sf), "sihsus")
+    lambda spark, sf: scan_store(spark, R.store(spark, sf, "sihsus"), "sihsus")
     .groupBy("uf")
     .agg(
         rows().alias("n"), F.count("munic_res").alias("munic_res"), F.count("dt_inter").alias("dt_inter"),
@@ -127,7 +127,7 @@ register(
     f"WITH {R.ADMISSIONS} SELECT uf, {_COUNTS} FROM adm WHERE uf IN ('SP', 'RJ') GROUP BY uf",
 )(
     lambda spark, sf: _counts(
-        scan_store(spark, R.store(spark, sf), "sihsus", ufs=["sp", "RJ"], filename=False), "munic_res", "dt_inter"
+        scan_store(spark, R.store(spark, sf, "sihsus"), "sihsus", ufs=["sp", "RJ"], filename=False), "munic_res", "dt_inter"
     )
 )
 
@@ -168,7 +168,7 @@ def registered_views(spark, sf):
 register("prf_04_filename_stats", "SELECT 'filename' AS \"column\", CAST(100 AS DOUBLE) AS fill_pct, TRUE AS per_file")(
     lambda spark, sf: (lambda stored, files: P.filename_stats(stored).select(
         "column", "fill_pct", (F.col("distinct_count") == files.agg(rows()).scalar()).alias("per_file")
-    ))(data_files(spark, R.store(spark, sf), "sihsus"), scan_store(spark, R.store(spark, sf), "sihsus").select("filename").distinct())
+    ))(data_files(spark, R.store(spark, sf, "sihsus"), "sihsus"), scan_store(spark, R.store(spark, sf, "sihsus"), "sihsus").select("filename").distinct())
 )
 
 
@@ -226,8 +226,8 @@ def dictionary(spark, sf):
 )
 def store_files(spark, sf):
     """The listing's file counts against the files that rows are read from."""
-    stats = K.storage_stats(data_files(spark, R.store(spark, sf), "sihsus"))
-    read = scan_store(spark, R.store(spark, sf), "sihsus").groupBy("uf").agg(F.countDistinct("filename").alias("read"))
+    stats = K.storage_stats(data_files(spark, R.store(spark, sf, "sihsus"), "sihsus"))
+    read = scan_store(spark, R.store(spark, sf, "sihsus"), "sihsus").groupBy("uf").agg(F.countDistinct("filename").alias("read"))
     return stats.join(read, "uf").select(
         "uf", (F.col("files") == F.col("read")).alias("same_files"), (F.col("size_bytes") > 0).alias("has_bytes")
     )

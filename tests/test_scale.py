@@ -1,10 +1,11 @@
 """What keeps work and memory of a task bounded when tables grow."""
 
 import glob
+import os
 
 from pyspark.sql import functions as F
 
-from checks import views
+from checks import registry, views
 from checks.landing_files import write_named_files
 from sanitaria.functions import columns as C
 from sanitaria.operators.transform import clean_columns, transform
@@ -55,6 +56,19 @@ def test_dealt_tasks_stay_bounded(spark, monkeypatch):
     assert views.dealt(spark.range(5_000)).rdd.getNumPartitions() == 50
 
 
+def test_a_query_loads_only_the_systems_it_reads(spark, monkeypatch):
+    monkeypatch.setattr(registry, "_STORES", {})
+    folder = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
+    registry.admissions(spark, folder)
+    root = registry.store(spark, folder, "sihsus")
+    assert store_layout(spark, root, "sihsus") == "state" and store_layout(spark, root, "sim") is None
+    assert not glob.glob(f"{root.removeprefix('file:')}/ibge*")
+    rows = registry.admissions(spark, folder).count()
+    assert registry.store(spark, folder) == root and store_layout(spark, root, "sim") == "state"
+    assert registry.admissions(spark, folder).count() == rows == views.table(spark, folder, "orders").count()
+    assert registry.municipalities(spark, folder).count() > 0
+
+
 def test_a_code_list_is_split_once(spark):
     rows = spark.createDataFrame([("*a01/b342*bad",), ("x",), (None,)], "c string")
     found = rows.select(C.diagnosis_list(F.col("c")).alias("c"))
