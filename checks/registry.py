@@ -175,6 +175,11 @@ def deaths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, sf_dir, "sim")
 
 
+def narrow_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored admissions under the columns their source has, for writers that ``fill`` in the others."""
+    return admissions(spark, sf_dir).select(*_ADMISSION_COLUMNS)
+
+
 def municipalities(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sanitaria.sources.store import MUNICIPALITY_VIEW, municipality_path
 

@@ -5,7 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from checks import registry, views
+from checks import registry, storage, views
 from checks.landing_files import write_named_files
 from sanitaria.functions import columns as C
 from sanitaria.operators.transform import clean_columns, transform
@@ -69,6 +69,15 @@ def test_a_query_loads_only_the_systems_it_reads(spark, monkeypatch):
     assert registry.municipalities(spark, folder).count() > 0
 
 
+def test_stored_rows_are_written_again_without_the_columns_they_lack(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(storage, "write_store", lambda df, *a, **k: written.append((df.columns, k)) or write_store(df, *a, **k))
+    folder = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
+    assert storage.write_modes(spark, folder).count() > 0
+    assert [k["fill"] for _, k in written] == [True] * 3
+    assert all(set(columns) == set(registry._ADMISSION_COLUMNS) for columns, _ in written)
+
+
 def test_a_code_list_is_split_once(spark):
     rows = spark.createDataFrame([("*a01/b342*bad",), ("x",), (None,)], "c string")
     found = rows.select(C.diagnosis_list(F.col("c")).alias("c"))
