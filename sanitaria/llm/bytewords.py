@@ -58,13 +58,23 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(steps)
 
 
+class Spans:
+    """64-bit hashes of any spans of the same bytes, from one running sum over all of them."""
+
+    def __init__(self, data: np.ndarray):
+        n = len(data)
+        self._sums = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, n), out=self._sums[1:])
+        self._back = _powers(_INVERSE, n + 1)
+
+    def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        h = (self._sums[end] - self._sums[start]) * self._back[start]
+        return mixed(h + (end - start).astype(np.uint64))
+
+
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the bytes of each span, from one running sum over all bytes."""
-    n = len(data)
-    sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, n), out=sums[1:])
-    h = (sums[end] - sums[start]) * _powers(_INVERSE, n + 1)[start]
-    return mixed(h + (end - start).astype(np.uint64))
+    """64-bit hashes of the bytes of each span."""
+    return Spans(data).hashes(start, end)
 
 
 class ByteWords:

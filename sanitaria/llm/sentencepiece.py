@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sanitaria.llm.bytewords import chunks, encoded, span_hashes
+from sanitaria.llm.bytewords import Spans, chunks, encoded, span_hashes
 from sanitaria.llm.common import FLUSH_WORDS, at_least, count_floor, written
 
 SPACE = "▁"
@@ -25,6 +25,8 @@ HEAD = 1 << 19
 LONGEST = 256
 #: Letters of a long word whose edges are held at once.
 BLOCK = 1 << 16
+#: Bits of a hash by which a substring that is no piece is told before the search.
+MARKS = 22
 #: What an unknown character costs beyond the worst piece.
 UNKNOWN_COST = 10.0
 
@@ -261,8 +263,23 @@ class Lattice:
         self.hashes, self.ids = hashes[order], np.array(vocabulary.normal)[order]
         self.scores = np.array([vocabulary.scores[i] for i in vocabulary.normal])[order]
         self.worst = self.scores.min() - UNKNOWN_COST
+        #: Which first ``MARKS`` bits the hashes of pieces have: most substrings are no piece and need no search.
+        self.marked = np.zeros(1 << MARKS, dtype=bool)
+        self.marked[self.hashes >> np.uint64(64 - MARKS)] = True
         self.longest, self.bytes_from, self.unknown = vocabulary.longest, vocabulary.bytes_from, vocabulary.unknown
 
+    def _find(self, hashes: np.ndarray, all_of: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which substrings are edges, and their ids and scores; ``all_of``: letters, which are edges without a piece too."""
+        keep = np.flatnonzero(self.marked[hashes >> np.uint64(64 - MARKS)])
+        place = np.minimum(np.searchsorted(self.hashes, hashes[keep]), len(self.hashes) - 1)
+        known = self.hashes[place] == hashes[keep]
+        keep, place = keep[known], place[known]
+        if not all_of:
+            return keep, self.ids[place], self.scores[place]
+        ids, scores = np.full(len(hashes), -1), np.full(len(hashes), self.worst)
+        ids[keep], scores[keep] = self.ids[place], self.scores[place]
+        return np.arange(len(hashes)), ids, scores
+
     def encode(self, units: Sequence[bytes]) -> list[list[int]]:
         data = np.frombuffer(b"".join(units), dtype=np.uint8)
         first = np.concatenate([[0], np.cumsum([len(u) for u in units])]).astype(np.int64)
@@ -271,17 +288,14 @@ class Lattice:
         length = np.diff(begin)
         owner = np.repeat(np.arange(len(units)), length)
         at = np.arange(len(owner)) - begin[owner]
-        found = []
+        found, spans, left = [], Spans(data), length[owner] - at
         for size in range(1, self.longest + 1):
-            start = np.flatnonzero(at + size <= length[owner])
+            start = np.flatnonzero(left >= size)
             if not len(start):
                 break
-            hashes = span_hashes(data, letter[start], letter[start + size])
-            place = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-            known = self.hashes[place] == hashes
-            keep = known if size > 1 else np.ones(len(start), dtype=bool)
-            ids, scores = np.where(known, self.ids[place], -1), np.where(known, self.scores[place], self.worst)
-            found.append((owner[start[keep]], at[start[keep]] + size, at[start[keep]], ids[keep], scores[keep]))
+            keep, ids, scores = self._find(spans.hashes(letter[start], letter[start + size]), size == 1)
+            start = start[keep]
+            found.append((owner[start], at[start] + size, at[start], ids, scores))
         unit, end, start, ids, scores = (np.concatenate(x) for x in zip(*found, strict=True))
         order = np.lexsort((start, unit, end))
         unit, end, start, ids, scores = (x[order] for x in (unit, end, start, ids, scores))
@@ -327,15 +341,12 @@ class Lattice:
             low, stop = max(0, done + 1 - self.longest), min(done + block, count)
             best = best[len(best) - 1 - (done - low) :]
             near, bound = data[letter[low] : letter[stop]], letter[low : stop + 1] - letter[low]
-            found = []
+            found, spans = [], Spans(near)
             for size in range(1, min(self.longest, stop) + 1):
                 start = np.arange(max(0, done + 1 - size), stop + 1 - size) - low
-                hashes = span_hashes(near, bound[start], bound[start + size])
-                place = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-                known = self.hashes[place] == hashes
-                keep = known if size > 1 else np.ones(len(start), dtype=bool)
-                ids, scores = np.where(known, self.ids[place], -1), np.where(known, self.scores[place], self.worst)
-                found.append((start[keep] + size, start[keep], ids[keep], scores[keep]))
+                keep, ids, scores = self._find(spans.hashes(bound[start], bound[start + size]), size == 1)
+                start = start[keep]
+                found.append((start + size, start, ids, scores))
             end, start, ids, scores = (np.concatenate(x) for x in zip(*found, strict=True))
             order = np.lexsort((start, end))
             at, taken, chosen = -1, [], []

@@ -4,6 +4,7 @@ from functools import cache
 
 import pytest
 
+from sanitaria.llm import sentencepiece as S
 from sanitaria.llm.bytewords import encoded
 from sanitaria.llm.queries import MODEL
 from sanitaria.llm.sentencepiece import SPACE, Lattice, Units, Vocabulary, decode, encode, encoded_units
@@ -110,3 +111,16 @@ def test_round_trip_nulls_and_empty_table(spark, vocabulary):
     assert len(rows) == len(texts()) and all(r["round_trip"] for r in rows)
     assert sorted(r["decoded"] for r in rows) == sorted(t or "" for _, t in texts())
     assert encode(documents(spark, []), vocabulary).count() == 0
+
+
+def test_only_substrings_that_may_be_pieces_are_searched(monkeypatch):
+    vocabulary = Vocabulary.load(MODEL)
+    lattice, searched = S.Lattice(vocabulary), []
+    sums, search = [], S.np.searchsorted
+    monkeypatch.setattr(S, "Spans", lambda data, make=S.Spans: sums.append(1) or make(data))
+    monkeypatch.setattr(S.np, "searchsorted", lambda a, v, *k: (searched.append(len(v)) if a is lattice.hashes else 0, search(a, v, *k))[1])
+    units = [b" qxzvkjwpdlorem", "éé日本😀".encode(), b"x" * 40]
+    paths = lattice.encode(units)
+    spans = sum(min(lattice.longest, len(u.decode()) - at) for u in units for at in range(len(u.decode())))
+    assert len(sums) == 1 and 0 < sum(searched) < spans / 2
+    assert paths == [lattice.encode_long(u) for u in units]
