@@ -121,6 +121,11 @@ class _Side:
         return table.append_column(f"at_{name}", pa.array(np.arange(table.num_rows)))
 
 
+def _places(tokens: pa.Table) -> np.ndarray:
+    """Text and end of each token as one number."""
+    return (tokens["doc"].to_numpy().astype(np.int64) << 32) | tokens["end"].to_numpy()
+
+
 def align_texts(texts: Sequence[bytes], coders: Coders, print_groups: bool = False) -> Aligned:
     """Tokens of both tokenizers cut into groups at the bytes where both end, for texts that both give back byte for byte."""
     own = _loaded(coders)
@@ -137,8 +142,16 @@ def align_texts(texts: Sequence[bytes], coders: Coders, print_groups: bool = Fal
     sides = _Side(a_lists, own.a_bytes, wanted), _Side(b_lists, own.b_bytes, wanted)
     good = sides[0].same & sides[1].same
     a, b = (side.keep(good, name) for side, name in zip(sides, "ab", strict=True))
-    joined = a.join(b, ["doc", "end"], join_type="inner", use_threads=False).sort_by("at_a")
-    doc, at_a, at_b = (joined[c].to_numpy() for c in ("doc", "at_a", "at_b"))
+    # Joined on (text, end) as one number; a token without bytes may end where another does, so then pairs are listed.
+    doc_a, key_a, key_b = a["doc"].to_numpy(), *(_places(x) for x in (a, b))
+    if (np.diff(key_a) > 0).all() and (np.diff(key_b) > 0).all():
+        met = pc.index_in(pa.array(key_a), value_set=pa.array(key_b))
+        at_a = np.flatnonzero(met.is_valid().to_numpy(zero_copy_only=False))
+        at_b = met.drop_null().to_numpy().astype(np.int64)
+    else:
+        joined = a.join(b, ["doc", "end"], join_type="inner", use_threads=False).sort_by("at_a")
+        at_a, at_b = joined["at_a"].to_numpy(), joined["at_b"].to_numpy()
+    doc, link_a, link_b = doc_a[at_a], a["a"].to_numpy()[at_a], b["b"].to_numpy()[at_b]
     # Groups: up to each link; every text ends with one, so groups never reach over two texts.
     size_a, size_b = np.diff(at_a, prepend=-1), np.diff(at_b, prepend=-1)
     of_a, of_b = np.repeat(np.arange(len(doc)), size_a), np.repeat(np.arange(len(doc)), size_b)
@@ -154,7 +167,7 @@ def align_texts(texts: Sequence[bytes], coders: Coders, print_groups: bool = Fal
     groups = [line[x + 1 : y] for x, y in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
     sha = [hashlib.sha256(g).hexdigest() if g else "" for g in groups]
     said = [g.decode() if print_groups else None for g in groups]
-    return Aligned(n_a, n_b, np.bincount(doc, minlength=n), joined["a"].to_numpy(), joined["b"].to_numpy(), sha, said)
+    return Aligned(n_a, n_b, np.bincount(doc, minlength=n), link_a, link_b, sha, said)
 
 
 @dataclass(frozen=True)

@@ -93,3 +93,15 @@ def test_empty_table(spark):
 def test_only_empty_texts(spark):
     found = align(documents(spark, [(1, None), (2, "")]), Coders.load(A, B)).documents.collect()
     assert sorted(map(tuple, found)) == [(1, 0, 0, 0, 0, 0, 0, ""), (2, 0, 0, 0, 0, 0, 0, "")]
+
+
+def test_ends_meet_without_a_join_of_tables(monkeypatch):
+    from sanitaria.llm import alignment
+
+    met, look = [], alignment.pc.index_in
+    monkeypatch.setattr(alignment.pc, "index_in", lambda *a, **k: met.append(1) or look(*a, **k))
+    said = [*ODD, "plain words of a text", ""]
+    found = alignment.align_texts([t.encode() for t in said], Coders.load(A, B), print_groups=True)
+    wanted, _, _ = plain(said)
+    assert met and found.groups == [w[-1] for w in wanted] and found.n_links.tolist() == [w[2] for w in wanted]
+    assert len(found.link_a) == len(found.link_b) == sum(w[2] for w in wanted)
