@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 import pandas as pd
 import pyarrow as pa
@@ -29,6 +30,27 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows and bytes of a batch that goes to a Python worker, for jobs whose rows hold long texts.  Spark's own batches are ten
+#: thousand rows, held by the JVM and by the worker at once, twice while they grow.
+TEXT_BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+}
+
+
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Session settings for the jobs of a ``with`` block; what was set before is set again."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 class Scratch:
     """Tables that one operator writes and reads again, deleted as soon as nothing reads them any more.
 

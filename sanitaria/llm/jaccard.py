@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sanitaria.llm.bytewords import ByteWords, encoded, mixed, slices
-from sanitaria.llm.common import Scratch, free_name, head_words, lower_words_of, word_counts
+from sanitaria.llm.common import TEXT_BATCHES, Scratch, free_name, head_words, lower_words_of, settings, word_counts
 from sanitaria.llm.components import connected_components
 
 #: Words whose counts order the shingles; all rarer words count as equally rare.
@@ -193,7 +193,14 @@ def jaccard_join(
     one id are one document with several texts.  A null id is kept as one.  Other columns are ignored, an
     empty table gives no rows.
     """
-    scratch = scratch or Scratch()
+    with settings(docs.sparkSession, TEXT_BATCHES):
+        return _join(docs, words, percent, key, text, all_links, scratch or Scratch())
+
+
+def _join(
+    docs: DataFrame, words: int, percent: int, key: str, text: str, all_links: bool, scratch: Scratch
+) -> DataFrame:
+    """``jaccard_join``; every job that sends texts to Python workers is written here."""
     written = scratch.written
     rows = docs.select(
         F.coalesce(F.col(key).cast("long"), F.lit(NULL_ID)).alias("id"),

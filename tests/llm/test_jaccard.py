@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from sanitaria.llm import common
 from sanitaria.llm.components import connected_components
 from sanitaria.llm.jaccard import jaccard_join, one_of_each
 from tests.llm.data import documents, prose, texts
@@ -106,3 +107,20 @@ def test_nulls_repeats_and_stage(spark):
     assert held.count((70, prose(70, 80))) == 1 and (30, "") in held and (31, None) in held and (None, None) in held
     assert sum(k is not None and 40 <= k < 45 for k, _ in held) == 1
     assert jaccard_join(documents(spark, [])).count() == 0 and one_of_each(documents(spark, [])).count() == 0
+
+
+def test_texts_go_to_workers_in_small_batches(spark):
+    names, seen = list(common.TEXT_BATCHES), []
+    before = [spark.conf.get(n, None) for n in names]
+
+    class Seen(common.Scratch):
+        def written(self, df, purpose):
+            seen.append([spark.conf.get(n) for n in names])
+            return super().written(df, purpose)
+
+    rows = documents(spark, [(1, "a b c d e f"), (2, "a b c d e f"), (3, "x y"), (4, None)])
+    found = jaccard_join(rows, words=3, percent=90, all_links=False, scratch=Seen())
+    assert {(r["id"], r["component"]) for r in found.collect()} == {(1, 1), (2, 1), (3, 3), (4, 4)}
+    assert seen and all(s == list(common.TEXT_BATCHES.values()) for s in seen)
+    assert [spark.conf.get(n, None) for n in names] == before
+    assert int(common.TEXT_BATCHES[names[1]]) < 8 << 20
