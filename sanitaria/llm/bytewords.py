@@ -64,7 +64,10 @@ class Spans:
     def __init__(self, data: np.ndarray):
         n = len(data)
         self._sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, n), out=self._sums[1:])
+        terms = data.astype(np.uint64)
+        terms += np.uint64(1)
+        terms *= _powers(_BASE, n)
+        np.cumsum(terms, out=self._sums[1:])
         self._back = _powers(_INVERSE, n + 1)
 
     def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:

@@ -51,6 +51,16 @@ def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
+def text_batches(spark: SparkSession) -> None:
+    """``TEXT_BATCHES`` for all later jobs of a session, but for what was set before.
+
+    For queries, whose result is computed after they return; batch sizes change no results.
+    """
+    for name, value in TEXT_BATCHES.items():
+        if spark.conf.get(name, None) is None:
+            spark.conf.set(name, value)
+
+
 class Scratch:
     """Tables that one operator writes and reads again, deleted as soon as nothing reads them any more.
 

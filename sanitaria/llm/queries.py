@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sanitaria.llm.alignment import Coders, align
 from sanitaria.llm.chat import digests, format_conversations
-from sanitaria.llm.common import table
+from sanitaria.llm.common import table, text_batches
 from sanitaria.llm.fingerprint import fingerprint_edits
 from sanitaria.llm.htmltext import extract
 from sanitaria.llm.jaccard import jaccard_join
@@ -76,6 +76,7 @@ MODEL = os.environ.get("SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.mod
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents."""
+    text_batches(spark)
     return encode(table(spark, sf_dir, "documents"), Vocabulary.load(MODEL))
 
 

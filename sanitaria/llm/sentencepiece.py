@@ -6,15 +6,16 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from itertools import compress
+from itertools import compress, pairwise
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sanitaria.llm.bytewords import Spans, chunks, encoded, span_hashes
-from sanitaria.llm.common import FLUSH_WORDS, at_least, count_floor, written
+from sanitaria.llm.bytewords import Spans, chunks, encoded, slices, span_hashes
+from sanitaria.llm.common import FLUSH_WORDS, TEXT_BATCHES, at_least, count_floor, settings, written
 
 SPACE = "▁"
 #: A code point that no text and no piece has; it takes the place of a literal SPACE in a text.
@@ -25,6 +26,8 @@ HEAD = 1 << 19
 LONGEST = 256
 #: Letters of a long word whose edges are held at once.
 BLOCK = 1 << 16
+#: Bytes of rare words whose edges are held at once, about.
+RARE = 1 << 17
 #: Bits of a hash by which a substring that is no piece is told before the search.
 MARKS = 22
 #: What an unknown character costs beyond the worst piece.
@@ -70,8 +73,13 @@ class Vocabulary:
         return np.array([code < 128 and code != 32 and chr(code) not in joined for code in range(256)])
 
     def table(self, spark: SparkSession) -> DataFrame:
-        rows = [(self.pieces[i], i, float(self.scores[i])) for i in self.normal]
-        return spark.createDataFrame(rows, "piece string, id int, score double")
+        """The pieces that can stand in a text; an Arrow table, as rows would start Python workers of their own kind."""
+        columns = {
+            "piece": pa.array([self.pieces[i] for i in self.normal], pa.string()),
+            "id": pa.array(self.normal, pa.int32()),
+            "score": pa.array([self.scores[i] for i in self.normal], pa.float64()),
+        }
+        return spark.createDataFrame(pa.table(columns))
 
     def as_bytes(self) -> list[bytes]:
         """What each id stands for in a text."""
@@ -138,19 +146,21 @@ class Units:
 def unit_counts(texts: DataFrame, breaks: np.ndarray) -> DataFrame:
     """``unit`` (string) and ``n`` of all texts but for long words, counted by tasks before they are shuffled."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sent(counts: Counter[bytes]) -> pa.RecordBatch:
+        columns = [pa.array(counts, pa.binary(), size=len(counts)), pa.array(counts.values(), pa.int64(), size=len(counts))]
+        return pa.RecordBatch.from_arrays(columns, names=["unit", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[bytes] = Counter()
-        for batch in batches:
-            raw = [encoded(t) for t in batch["text"]]
-            for a, b in chunks(raw):
-                units = Units(raw[a:b], breaks)
-                counts.update(compress(units.slices(), (~units.long).tolist()))
-                if len(counts) >= FLUSH_WORDS:
-                    yield pd.DataFrame({"unit": list(counts), "n": list(counts.values())})
-                    counts.clear()
-        yield pd.DataFrame({"unit": list(counts), "n": list(counts.values())})
-
-    parts = texts.select("text").mapInPandas(run, "unit binary, n bigint")
+        for own in (part for batch in batches for part in slices(batch, 0)):
+            units = Units([encoded(t) for t in own.column(0).to_pylist()], breaks)
+            counts.update(compress(units.slices(), (~units.long).tolist()))
+            if len(counts) >= FLUSH_WORDS:
+                yield sent(counts)
+                counts.clear()
+        yield sent(counts)
+
+    parts = texts.select("text").mapInArrow(run, "unit binary, n bigint")
     return parts.groupBy(F.col("unit").cast("string").alias("unit")).agg(F.sum("n").alias("n"))
 
 
@@ -260,7 +270,7 @@ class Lattice:
         data = np.frombuffer(b"".join(texts), dtype=np.uint8)
         hashes = span_hashes(data, np.concatenate([[0], ends[:-1]]).astype(np.int64), ends)
         order = np.argsort(hashes)
-        self.hashes, self.ids = hashes[order], np.array(vocabulary.normal)[order]
+        self.hashes, self.ids = hashes[order], np.array(vocabulary.normal, dtype=np.int32)[order]
         self.scores = np.array([vocabulary.scores[i] for i in vocabulary.normal])[order]
         self.worst = self.scores.min() - UNKNOWN_COST
         #: Which first ``MARKS`` bits the hashes of pieces have: most substrings are no piece and need no search.
@@ -276,18 +286,22 @@ class Lattice:
         keep, place = keep[known], place[known]
         if not all_of:
             return keep, self.ids[place], self.scores[place]
-        ids, scores = np.full(len(hashes), -1), np.full(len(hashes), self.worst)
+        ids, scores = np.full(len(hashes), -1, dtype=np.int32), np.full(len(hashes), self.worst)
         ids[keep], scores[keep] = self.ids[place], self.scores[place]
         return np.arange(len(hashes)), ids, scores
 
-    def encode(self, units: Sequence[bytes]) -> list[list[int]]:
+    def encode(self, units: Sequence[bytes], block: int = RARE) -> list[list[int]]:
+        """Best paths of the units; the edges of about ``block`` bytes of them are held at once."""
+        return [path for a, b in chunks(units, block) for path in self._paths(units[a:b])]
+
+    def _paths(self, units: Sequence[bytes]) -> list[list[int]]:
         data = np.frombuffer(b"".join(units), dtype=np.uint8)
         first = np.concatenate([[0], np.cumsum([len(u) for u in units])]).astype(np.int64)
         letter = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
         begin = np.searchsorted(letter, first)
         length = np.diff(begin)
-        owner = np.repeat(np.arange(len(units)), length)
-        at = np.arange(len(owner)) - begin[owner]
+        owner = np.repeat(np.arange(len(units), dtype=np.int32), length)
+        at = (np.arange(len(owner)) - begin[owner]).astype(np.int32)
         found, spans, left = [], Spans(data), length[owner] - at
         for size in range(1, self.longest + 1):
             start = np.flatnonzero(left >= size)
@@ -295,30 +309,33 @@ class Lattice:
                 break
             keep, ids, scores = self._find(spans.hashes(letter[start], letter[start + size]), size == 1)
             start = start[keep]
-            found.append((owner[start], at[start] + size, at[start], ids, scores))
+            found.append((owner[start], at[start] + np.int32(size), at[start], ids, scores))
         unit, end, start, ids, scores = (np.concatenate(x) for x in zip(*found, strict=True))
+        del found
         order = np.lexsort((start, unit, end))
         unit, end, start, ids, scores = (x[order] for x in (unit, end, start, ids, scores))
         widest = int(length.max()) + 1
-        best = np.zeros((len(units), widest))
-        back, piece = np.zeros(best.shape, dtype=np.int64), np.zeros(best.shape, dtype=np.int64)
+        # The places of all units in a row, each with one more than it has letters.
+        base = begin[:-1] + np.arange(len(units))
+        best = np.zeros(len(owner) + len(units))
+        back, piece = np.zeros(len(best), dtype=np.int32), np.zeros(len(best), dtype=np.int32)
         cuts = np.searchsorted(end, np.arange(1, widest + 1))
         for position in range(1, widest):
             a, b = cuts[position - 1], cuts[position]
             own = unit[a:b]
-            total = best[own, start[a:b]] + scores[a:b]
+            total = best[base[own] + start[a:b]] + scores[a:b]
             group = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
             top = np.maximum.reduceat(total, group)
             # Of equal paths the first one in the group, whose last piece begins first.
             hit = np.flatnonzero(total == np.repeat(top, np.diff(np.append(group, b - a))))
             hit = hit[np.unique(own[hit], return_index=True)[1]]
-            rows = own[hit]
-            best[rows, position], back[rows, position], piece[rows, position] = total[hit], start[a:b][hit], ids[a:b][hit]
-        out = []
-        for k, text in enumerate(units):
+            place = base[own[hit]] + position
+            best[place], back[place], piece[place] = total[hit], start[a:b][hit], ids[a:b][hit]
+        out, taken, chosen = [], back.tolist(), piece.tolist()
+        for k, (text, low) in enumerate(zip(units, base.tolist(), strict=True)):
             position, path = int(length[k]), []
             while position:
-                before, found_id = int(back[k, position]), int(piece[k, position])
+                before, found_id = taken[low + position], chosen[low + position]
                 if found_id >= 0:
                     path.append(found_id)
                 elif self.bytes_from is None:
@@ -379,7 +396,8 @@ TASK_UNITS = 16_384
 
 def frequent_pieces(rows: DataFrame, vocabulary: Vocabulary, head: int = HEAD) -> Head:
     """Pieces of the at most ``head`` most frequent words of ``text``, by the relational lattice."""
-    units = written(unit_counts(rows, vocabulary.breaks()), "piece-units")
+    with settings(rows.sparkSession, TEXT_BATCHES):
+        units = written(unit_counts(rows, vocabulary.breaks()), "piece-units")
     frequent = at_least(units, count_floor(units, head)).select("unit")
     tasks = max(1, -(-frequent.count() // TASK_UNITS))
     spark, setting = rows.sparkSession, "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
@@ -412,25 +430,27 @@ def encode(
     known = frequent_pieces(rows, vocabulary, head)
     breaks, means, lattice = vocabulary.breaks(), vocabulary.as_bytes(), Lattice(vocabulary)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            raw = [encoded(t) for t in batch["text"]]
-            for a, b in chunks(raw):
-                part = raw[a:b]
-                ids = _ids(Units(part, breaks), known, lattice)
-                crcs = [zlib.crc32(b"".join([means[i] for i in own.tolist()])[1:]) for own in ids]
-                yield pd.DataFrame({
-                    "key": batch["key"].iloc[a:b].array, "ids": ids, "n_pieces": [len(i) for i in ids],
-                    "decoded_crc32": crcs, "round_trip": [zlib.crc32(t) == c for t, c in zip(part, crcs, strict=True)],
-                })
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for own in (part for batch in batches for part in slices(batch, 1)):
+            texts = [encoded(t) for t in own.column(1).to_pylist()]
+            flat, ends = _ids(Units(texts, breaks), known, lattice)
+            crcs = [zlib.crc32(b"".join([means[i] for i in flat[a:b].tolist()])[1:]) for a, b in pairwise(ends.tolist())]
+            columns = {
+                "key": own.column(0),
+                "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32())),
+                "n_pieces": pa.array(np.diff(ends), pa.int64()),
+                "decoded_crc32": pa.array(crcs, pa.int64()),
+                "round_trip": pa.array([zlib.crc32(t) == c for t, c in zip(texts, crcs, strict=True)], pa.bool_()),
+            }
+            yield pa.RecordBatch.from_arrays([*columns.values()], names=[*columns])
 
     kind = rows.schema["key"].dataType.simpleString()
     schema = f"key {kind}, ids array<int>, n_pieces bigint, decoded_crc32 bigint, round_trip boolean"
-    return rows.mapInPandas(run, schema).withColumnRenamed("key", key)
+    return rows.mapInArrow(run, schema).withColumnRenamed("key", key)
 
 
-def _ids(units: Units, known: Head, lattice: Lattice) -> list[np.ndarray]:
-    """Pieces of each text: those of known words from the table, those of the others from the lattice."""
+def _ids(units: Units, known: Head, lattice: Lattice) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces of all texts in a row, and where those of each begin and end: known words by the table, others by the lattice."""
     flat, sizes, missing = known.pieces(units)
     if len(missing):
         long, whole = units.long[missing].tolist(), units.whole
@@ -456,8 +476,7 @@ def _ids(units: Units, known: Head, lattice: Lattice) -> list[np.ndarray]:
         sizes = sizes.copy()
         sizes[missing] = grown[gaps]
         flat = filled
-    ends = np.concatenate([[0], np.cumsum(sizes)])[units.unit]
-    return [flat[x:y] for x, y in zip(ends[:-1], ends[1:], strict=True)]
+    return flat, np.concatenate([[0], np.cumsum(sizes)])[units.unit]
 
 
 def decode(encodings: DataFrame, vocabulary: Vocabulary, ids: str = "ids") -> DataFrame:

@@ -1,11 +1,13 @@
 import os
 import random
+import tracemalloc
 from functools import cache
 
 import pytest
 
 from sanitaria.llm import sentencepiece as S
 from sanitaria.llm.bytewords import encoded
+from sanitaria.llm.common import TEXT_BATCHES, settings, text_batches
 from sanitaria.llm.queries import MODEL
 from sanitaria.llm.sentencepiece import SPACE, Lattice, Units, Vocabulary, decode, encode, encoded_units
 from tests.llm.data import documents, prose, texts
@@ -124,3 +126,35 @@ def test_only_substrings_that_may_be_pieces_are_searched(monkeypatch):
     spans = sum(min(lattice.longest, len(u.decode()) - at) for u in units for at in range(len(u.decode())))
     assert len(sums) == 1 and 0 < sum(searched) < spans / 2
     assert paths == [lattice.encode_long(u) for u in units]
+
+
+def test_one_long_word_does_not_widen_the_places_of_all_others(vocabulary):
+    lattice = Lattice(vocabulary)
+    units = [*(f" q{k}zx".encode() for k in range(20_000)), b" " + b"qz" * 120]
+    lattice.encode(units[:3])
+    tracemalloc.start()
+    paths = lattice.encode(units)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20
+    assert all(paths[k] == lattice.encode_long(units[k]) for k in (0, 1, 777, 19_999, 20_000))
+    assert paths[:500] == lattice.encode(units[:500], block=50)
+
+
+def test_the_piece_table_starts_no_python_workers(spark, vocabulary):
+    table = vocabulary.table(spark)
+    assert "ExistingRDD" not in table._jdf.queryExecution().executedPlan().toString()
+    assert table.schema.simpleString() == "struct<piece:string,id:int,score:double>"
+    assert sorted(map(tuple, table.collect())) == sorted((vocabulary.pieces[i], i, vocabulary.scores[i]) for i in vocabulary.normal)
+
+
+def test_text_batches_keep_what_a_session_has_set(spark):
+    rows, size = TEXT_BATCHES
+    with settings(spark, {rows: "77"}):
+        text_batches(spark)
+        assert spark.conf.get(rows) == "77" and spark.conf.get(size) == TEXT_BATCHES[size]
+    spark.conf.unset(size)
+    text_batches(spark)
+    assert {name: spark.conf.get(name) for name in TEXT_BATCHES} == TEXT_BATCHES
+    for name in TEXT_BATCHES:
+        spark.conf.unset(name)
