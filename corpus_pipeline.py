@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sanitaria.llm.common import table, written
+from sanitaria.llm.common import table, text_batches, written
 from sanitaria.llm.jaccard import one_of_each
 from sanitaria.llm.mixing import mixed_documents
 from sanitaria.llm.pii import mask_private
@@ -19,6 +19,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules and the model keep; the model is trained on the labelled documents of ``sf_dir``."""
+    text_batches(spark)
     model = train(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
     return good_documents(docs, model)
 
@@ -30,6 +31,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by its kind; ``n_chars`` counts what is left."""
+    text_batches(spark)
     return mask_private(docs)
 
 
@@ -40,6 +42,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, ids, n_pieces, decoded_crc32, round_trip`` of each row."""
+    text_batches(spark)
     return encode(docs, Vocabulary.load(MODEL))
 
 
