@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sanitaria.llm.bytewords import ByteWords, encoded, mixed, slices
@@ -48,13 +48,16 @@ def _signatures(value: np.ndarray) -> int:
         return int(mixed(value * np.uint64(0xC2B2AE3D27D4EB4F)).sum(dtype=np.uint64).astype(np.int64))
 
 
-#: 64-bit numbers of a set's parity bits.
-BITS = ("b0", "b1", "b2", "b3")
+#: 64-bit numbers of a set's parity bits; a power of two of them.
+BITS = tuple(f"b{k}" for k in range(8))
+#: Listed shingles before one of a group, by which a pair is known that met there already.
+EARLIER = 4
 
 
 def _parities(value: np.ndarray) -> list[int]:
-    """For each of 256 classes of hashes whether the set has an odd number of them, as four numbers."""
-    odd = np.bincount((value >> np.uint64(56)).astype(np.int64), minlength=64 * len(BITS)) & 1
+    """For each of 512 classes of hashes whether the set has an odd number of them, as eight numbers."""
+    classes = 64 * len(BITS)
+    odd = np.bincount((value >> np.uint64(65 - classes.bit_length())).astype(np.int64), minlength=classes) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
 
 
@@ -77,7 +80,7 @@ def prefixes(docs: DataFrame, head: tuple[np.ndarray, np.ndarray], words: int, p
                 for value, parts in shingle_sets([encoded(t) for t in own.column(1).to_pylist()], words):
                     n = len(value)
                     if not n:
-                        rows.append((0, 0, 0, np.zeros(0, np.int64), 0, 0, 0, 0))
+                        rows.append((0, 0, 0, np.zeros(0, np.int64), *[0] * len(BITS)))
                         continue
                     if len(hashes):
                         at = np.minimum(np.searchsorted(hashes, parts), len(hashes) - 1)
@@ -167,6 +170,32 @@ def _side(tokens: DataFrame, name: str) -> DataFrame:
     return tokens.select("token", *(F.col(c).alias(f"{c}_{name}") for c in tokens.columns if c != "token"))
 
 
+def _with_earlier(listed: DataFrame) -> DataFrame:
+    """``listed`` with ``earlier``: the ``EARLIER`` listed shingles that stand before ``token`` in its group.
+
+    Groups are told apart by all that ``across`` asks of them, as groups of a repeated id bear one name.
+    """
+    before = Window.partitionBy("group", "n", "size", *BITS).orderBy("at").rowsBetween(-EARLIER, -1)
+    return listed.withColumn("earlier", F.collect_list("token").over(before))
+
+
+def across(listed: DataFrame, percent: int, all_links: bool) -> DataFrame:
+    """``group_a, group_b`` of groups that share a listed shingle and may link, in different components unless ``all_links``.
+
+    A pair that shares many shingles would be met at each of them.  It is left out where both have a common one among
+    the ``EARLIER`` before: that one allows no less, as it stands further in front, so the pair is met there or before.
+    """
+    apart = ~((F.col("low_a") == F.col("high_a")) & (F.col("low_a") == F.col("low_b")) & (F.col("low_b") == F.col("high_b")))
+    left, right = _side(listed, "a"), _side(listed, "b")
+    # The bits of a group are its only member's; those of members of larger groups are looked at later.
+    bits = (F.col("size_a") > 1) | (F.col("size_b") > 1) | _bits_allow(percent)
+    ordered = F.col("group_a") < F.col("group_b")
+    open_lists = F.lit(True) if all_links else apart
+    met = F.arrays_overlap("earlier_a", "earlier_b")
+    tried = ordered & open_lists & _may_link(percent) & bits & ~met
+    return left.join(right, (left["token"] == right["token"]) & tried).select("group_a", "group_b")
+
+
 def jaccard_join(
     docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text", all_links: bool = True,
     scratch: Scratch | None = None,
@@ -180,8 +209,8 @@ def jaccard_join(
        stands first; within a group every member with the first one.  This takes pairs in
        proportion to the lists and finds most components, however many copies there are.
     4. What is left to compare are the other pairs of groups that share a shingle, and of members of one
-       group: these are filtered by size, place and parity bits, expanded to members, and verified.  Nothing is
-       capped: every pair that could be a link is tried.
+       group: these are filtered by size, place and parity bits, met at their first common shingles only, expanded to
+       members, and verified.  Nothing is capped: every pair that could be a link is tried.
 
     ``links`` therefore counts all other classes that a document's class is similar to, which takes work and rows in
     proportion to these links: with the square of a family of near copies.  Without ``all_links``
@@ -272,19 +301,12 @@ def _join(
             F.coalesce("low", own).alias("low"), F.coalesce("high", own).alias("high"),
         )
     )
-    placed = written(placed, "jaccard-placed")
+    placed = written(_with_earlier(placed), "jaccard-placed")
     scratch.drop(listed, asked)
     mixed_lists = placed.groupBy("token").agg(F.min("low").alias("l"), F.max("high").alias("h")).filter("l <> h")
     rest = placed if all_links else placed.join(mixed_lists.select("token"), "token", "left_semi")
-    apart = ~((F.col("low_a") == F.col("high_a")) & (F.col("low_a") == F.col("low_b")) & (F.col("low_b") == F.col("high_b")))
-    left, right = _side(rest, "a"), _side(rest, "b")
-    # The bits of a group are its only member's; those of members of larger groups are looked at below.
-    bits = (F.col("size_a") > 1) | (F.col("size_b") > 1) | _bits_allow(percent)
-    ordered = F.col("group_a") < F.col("group_b")
-    open_lists = F.lit(True) if all_links else apart
-    across = left.join(right, (left["token"] == right["token"]) & ordered & open_lists & _may_link(percent) & bits)
     open_groups = spans if all_links else spans.filter("low <> high")
-    pairs = across.select("group_a", "group_b").unionByName(
+    pairs = across(rest, percent, all_links).unionByName(
         open_groups.select(F.col("group").alias("group_a"), F.col("group").alias("group_b"))
     ).distinct()
     alone = single.select("group", F.col("group").alias("rep"), F.col("own").alias("component"))

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from sanitaria.llm import common
+from sanitaria.llm import common, jaccard
 from sanitaria.llm.components import connected_components
 from sanitaria.llm.jaccard import jaccard_join, one_of_each
 from tests.llm.data import documents, prose, texts
@@ -124,3 +124,44 @@ def test_texts_go_to_workers_in_small_batches(spark):
     assert seen and all(s == list(common.TEXT_BATCHES.values()) for s in seen)
     assert [spark.conf.get(n, None) for n in names] == before
     assert int(common.TEXT_BATCHES[names[1]]) < 8 << 20
+
+
+def met(listed, percent, all_links):
+    """Every meeting of two groups in a list that size, place and parity bits allow: one for each shared shingle."""
+    found = []
+    for x in listed:
+        for y in listed:
+            if x["token"] != y["token"] or x["group"] >= y["group"]:
+                continue
+            needed = -(-percent * (x["n"] + y["n"]) // (100 + percent))
+            differ = sum(((x[b] ^ y[b]) & (2**64 - 1)).bit_count() for b in jaccard.BITS)
+            one = x["low"] == x["high"] == y["low"] == y["high"]
+            sizes = 100 * min(x["n"], y["n"]) >= percent * max(x["n"], y["n"])
+            places = min(x["n"] - x["at"], y["n"] - y["at"]) >= needed
+            bits = max(x["size"], y["size"]) > 1 or differ <= x["n"] + y["n"] - 2 * needed
+            if sizes and places and bits and (all_links or not one):
+                found.append((x["group"], y["group"]))
+    return found
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+def test_pairs_meet_at_their_first_common_shingles(spark, repeated):
+    class Kept(common.Scratch):
+        def written(self, df, purpose):
+            table = super().written(df, purpose)
+            if purpose == "jaccard-placed":
+                listed.extend(r.asDict() for r in table.collect())
+                counts.extend([[tuple(r) for r in jaccard.across(table, 80, every).collect()] for every in (True, False)])
+            return table
+
+    listed, counts = [], []
+    rows = families()
+    if repeated:  # ids with several texts
+        rows += [(rows[k][0], rows[k + 9][1] + " more") for k in range(0, 60, 4)]
+    got = jaccard_join(documents(spark, rows), 5, 80, all_links=False, scratch=Kept()).collect()
+    every = met(listed, 80, True)
+    assert len(every) > 4 * len(set(every)) and set(counts[0]) == set(every)
+    assert set(counts[1]) == set(met(listed, 80, False))
+    if not repeated:
+        assert len(counts[0]) < 2 * len(set(every))
+        assert {r["id"]: r["component"] for r in got} == brute(rows, 5, 80)[0]
